@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, packing, sharding
+from . import bpe, media, merkle, packing, sharding, simhash, suffix
 from .common import documents
 
 #: Name of the public vocabulary; its place is a parameter of the operators.
@@ -36,8 +36,20 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary_path(), window=WINDOW)
 
 
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_report(documents(spark, sf_dir))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), size=3, words=1, radius=3)
+
+
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, sf_dir), length=200, digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op5_packing)}
+    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op5_packing, op7_merkle, op8_simhash, op10_suffix)}
 
 
 def oracle_sql() -> dict[str, str]:
