@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, narrow, record, strings, tune
+from .common import Batches, checkpoint, narrow, record, strings, tune
 
 #: The public pattern of byte-level BPE, a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -343,9 +343,17 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def frequent_words(documents: DataFrame, text: str = "text", size: int = LEXICON_WORDS) -> list[str]:
-    """The corpus's most frequent words, at most size of them (the lexicon's feature, and the bound of what the driver gets)."""
-    counts = count_words(documents, text).filter(F.length("word") <= 64)
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+    """The corpus's most frequent words: all whose counts lie in the highest classes (factors of 1.09) that hold
+    at most size words together. The bound is the lexicon's feature, and that of what the driver gets."""
+    counts = checkpoint(count_words(documents, text).filter(F.length("word") <= 64).withColumn("class", F.floor(F.log2("n") * 8).cast("int")))
+    room, least = size, None
+    for r in sorted(counts.groupBy("class").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["class"]):  # at most 8 x 63 classes
+        if r.n > room:
+            break
+        room, least = room - r.n, r["class"]
+    if least is None:
+        return []
+    return [r.word for r in counts.filter(F.col("class") >= least).select("word").collect()]
 
 
 def build_lexicon(vocabulary: Vocabulary, words: list[str]) -> bytes:
