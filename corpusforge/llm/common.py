@@ -9,12 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusforge.session import ship_package
+
 #: Rows and bytes of one Arrow batch handed to Python; long texts make byte limits necessary.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers receive."""
+    """Bounds the Arrow batches that Python workers receive, and hands them this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, media, merkle, packing, sharding, simhash, suffix
+from . import bpe, html, langid, media, merkle, ordinal, packing, sharding, simhash, suffix
 from .common import documents
 
 #: Name of the public vocabulary; its place is a parameter of the operators.
@@ -32,10 +33,19 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), sharding.topology(SHARDS), sharding.topology(SHARDS + 1))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary_path(), window=WINDOW)
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(documents(spark, sf_dir))
 
@@ -44,12 +54,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), size=3, words=1, radius=3)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    ratings = ordinal.label_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return ordinal.grade(docs, ordinal.train(docs, ratings)).select("doc_id", "expected_grade", F.get("tail", F.lit(0)).alias("p_not_toxic"), F.get("tail", F.lit(1)).alias("p_good"))
+
+
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(documents(spark, sf_dir), length=200, digest=True)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op5_packing, op7_merkle, op8_simhash, op10_suffix)}
+    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

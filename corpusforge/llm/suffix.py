@@ -283,38 +283,42 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(documents: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, group: int = GROUP, digest: bool = False) -> DataFrame:
+def remove_repeats(documents: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, group: int = GROUP, digest: bool = False, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Removes from every text each byte that lies in a string of `length` bytes which also starts elsewhere in the table.
 
-    Returns id, n_bytes, n_removed, n_spans (maximal removed runs) and either kept_sha256 (digest) or kept, the remaining
-    text; where a cut falls inside a character, its remaining bytes go from kept too. ids are integers. Strings are judged on the input,
-    so all copies go. Null and empty texts, and texts shorter than `length`, lose nothing. Repeated rows count as copies.
-    An empty table gives an empty result; other columns are ignored.
+    Returns id, the columns to carry, n_bytes, n_removed, n_spans (maximal removed runs) and either kept_sha256 (digest) or
+    kept, the remaining text; where a cut falls inside a character, its remaining bytes go from kept too. ids are integers.
+    Strings are judged on the input, so all copies go. Null and empty texts, and texts shorter than `length`, lose
+    nothing. Repeated rows count as copies. An empty table gives an empty result; other columns are ignored.
     """
     tune(documents.sparkSession)
-    df = narrow(documents, id=id, text=text)
-    spans = repeats(df, length, group)
+    df = narrow(documents, id=id, text=text, **{f"carry{k}": c for k, c in enumerate(carry)})
+    spans = repeats(df.select("id", "text"), length, group)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    kept, n = [f"carry{k}" for k in range(len(carry))], 1 + len(carry)
 
     def tag(batches: Batches) -> Batches:
         for batch in batches:
             data = [(t or "").encode("utf-8", "replace") for t in strings(batch, "text")]
             keys = [row_key(i, d) for i, d in zip(strings(batch, "id"), data)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array([zlib.crc32(d) - (1 << 31) for d in data], pa.int32()), pa.array(data, pa.binary())], names=["id", "key", "sum", "data"])
+            own = [pa.array(keys, pa.int64()), pa.array([zlib.crc32(d) - (1 << 31) for d in data], pa.int32()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), *own], names=["id", *kept, "key", "sum", "data"])
 
     def cut(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
             for data, found in zip(strings(batch, "data"), strings(batch, "spans")):
-                runs, kept, at = merge_spans([(s["start"], s["end"]) for s in found or ()]), [], 0
+                runs, parts, at = merge_spans([(s["start"], s["end"]) for s in found or ()]), [], 0
                 for start, end in runs:
-                    kept.append(data[at:start])
+                    parts.append(data[at:start])
                     at = end
-                rest = b"".join([*kept, data[at:]])
+                rest = b"".join([*parts, data[at:]])
                 rows.append((len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest() if digest else rest.decode("utf-8", "ignore")))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types))], names=[id, "n_bytes", "n_removed", "n_spans", last])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), *(pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types))], names=[id, *carry, "n_bytes", "n_removed", "n_spans", last])
 
-    kind, last = df.schema["id"].dataType.simpleString(), "kept_sha256" if digest else "kept"
+    last = "kept_sha256" if digest else "kept"
     per_row = spans.groupBy("key", "sum").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    texts = df.mapInArrow(tag, f"id {kind}, key long, sum int, data binary")
-    return texts.join(per_row, ["key", "sum"], "left").select("id", "data", "spans").mapInArrow(cut, f"`{id}` {kind}, n_bytes long, n_removed long, n_spans long, {last} string")
+    texts = df.select("id", *kept, "text").mapInArrow(tag, "".join(f"{c} {kinds[c]}, " for c in ("id", *kept)) + "key long, sum int, data binary")
+    out = "".join(f"`{c}` {kinds[own]}, " for c, own in zip((id, *carry), ("id", *kept)))
+    return texts.join(per_row, ["key", "sum"], "left").select("id", *kept, "data", "spans").mapInArrow(cut, f"{out}n_bytes long, n_removed long, n_spans long, {last} string")
