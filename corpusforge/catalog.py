@@ -6,10 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its own name, with DuckDB SQL for the same rows if SQL can express it."""
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if oracle:
+            _ORACLES[f.__name__] = oracle
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_ORACLES)
+
+
+def _load() -> None:
+    from corpusforge.plans import inline, linking, ordered, texts  # noqa: F401  they register themselves
