@@ -89,6 +89,14 @@ def ratio(a: str, b: str, autojunk: bool = False) -> float:
     return SequenceMatcher(None, a, b, autojunk=autojunk).ratio()
 
 
+def at_least(a: str, b: str, cutoff: float) -> bool:
+    """ratio(a, b) >= cutoff, by difflib's own cheap upper bounds first."""
+    from difflib import SequenceMatcher
+
+    m = SequenceMatcher(None, a, b, autojunk=False)
+    return m.real_quick_ratio() >= cutoff and m.quick_ratio() >= cutoff and m.ratio() >= cutoff
+
+
 def ratio_column(a, b, autojunk: bool = False):
     """F30 as a Column over two string columns; null if either is."""
     @F.pandas_udf("double")
@@ -125,7 +133,7 @@ def greedy_merge(rows: DataFrame, order: str, title: str, content: str, block: s
         out = []
         for r in pdf.sort_values("ord").itertuples():
             t, c = r.title or "", r.content or ""
-            hit = next((s for s in slots if (s[1] == t or ratio(t, s[1]) >= cutoff) and (s[2] == c or ratio(c, s[2]) >= content_cutoff)), None)
+            hit = next((s for s in slots if (s[1] == t or at_least(t, s[1], cutoff)) and (s[2] == c or at_least(c, s[2], content_cutoff))), None)
             if hit is None:
                 slots.append(hit := (r.ord, t, c))
             out.append((r.ord, hit[0]))

@@ -34,9 +34,9 @@ def fallback_lookup(rows: DataFrame, id: str, candidates: Column, table: DataFra
 
 def exactly_one(names: DataFrame, rows: DataFrame, name: str, id: str) -> DataFrame:
     """For every name how many rows have it, and the id if it is one; error says what is wrong."""
-    found = rows.join(F.broadcast(names), name, "left_semi").groupBy(name).agg(F.count("*").alias("n"), F.min(id).alias("id"))
-    n = F.coalesce("n", F.lit(0))
-    return names.join(found, name, "left").select(name, n.alias("n"), F.when(n == 1, F.col("id")).alias("id"), F.when(n == 0, "missing").when(n > 1, "ambiguous").alias("error"))
+    found = rows.join(F.broadcast(names), name, "left_semi").groupBy(name).agg(F.count("*").alias("_n"), F.min(id).alias("_id"))
+    n = F.coalesce("_n", F.lit(0))
+    return names.join(found, name, "left").select(name, n.alias("n"), F.when(n == 1, F.col("_id")).alias("id"), F.when(n == 0, "missing").when(n > 1, "ambiguous").alias("error"))
 
 
 def missing(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
