@@ -39,6 +39,9 @@ CLOSES = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, {"html"}),
 }
+#: Inside these, anything but the parts of a table is moved in front of the table.
+TABLE_CONTEXT = {"table", "thead", "tbody", "tfoot", "tr"}
+TABLE_PARTS = {"caption", "colgroup", "col", "thead", "tbody", "tfoot", "tr", "td", "th", "script", "style", "template"}
 SCOPES = {"table", "td", "th", "caption", "button", "object", "html", "template"}
 
 
@@ -69,9 +72,17 @@ def build(html: str) -> Node:
                 del stack[k:]
                 return close(names, bounds)
 
+    def add(item, tag: str = "") -> None:
+        table = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "table"), 0) if stack[-1].tag in TABLE_CONTEXT and tag not in TABLE_PARTS else 0
+        if table:
+            siblings = stack[table - 1].children
+            siblings.insert(next((k for k in range(len(siblings) - 1, -1, -1) if siblings[k] is stack[table]), len(siblings)), item)
+        else:
+            stack[-1].children.append(item)
+
     def push(tag: str, attrs: dict[str, str]) -> None:
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        add(node, tag)
         stack.append(node)
 
     def in_body() -> None:
@@ -91,7 +102,8 @@ def build(html: str) -> Node:
             if not value.strip():
                 return
             in_body()
-        stack[-1].children.append(unescape(value))
+        if value.strip() or stack[-1].tag not in TABLE_CONTEXT:
+            add(unescape(value))
 
     for m in iter(lambda: TOKEN.search(html, at), None):
         text(html[at : m.start()])
@@ -104,7 +116,7 @@ def build(html: str) -> Node:
                 continue
             if tag in ("br", "p") and not any(n.tag == tag for n in stack):
                 in_body()
-                stack[-1].children.append(Node(tag, {}))
+                add(Node(tag, {}), tag)
                 continue
             bounds = {"table"} if tag not in ("table",) and tag in CLOSES else (set() if tag == "table" else {"td", "th", "table"} - {tag})
             for k in range(len(stack) - 1, 0, -1):
@@ -144,8 +156,10 @@ def build(html: str) -> Node:
         if tag[0] == "h" and tag[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
             stack.pop()
         if tag in VOID:
-            stack[-1].children.append(Node(tag, attrs))
+            add(Node(tag, attrs), tag)
             continue
+        if tag == "table" and stack[-1].tag in TABLE_CONTEXT:
+            close({"table"}, {"td", "th", "caption"})
         push(tag, attrs)
         if tag in RAW:
             lower = lower if lower is not None else html.lower()
