@@ -11,14 +11,18 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .common import Batches, narrow, strings, tune
 
 LEAF_DIGITS, SECTION_DIGITS = 8, 16
 LEAST = -(1 << 63)
+#: Bounds of id ranges that an expression holds; more are searched in Python.
+LITERAL_BOUNDS = 1024
 
 
 def _hash(kind: bytes, data: bytes) -> str:
@@ -104,8 +108,7 @@ def with_next(documents: DataFrame, id: str, text: str) -> DataFrame:
     ranges = max(16, min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16))
     bounds = df.agg(F.percentile_approx("order", [k / ranges for k in range(1, ranges)], 10 * ranges).alias("b")).first().b
     bounds = sorted(set(bounds or []))
-    number = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x < F.col("order"))) if len(bounds) <= 64 else _bucket(bounds)
-    df = df.withColumn("range", number)
+    df = df.withColumn("range", _bucket(bounds)) if len(bounds) <= LITERAL_BOUNDS else _search(df, bounds)
     heads = {r.range: r.head for r in df.groupBy("range").agg(F.max("order").alias("head")).collect()}  # one row per range
     falling = sorted(heads, reverse=True)
     following = [(heads[b], a) for a, b in zip(falling, falling[1:] + falling[:1])]
@@ -115,7 +118,7 @@ def with_next(documents: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _bucket(bounds: list[int]):
-    """How many bounds are smaller: a search over a literal array that the JVM evaluates, as nested halves."""
+    """How many bounds are smaller: a search that the JVM evaluates, as nested halves."""
     def half(lo: int, hi: int):
         if lo == hi:
             return F.lit(lo)
@@ -125,6 +128,18 @@ def _bucket(bounds: list[int]):
     return half(0, len(bounds))
 
 
+def _search(df: DataFrame, bounds: list[int]) -> DataFrame:
+    """The same for more bounds than an expression should hold."""
+    shared = df.sparkSession.sparkContext.broadcast(np.array(bounds, np.int64))  # at most 65,536 numbers
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            found = np.searchsorted(shared.value, batch.column(batch.schema.get_field_index("order")).to_numpy(), "left")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], names=[*batch.schema.names, "range"])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("range", IntegerType())]))
+
+
 def edit_report(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints every text and its edited form: the last third of its characters (rounded down) replaced by as many from
     the front of the next document in falling order of id (or all it has); after the last comes the first.

@@ -138,8 +138,10 @@ def test_fingerprint_tree():
     assert merkle.fingerprint("a") != merkle.fingerprint("a ")
 
 
+@pytest.mark.parametrize("literal", [1024, 2])
 @pytest.mark.parametrize("ids", [[1], [3, 9, 4, 100, -5], [7, 7, 2], list(range(0, 4000, 7)), [None, 4, None, 2]])
-def test_edit_report(spark, ids):
+def test_edit_report(spark, ids, literal, monkeypatch):
+    monkeypatch.setattr(merkle, "LITERAL_BOUNDS", literal)
     rng = random.Random(len(ids))
     texts = [rng.choice([None, "", "é\nb\n\nc" * rng.randint(1, 9), "x" * rng.randint(0, 50)]) for _ in ids]
     if len(set(ids)) < len(ids):
