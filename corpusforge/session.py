@@ -8,10 +8,13 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
+#: Tables of texts below this size on disk have fewer row groups than a cluster has cores; spreading them costs one bounded shuffle.
+SPREAD_BYTES = 256 << 20
+
 
 def ship_package(spark: SparkSession) -> None:
     """Hands this package to the Python workers, once per application: they need not find it on a path of their own."""
@@ -26,3 +29,11 @@ def ship_package(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(application)
+
+
+def spread(df: DataFrame, limit: int = SPREAD_BYTES) -> DataFrame:
+    """Deals the rows of a table of checked size over all cores. A file of one row group is one task however it is split, and work
+    on texts is bound by the CPU. Larger tables have enough row groups and are left as they are."""
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
