@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,14 @@ def _folding() -> tuple[str, str]:
 
 _FROM, _TO = _folding()
 
+#: Letters of surface words, one by one: the regex engine looks single letters up in a bit set but tries ranges in turn.
+_SURFACE = "".join(map(chr, [*range(0x61, 0x7B), *range(0x30, 0x3A), *range(0xE0, 0xF7), *range(0xF8, 0x100), 0xDF]))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value evaluated once a row. An expression that a lambda names is otherwise evaluated again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
 def fold(x: Column) -> Column:
     """Lower case without accents, over the closed alphabet of the Latin blocks (ß stays)."""
@@ -68,12 +77,12 @@ def strip(x: Column) -> Column:
 
 def words(x: Column) -> Column:
     """Folded words of a-z and 0-9, in order; null gives none."""
-    return F.filter(F.split(F.coalesce(fold(x), F.lit("")), "[^a-z0-9]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(fold(x), F.lit("")), "[^a-z0-9]+"), "")
 
 
 def surface_words(x: Column) -> Column:
     """Lower-case words with their accents, in order."""
-    return F.filter(F.split(F.coalesce(F.lower(x), F.lit("")), "[^a-z0-9à-öø-ÿß]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(F.lower(x), F.lit("")), f"[^{_SURFACE}]+"), "")
 
 
 def lines(x: Column) -> Column:
@@ -82,8 +91,8 @@ def lines(x: Column) -> Column:
 
 def ngrams(w: Column, n: int) -> Column:
     """Runs of n words joined by blanks; fewer than n words have none."""
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, runs).otherwise(F.array().cast("array<string>"))
+    runs = lambda x: F.transform(F.sequence(F.lit(1), F.size(x) - (n - 1)), lambda i: F.array_join(F.slice(x, i, n), " "))
+    return let(w, lambda x: F.when(F.size(x) >= n, runs(x)).otherwise(F.array().cast("array<string>")))
 
 
 def match_case(word: Column, like: Column) -> Column:
@@ -169,13 +178,14 @@ def ordered_unique(tokens: Column) -> Column:
 
 def collapse_runs(tokens: Column) -> Column:
     """Equal neighbours become one."""
-    return F.filter(F.transform(tokens, lambda t, i: F.when((i > 0) & (F.get(tokens, i - 1) == t), F.lit(None)).otherwise(t)), lambda t: t.isNotNull())
+    marked = lambda x: F.transform(x, lambda t, i: F.when((i > 0) & (F.get(x, i - 1) == t), F.lit(None)).otherwise(t))
+    return F.filter(let(tokens, marked), lambda t: t.isNotNull())
 
 
 def mark_repeats(tokens: Column, sign: str = "^", block: str = r"^\[\(|^\[(?:N\.C\.|Riff|Solo)") -> Column:
     """A token equal to the one just before it becomes the sign; optional tokens and markers neither change nor match."""
-    same = lambda t, i: (i > 0) & (F.get(tokens, i - 1) == t) & ~t.rlike(block)
-    return F.transform(tokens, lambda t, i: F.when(same(t, i), F.lit(sign)).otherwise(t))
+    same = lambda x, t, i: (i > 0) & (F.get(x, i - 1) == t) & ~t.rlike(block)
+    return let(tokens, lambda x: F.transform(x, lambda t, i: F.when(same(x, t, i), F.lit(sign)).otherwise(t)))
 
 
 def place_tokens(columns: Column, labels: Column) -> Column:

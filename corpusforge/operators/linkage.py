@@ -39,6 +39,8 @@ def candidate_pairs(docs: DataFrame, id: str = "doc_id", words: str = "words", n
 
 def containment(pairs: DataFrame, docs: DataFrame, id: str = "doc_id", words: str = "words") -> DataFrame:
     """Adds inter, the size of the multiset intersection of words, and least, the smaller number of words."""
+    paired = pairs.select(F.explode(F.array("a", "b")).alias(id)).distinct()
+    docs = docs.join(paired, id, "left_semi")  # only these documents' words are counted and shuffled
     counts = docs.select(F.col(id).alias("id"), F.explode(words).alias("w")).groupBy("id", "w").agg(F.count("*").alias("n"))
     sizes = docs.select(F.col(id).alias("id"), F.size(words).cast("long").alias("size"))
     named = lambda df, side: df.select(*(F.col(c).alias(c + side) for c in df.columns))
