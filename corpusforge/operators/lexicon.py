@@ -12,19 +12,21 @@ from corpusforge.functions import text as T
 
 def tokens(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, pos, form, k, prev, next): surface words, their folded keys and their neighbours' keys."""
-    w = T.surface_words(F.col(text))
-    at = lambda i: T.fold(F.get("w", i))
-    return docs.select(F.col(id).alias("id"), w.alias("w")).select("id", "w", F.posexplode("w").alias("pos", "form")).select("id", "pos", "form", T.fold(F.col("form")).alias("k"), F.when(F.col("pos") > 0, at(F.col("pos") - 1)).alias("prev"), at(F.col("pos") + 1).alias("next"))
+    # Folding maps letter to letter and leaves blanks alone, so a document's words are folded in one go.
+    rows = docs.select(F.col(id).alias("id"), T.surface_words(F.col(text)).alias("w"))
+    rows = rows.select("id", "w", F.split(T.fold(F.array_join("w", " ")), " ").alias("ks")).select("id", "ks", F.posexplode("w").alias("pos", "form"))
+    at = lambda i: F.get("ks", i)
+    return rows.select("id", "pos", "form", at(F.col("pos")).alias("k"), F.when(F.col("pos") > 0, at(F.col("pos") - 1)).alias("prev"), at(F.col("pos") + 1).alias("next"))
 
 
 def priors(tokens: DataFrame) -> DataFrame:
-    """(k, form, n)."""
-    return tokens.groupBy("k", "form").agg(F.count("*").alias("n"))
+    """(k, form, n). A form has one key, so forms are counted before they are folded."""
+    return tokens.groupBy("form").agg(F.count("*").alias("n")).select(T.fold(F.col("form")).alias("k"), "form", "n")
 
 
 def contexts(tokens: DataFrame, side: str) -> DataFrame:
     """(k, side, form, n) for side = prev or next."""
-    return tokens.filter(F.col(side).isNotNull()).groupBy("k", side, "form").agg(F.count("*").alias("n"))
+    return tokens.filter(F.col(side).isNotNull()).groupBy(side, "form").agg(F.count("*").alias("n")).select(T.fold(F.col("form")).alias("k"), side, "form", "n")
 
 
 def dominant(counts: DataFrame, by: list[str], least: int = 1, num: int = 8, den: int = 10) -> DataFrame:
@@ -33,30 +35,37 @@ def dominant(counts: DataFrame, by: list[str], least: int = 1, num: int = 8, den
     return top.select(*by, F.col("top.form").alias("form"), F.col("top.n").alias("n"), "total").filter((F.col("total") >= least) & (F.col("n") * den >= F.col("total") * num))
 
 
-def restore(targets: DataFrame, corpus: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """For each target (id, pos, k, prev, next) the form to write and the outcome.
+def restore(targets: DataFrame, corpus: DataFrame, dictionary: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """For each target (id, pos, k, prev, next) the form to write and the outcome; columns named in carry come along.
 
     A key with one dictionary form takes it (unique). With several, the form that dominates the corpus (dominant), else that
     of the left neighbour, else of the right one, each from three sightings on (context), else none (ambiguous). A key that the
     dictionary doesn't have takes the corpus's dominant form (corpus), else none (unknown). dictionary: (k, form).
+
+    All but the contexts is settled once per key. Contexts are counted for the open keys alone, and only their targets look them up.
     """
     forms = dictionary.select("k", "form").distinct().groupBy("k").agg(F.count("*").alias("forms"), F.min("form").alias("only"))
     prior = dominant(priors(corpus), ["k"]).select("k", F.col("form").alias("by_prior"))
-    left = dominant(contexts(corpus, "prev"), ["k", "prev"], 3).select("k", "prev", F.col("form").alias("by_left"))
-    right = dominant(contexts(corpus, "next"), ["k", "next"], 3).select("k", "next", F.col("form").alias("by_right"))
-    rows = targets.join(forms, "k", "left").join(prior, "k", "left").join(left, ["k", "prev"], "left").join(right, ["k", "next"], "left")
-    known = F.coalesce("forms", F.lit(0))
-    outcome = (
-        F.when(known == 1, "unique")
-        .when((known > 1) & F.col("by_prior").isNotNull(), "dominant")
-        .when((known > 1) & F.coalesce("by_left", "by_right").isNotNull(), "context")
-        .when(known > 1, "ambiguous")
-        .when(F.col("by_prior").isNotNull(), "corpus")
-        .otherwise("unknown")
+    several, found = F.coalesce("forms", F.lit(0)) > 1, F.col("by_prior").isNotNull()
+    settled = (
+        F.when(several & found, F.struct(F.lit("dominant").alias("outcome"), F.col("by_prior").alias("form")))
+        .when(several, F.struct(F.lit("open").alias("outcome"), F.lit(None).cast("string").alias("form")))
+        .when(F.col("forms") == 1, F.struct(F.lit("unique").alias("outcome"), F.col("only").alias("form")))
+        .otherwise(F.struct(F.lit("corpus").alias("outcome"), F.col("by_prior").alias("form")))
     )
-    chosen = F.when(outcome == "unique", F.col("only")).when(outcome.isin("dominant", "corpus"), F.col("by_prior")).when(outcome == "context", F.coalesce("by_left", "by_right"))
-    same = F.length(chosen) == F.length("k")
-    return rows.select("id", "pos", "k", F.when(same, chosen).otherwise(F.col("k")).alias("form"), outcome.alias("outcome"))
+    verdicts = forms.join(prior, "k", "full").select("k", settled.alias("v")).select("k", "v.outcome", F.col("v.form").alias("chosen"))
+    unsettled = verdicts.filter("outcome = 'open'").select("k")
+    open_corpus = corpus.join(unsettled, "k", "left_semi")
+    left = dominant(contexts(open_corpus, "prev"), ["k", "prev"], 3).select("k", "prev", F.col("form").alias("by_left"))
+    right = dominant(contexts(open_corpus, "next"), ["k", "next"], 3).select("k", "next", F.col("form").alias("by_right"))
+
+    rows = targets.join(verdicts, "k", "left").withColumn("outcome", F.coalesce("outcome", F.lit("unknown")))
+    near = rows.filter("outcome = 'open'").drop("outcome", "chosen").join(left, ["k", "prev"], "left").join(right, ["k", "next"], "left").withColumn("chosen", F.coalesce("by_left", "by_right"))
+    near = near.withColumn("outcome", F.when(F.col("chosen").isNotNull(), "context").otherwise("ambiguous"))
+    kept = ["id", "pos", "k", *(carry or []), "outcome", "chosen"]
+    every = rows.filter("outcome <> 'open'").select(kept).unionAll(near.select(kept))
+    same = F.length("chosen") == F.length("k")
+    return every.select("id", "pos", "k", *(carry or []), F.when(same, F.col("chosen")).otherwise(F.col("k")).alias("form"), "outcome")
 
 
 def rebuild(restored: DataFrame) -> DataFrame:

@@ -154,9 +154,9 @@ SELECT outcome, count(*) AS n, count(CASE WHEN (CASE WHEN length(chosen) = lengt
 def restore_marks(spark, sf_dir):
     tokens = lexicon.tokens(table(spark, sf_dir, "documents"))
     dictionary = lexicon.priors(tokens).filter("n >= 5").select("k", "form")
-    restored = lexicon.restore(tokens.select("id", "pos", "k", "prev", "next"), tokens, dictionary)
-    truth = tokens.select("id", "pos", F.col("form").alias("truth"))
-    return restored.join(truth, ["id", "pos"]).groupBy("outcome").agg(F.count("*").alias("n"), F.count_if(F.col("form") == F.col("truth")).alias("correct"))
+    targets = tokens.select("id", "pos", "k", "prev", "next", F.col("form").alias("truth"))
+    restored = lexicon.restore(targets, tokens, dictionary, carry=["truth"])
+    return restored.groupBy("outcome").agg(F.count("*").alias("n"), F.count_if(F.col("form") == F.col("truth")).alias("correct"))
 
 
 AFFIXES = ["SFX A Y 3", "SFX A 0 s [^sy]", "SFX A y ies [^aeiou]y", "SFX A 0 es s", "SFX B Y 2", "SFX B e ing e", "SFX B 0 ing [^e]", "PFX C Y 1", "PFX C 0 re [^r]", "SFX D Y 1", "SFX D 0 x (["]
