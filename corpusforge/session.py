@@ -32,8 +32,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame, limit: int = SPREAD_BYTES) -> DataFrame:
-    """Deals the rows of a table of checked size over all cores. A file of one row group is one task however it is split, and work
-    on texts is bound by the CPU. Larger tables have enough row groups and are left as they are."""
+    """Deals the rows of a small table of fewer files than cores over all cores. A file of one row group is one task however it is
+    split, and work on texts is bound by the CPU. Tables of `limit` bytes or more have enough row groups and are left as they are."""
     if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= limit:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
