@@ -9,11 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.session import ship_package
+from corpusforge.session import ship_package, spread
 
 #: Rows and bytes of one Arrow batch handed to Python; long texts make byte limits necessary.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
+#: A table of fewer bytes on disk than this is a row group or two, hence a task or two; its rows are dealt over all cores.
+ONE_GROUP_BYTES = 32 << 20
+
 
 def tune(spark: SparkSession) -> None:
     """Bounds the Arrow batches that Python workers receive, and hands them this package."""
@@ -23,7 +26,7 @@ def tune(spark: SparkSession) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), ONE_GROUP_BYTES)
 
 
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
