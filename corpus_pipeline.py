@@ -14,9 +14,9 @@ from corpusforge.llm.queries import vocabulary_path
 
 #: A text stays with at least this score of its best language, and with at least this chance of the best grade.
 MIN_LANGUAGE_SCORE, MIN_GOOD = 0.265, 0.5
-#: Near-duplicates: five words, fingerprints of 16 words of 64 bits. Texts of similarity 0.8 differ in 153 bits on average, with a
-#: deviation of 11.4: the radius lies two deviations above (see README).
-SHINGLE, WORDS, NEAR_RADIUS, FIRST_RADIUS = 5, 16, 176, 22
+#: Near-duplicates: five words, similarity 4 / 5. Candidates come from fingerprints of 16 words of 64 bits: at similarity 0.8 a bit
+#: differs with a chance of 0.1875 at most (sets of 4 and 5), so either bound, on the whole or on two words, misses less than one pair in a million.
+SHINGLE, SIMILARITY, WORDS, NEAR_RADIUS, LEAD, LEAD_RADIUS = 5, (4, 5), 16, 253, 2, 47
 REPEAT_BYTES, WINDOW = 200, 1024
 
 
@@ -33,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group. Rows without id can't be told apart and stay; rows that share an id stay together."""
-    found = simhash.near_duplicates(docs, size=SHINGLE, words=WORDS, radius=NEAR_RADIUS, first=FIRST_RADIUS)
+    found = simhash.similar_documents(docs, "doc_id", "text", SHINGLE, WORDS, NEAR_RADIUS, LEAD_RADIUS, LEAD, *SIMILARITY)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -51,7 +51,7 @@ def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(documents(spark, sf_dir), size=3, words=1, radius=3)
+    return simhash.near_duplicates(documents(spark, sf_dir), size=3, radius=3)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

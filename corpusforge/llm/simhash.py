@@ -5,6 +5,9 @@ of the fingerprint, and cells into tiles of bounded size. Only tiles whose popul
 lie within the radius meet; two that meet are compared exactly with numpy exclusive-or and bit
 counts, block by block, skipping blocks by the counts of finer parts. A pair of tiles yields a
 spanning forest of its links, never all pairs, so a group of copies costs what its size is.
+
+Documents of a given similarity take long fingerprints as a search for candidates only: what lies
+within a wide radius is compared again by the sets of shingles themselves.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ SEED, RADIUS = 42, 3
 TILE, BLOCK = 4096, 512
 #: Odd multipliers from the golden ratio, one for each further 64-bit word of a long fingerprint.
 GOLDEN = 0x9E3779B97F4A7C15
+#: Sets of shingles are compared in chunks of about so many documents and bytes; a large group has at most MOST chunks until they
+#: are eight times as large. Bits of the sieve that keeps texts without any candidate from being shingled again.
+SETS, SET_BYTES, MOST, SIEVE = 512, 2 << 20, 64, 1 << 24
 
 
 def shingles(text: str | None, size: int) -> list[bytes]:
@@ -45,38 +51,60 @@ def spread(h: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str | None, size: int = 3, words: int = 1) -> tuple[bytes, int]:
-    """The fingerprint, big-endian, and the number of different shingles. A bit is 1 if over half the hashes have it; no shingle: all 0."""
+def hashes(text: str | None, size: int) -> np.ndarray:
     found = shingles(text, size)
-    if not found:
-        return bytes(8 * words), 0
-    h = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found))
+    return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found))
+
+
+def vote(h: np.ndarray, words: int) -> bytes:
+    """A bit is 1 if over half the hashes have it; no hash: all 0."""
     counts = np.zeros(64 * words, np.int64)
     for i in range(0, len(h), 4096):
         bits = np.unpackbits(spread(h[i : i + 4096], words).astype(">u8").view(np.uint8).reshape(-1, 8 * words), axis=1)
         counts += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(h)).tobytes(), len(np.unique(h)) if words > 1 else len(h)
+    return np.packbits(counts * 2 > len(h)).tobytes()
 
 
-def fingerprints(documents: DataFrame, id: str, text: str, size: int = 3, words: int = 1) -> DataFrame:
-    """(id, fp binary, c1, c2): c1 and c2 place the fingerprint in a cell. With one word they are the population
-    counts of its halves; with more, c1 is the class of the number of shingles (factors of 1.25) and c2 is 0."""
+def fingerprint(text: str | None, size: int = 3, words: int = 1) -> tuple[bytes, int]:
+    """The fingerprint, big-endian, and the number of different shingles. A bit is 1 if over half the hashes have it; no shingle: all 0."""
+    h = hashes(text, size)
+    return vote(h, words), len(np.unique(h)) if words > 1 else len(h)
+
+
+def fingerprints(documents: DataFrame, id: str, text: str, size: int = 3) -> DataFrame:
+    """(id, fp binary, c1, c2): c1 and c2, the population counts of the halves of the fingerprint, place it in a cell."""
     tune(documents.sparkSession)
     df = narrow(documents, id=id, text=text)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            made = [fingerprint(t, size, words) for t in strings(batch, "text")]
-            if words == 1:
-                cells = [(int.from_bytes(f[:4], "big").bit_count(), int.from_bytes(f[4:], "big").bit_count()) for f, _ in made]
-            else:
-                cells = [(int(np.log(max(n, 1)) / np.log(1.25)), 0) for _, n in made]
-            columns = [pa.array([f for f, _ in made], pa.binary()), pa.array([a for a, _ in cells], pa.int32()), pa.array([b for _, b in cells], pa.int32())]
+            made = [fingerprint(t, size)[0] for t in strings(batch, "text")]
+            cells = [(int.from_bytes(f[:4], "big").bit_count(), int.from_bytes(f[4:], "big").bit_count()) for f in made]
+            columns = [pa.array(made, pa.binary()), pa.array([a for a, _ in cells], pa.int32()), pa.array([b for _, b in cells], pa.int32())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "fp", "c1", "c2"])
 
     return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, fp binary, c1 int, c2 int")
 
 
+def sketches(documents: DataFrame, id: str, text: str, size: int, words: int) -> DataFrame:
+    """(id, fp binary, c1, c2, digest): the digest names the set of shingles, c1 is the class of its size (factors of 1.25) and c2 is 0."""
+    tune(documents.sparkSession)
+    df = narrow(documents, id=id, text=text)
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            found = [hashes(t, size) for t in strings(batch, "text")]
+            sets = [np.unique(h) for h in found]
+            columns = [
+                pa.array([vote(h, words) for h in found], pa.binary()),
+                pa.array([int(np.log(max(len(x), 1)) / np.log(1.25)) for x in sets], pa.int32()), pa.array([0] * len(sets), pa.int32()),
+                pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "fp", "c1", "c2", "digest"])
+
+    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, fp binary, c1 int, c2 int, digest binary")
+
+
 class Forest:
     """Union-find over the indices of one pair of tiles."""
 
@@ -104,9 +132,9 @@ def parts(fp: np.ndarray) -> np.ndarray:
     return np.stack([np.bitwise_count(fp[:, 0] >> np.uint64(16 * k) & np.uint64(0xFFFF)) for k in range(4)], axis=1).astype(np.int16)
 
 
-def link(a: np.ndarray, b: np.ndarray, radius: int, first: int, forest: Forest, base: int) -> None:
+def link(a: np.ndarray, b: np.ndarray, radius: int, first: int, forest: Forest, base: int, lead: int = 1) -> None:
     """Joins in the forest all indices i of a and base + j of b whose fingerprints differ in at most `radius` bits
-    (and in at most `first` bits of their first words). Rows are sorted by their parts beforehand."""
+    (and in at most `first` bits of their first `lead` words). Rows are sorted by their parts beforehand."""
     pa_, pb_ = parts(a), parts(b)
     for i in range(0, len(a), BLOCK):
         x, px = a[i : i + BLOCK], pa_[i : i + BLOCK]
@@ -116,7 +144,10 @@ def link(a: np.ndarray, b: np.ndarray, radius: int, first: int, forest: Forest,
             gap = np.maximum(np.maximum(py.min(axis=0) - high, low - py.max(axis=0)), 0).sum()
             if gap > first:
                 continue
-            near = np.bitwise_count(x[:, 0][:, None] ^ y[:, 0][None, :]) <= first
+            far = np.bitwise_count(x[:, 0][:, None] ^ y[:, 0][None, :])
+            for k in range(1, lead):
+                far += np.bitwise_count(x[:, k][:, None] ^ y[:, k][None, :])
+            near = far <= first
             if not near.any():
                 continue
             if a.shape[1] > 1:
@@ -140,7 +171,7 @@ def _tile(tile: list, words: int) -> tuple[np.ndarray, np.ndarray]:
     return fp[order], node[order]
 
 
-def links(nodes: DataFrame, words: int, radius: int, first: int) -> DataFrame:
+def links(nodes: DataFrame, words: int, radius: int, first: int, lead: int = 1) -> DataFrame:
     """Spanning links (src, dst) of nodes (fp, c1, c2, node)."""
     # At most 33 x 33 cells, or one per class of sizes (under 200).
     sizes = {(r.c1, r.c2): r.n for r in nodes.groupBy("c1", "c2").agg(F.count("*").alias("n")).collect()}
@@ -169,7 +200,7 @@ def links(nodes: DataFrame, words: int, radius: int, first: int) -> DataFrame:
                 if row["same"]:
                     for i in range(len(na)):
                         forest.parent[len(na) + i] = i
-                link(a, b, radius, first, forest, len(na))
+                link(a, b, radius, first, forest, len(na), lead)
                 roots = forest.roots(0, len(node))
                 least = np.full(len(node), np.iinfo(np.int64).max)
                 np.minimum.at(least, roots, node)
@@ -181,18 +212,114 @@ def links(nodes: DataFrame, words: int, radius: int, first: int) -> DataFrame:
     return pairs.mapInArrow(run, "src long, dst long")
 
 
-def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3, words: int = 1, radius: int = RADIUS, first: int | None = None) -> DataFrame:
-    """Links documents whose fingerprints of 64 * words bits differ in at most `radius` bits, and finds their components.
+def verify(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> list[tuple[int, int]]:
+    """Spanning links (i, j) of all pairs of sets whose common share of all their elements is at least num / den: pairs within left,
+    or of left with right (j counts on from left). Pairs that are joined already are not compared."""
+    sets = left + (right or [])
+    size = np.array([len(x) for x in sets], np.int64)
+    end = np.cumsum(size)
+    start = end - size
+    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    label, mark, out = np.arange(len(sets)), np.zeros(len(vocabulary), bool), []
+    other = np.arange(len(sets)) >= (len(left) if right is not None else 0)
+    fits = lambda i: (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (size > 0)
+    for i in range(len(left)):
+        if right is None:
+            other[i] = False
+        rows = np.nonzero(other & (label != label[i]) & fits(i))[0]
+        if not len(rows):
+            continue
+        own = ids[start[i] : end[i]]
+        mark[own] = True
+        hit = mark[ids] if 4 * size[rows].sum() > len(ids) else None
+        if hit is None:
+            hit, at = mark[np.concatenate([ids[start[j] : end[j]] for j in rows])], np.cumsum(size[rows]) - size[rows]
+            common = np.add.reduceat(hit, at, dtype=np.int64)
+        else:
+            total = np.concatenate([[0], np.cumsum(hit)])
+            common = total[end[rows]] - total[start[rows]]
+        mark[own] = False
+        for j in rows[common * den >= (size[rows] + size[i] - common) * num].tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                out.append((i, j))
+    return out
+
+
+def shingle_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, size: int) -> DataFrame:
+    """(node, component, set, digest): the shingles, as sorted 64-bit hashes, of the documents that `wanted` (node, component) names."""
+    at = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(SIEVE)).cast("int")
+    sieve = np.zeros(SIEVE // 64, np.uint64)
+    bit = F.expr("bit_or(shiftleft(1L, at & 63))")
+    for r in wanted.select(at(F.col("node")).alias("at")).groupBy(F.expr("at div 64").alias("k")).agg(bit.alias("bits")).collect():
+        sieve[r.k] = r.bits & 0xFFFFFFFFFFFFFFFF
+    shared = documents.sparkSession.sparkContext.broadcast(sieve)  # 2 MB
+    df = narrow(documents, id=id, text=text).filter("id is not null").select(F.col("id").cast("long").alias("node"), at(F.col("id")).alias("at"), "text")
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            at = batch.column(1).to_numpy()
+            batch = batch.take(pa.array(np.nonzero(shared.value[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1))[0]))
+            sets = [np.unique(hashes(t, size)).tobytes() for t in strings(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(map(xxhash.xxh3_128_digest, sets), pa.binary())], names=["node", "set", "digest"])
+
+    return df.mapInArrow(run, "node long, set binary, digest binary").join(wanted, "node")
+
+
+def verified_links(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Spanning links (src, dst) of members (node, component, set, digest) of equal component whose sets have a similarity of num / den at least.
+
+    A component is dealt into chunks of bounded size and all pairs of its chunks meet, so a large one is the work of many tasks.
+    """
+    counts = members.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.length("set")).alias("bytes"))
+    chunks = F.least(F.greatest(F.ceil(F.col("n") / SETS), F.ceil(F.col("bytes") / SET_BYTES), F.lit(1)), F.greatest(F.lit(MOST), F.ceil(F.col("bytes") / (8 * SET_BYTES))))
+    dealt = members.join(counts.select("component", chunks.cast("int").alias("chunks")), "component").withColumn("chunk", F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int"))
+    tiles = checkpoint(dealt.groupBy("component", "chunks", "chunk").agg(F.collect_list(F.struct("node", "set")).alias("tile")).filter("chunks > 1 or size(tile) > 1"))
+    own = tiles.select("tile", F.lit(None).cast(tiles.schema["tile"].dataType).alias("other"), F.xxhash64("component", "chunk").alias("deal"))
+    later = tiles.filter("chunk < chunks - 1").select("component", F.col("chunk").alias("from"), F.col("tile").alias("first"), F.explode(F.sequence(F.col("chunk") + 1, F.col("chunks") - 1)).alias("chunk"))
+    met = later.join(tiles, ["component", "chunk"]).select(F.col("first").alias("tile"), F.col("tile").alias("other"), F.xxhash64("component", "chunk", "from").alias("deal"))
+    pairs = own.unionAll(met).repartition("deal").select("tile", "other")
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            edges = []
+            for tile, other in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
+                left, right = ([np.frombuffer(x["set"], np.uint64) for x in rows] if rows is not None else None for rows in (tile, other))
+                nodes = [x["node"] for x in tile + (other or [])]
+                edges += [(nodes[i], nodes[j]) for i, j in verify(left, right, num, den)]
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["src", "dst"])
+
+    return pairs.mapInArrow(run, "src long, dst long")
+
+
+def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3, radius: int = RADIUS) -> DataFrame:
+    """Links documents whose fingerprints of 64 bits differ in at most `radius` bits, and finds their components.
 
     Returns id, fingerprint (lowercase hex), component_id (the smallest id reachable, the own one included). ids are
-    integers. With more than one word, linked fingerprints also differ in at most `first` bits of their first words and their
-    numbers of different shingles lie in the same or neighbouring classes of a factor of 1.25.
+    integers.
     Null and empty texts have the fingerprint zero and are linked like any other. Equal texts share a fingerprint. A
     row without id takes the component of its fingerprint. Repeated rows stay. An empty table gives an empty result.
     """
-    first = radius if first is None else first
-    made = checkpoint(fingerprints(documents, id, text, size, words))
+    made = checkpoint(fingerprints(documents, id, text, size))
     nodes = checkpoint(made.groupBy("fp", "c1", "c2").agg(F.min("id").cast("long").alias("node")))
-    found = connected_components(links(nodes.filter("node is not null"), words, radius, first))
+    found = connected_components(links(nodes.filter("node is not null"), 1, radius, radius))
     named = nodes.join(found, nodes.node == found.node, "left").select("fp", "c1", "c2", F.coalesce("component", nodes.node).alias("component_id"))
     return made.join(named, ["fp", "c1", "c2"]).select(F.col("id").alias(id), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def similar_documents(documents: DataFrame, id: str, text: str, size: int, words: int, radius: int, first: int, lead: int, num: int, den: int) -> DataFrame:
+    """Links documents whose sets of shingles have a similarity (common ones of all) of at least num / den, and finds their components.
+
+    Returns id and component_id (the smallest id reachable, the own one included). ids are integers. Only candidates are compared:
+    documents joined by pairs whose fingerprints of 64 * words bits differ in at most `radius` bits, and in at most `first`
+    bits of their first `lead` words. num / den must be 0.8 at least, since candidates are of neighbouring classes of size. Null
+    and empty texts have equal sets. A row without id takes the component of its set. Repeated rows stay.
+    """
+    made = checkpoint(sketches(documents, id, text, size, words))
+    nodes = checkpoint(made.groupBy("fp", "c1", "c2", "digest").agg(F.min("id").cast("long").alias("node")))
+    candidates = checkpoint(connected_components(links(nodes.filter("node is not null"), words, radius, first, lead)))
+    members = checkpoint(shingle_sets(documents, candidates, id, text, size))
+    same = nodes.groupBy("digest").agg(F.min("node").alias("dst")).join(nodes, "digest").select(F.col("node").alias("src"), "dst")
+    found = connected_components(verified_links(members, num, den).unionAll(same.filter("src <> dst")))
+    named = nodes.join(found, nodes.node == found.node, "left").select("fp", "digest", F.coalesce("component", nodes.node).alias("component_id"))
+    return made.join(named, ["fp", "digest"]).select(F.col("id").alias(id), "component_id")

@@ -151,3 +151,62 @@ def test_suffix_sorting(seed):
 def test_cover_meets_every_pair():
     d = suffix._distances()
     assert all((r + d[r, s]) % 7 in suffix.COVER and (s + d[r, s]) % 7 in suffix.COVER for r in range(7) for s in range(7))
+
+
+# -- similar documents ---------------------------------------------------------------------------------------------------
+def similar_texts():
+    """Texts of 100 shingles of five words and their edits: a changed word at the end costs one shingle, further ones in a row one each."""
+    rng = random.Random(8)
+    out = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(99999)}" for _ in range(104)]
+        out += [" ".join(words)] + [" ".join([*words[: 104 - k], *(f"x{rng.randrange(99999)}" for _ in range(k))]) for k in (9, 10, 11, 12, 14, 18)]
+    return out + [f"a b c d e f g h{x}" for x in ("", " i", " j k")] + [None, "", "one two", "ONE two", "one two three"]
+
+
+def plain_components(texts, least=0.8):
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for w in ((t or "").lower().split() for t in texts)]
+    alike = lambda x, y: x == y or len(x & y) >= least * len(x | y) > 0
+    label = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and alike(x, sets[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if v == b else v for v in label]
+    return label
+
+
+@pytest.mark.parametrize("chunk", [512, 4])
+def test_similar_documents_by_their_shingles(spark, monkeypatch, chunk):
+    import corpus_pipeline as p
+
+    monkeypatch.setattr(simhash, "SETS", chunk)
+    texts = similar_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = simhash.similar_documents(df, "doc_id", "text", p.SHINGLE, p.WORDS, p.NEAR_RADIUS, p.LEAD_RADIUS, p.LEAD, *p.SIMILARITY)
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(plain_components(texts)))
+
+
+def test_verify_counts_common_elements():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(np.concatenate([np.arange(40) + 50 * (k % 3), rng.integers(1000, 9999, rng.integers(0, 12))]).astype(np.uint64)) for k in range(40)]
+    linked = {(i, j) for i in range(40) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) * 5 >= 4 * len(np.union1d(sets[i], sets[j]))}
+    for left, right in ((sets, None), (sets[:15], sets[15:])):
+        edges = linked if right is None else {(i, j) for i, j in linked if i >= 15 > j}
+        found = simhash.verify(left, right, 4, 5)
+        assert all((max(e), min(e)) in edges for e in found)
+        label = list(range(40))
+        for i, j in found:
+            a, b = sorted((label[i], label[j]))
+            label = [a if v == b else v for v in label]
+        assert all(label[i] == label[j] for i, j in edges)
+
+
+def test_pipeline_keeps_documents_below_the_similarity(spark):
+    """Radius 176 linked pairs of similarity 0.75 and missed sets of 4 and 5 shingles."""
+    import corpus_pipeline as p
+
+    texts = similar_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    label = plain_components(texts)
+    assert sorted(r.doc_id for r in p.near_dedup(spark, df, None).collect()) == [i for i, v in enumerate(label) if i == v]
