@@ -12,8 +12,8 @@ from corpusforge.llm import langid, ordinal, packing, simhash, suffix
 from corpusforge.llm.common import checkpoint, documents
 from corpusforge.llm.queries import vocabulary_path
 
-#: A text stays with at least this score of its best language, and with at least this chance of the best grade.
-MIN_LANGUAGE_SCORE, MIN_GOOD = 0.265, 0.5
+#: A text stays with at least this part of its best language's usual familiarity (see README), and with at least this chance of the best grade.
+MIN_FAMILIARITY, MIN_GOOD = 0.78, 0.5
 #: Near-duplicates: five words, similarity 4 / 5. Candidates come from fingerprints of 16 words of 64 bits: at similarity 0.8 a bit
 #: differs with a chance of 0.1875 at most (sets of 4 and 5), so either bound, on the whole or on two words, misses less than one pair in a million.
 SHINGLE, SIMILARITY, WORDS, NEAR_RADIUS, LEAD, LEAD_RADIUS = 5, (4, 5), 16, 253, 2, 47
@@ -22,7 +22,7 @@ REPEAT_BYTES, WINDOW = 200, 1024
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters and those that resemble no learned language."""
-    return langid.keep_known(docs, langid.train(docs), MIN_LANGUAGE_SCORE)
+    return langid.keep_known(docs, langid.train(docs), MIN_FAMILIARITY)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,8 @@ from .common import Batches, narrow, strings, tune
 BITS, GRAMS = 13, (1, 2, 3)
 #: Bound of the training sample: about this many texts a language, and landmarks a language.
 PER_LANGUAGE, LANDMARKS, RIDGE = 400, 40, 1e-2
+#: An n-gram is familiar to a language if at least this share of its training texts have it.
+FAMILIAR = 0.02
 UNKNOWN = "und"
 NO_LETTERS = re.compile(r"[\W\d_]+")
 SEEDS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)  # odd 32-bit multipliers
@@ -53,10 +55,21 @@ class Model:
     landmarks: np.ndarray  # float32, landmarks x bits
     size: np.ndarray  # square roots of the landmarks' numbers of n-grams
     weights: np.ndarray  # (landmarks + 1) x languages
+    familiar: np.ndarray  # 0 and 1, languages x bits
+    usual: np.ndarray  # what share of a text's n-grams is familiar, the median of texts of each language
 
     def scores(self, bits: np.ndarray) -> np.ndarray:
         return with_one(kernel(bits.astype(np.float32), self.landmarks, self.size)) @ self.weights
 
+    def familiarity(self, bits: np.ndarray) -> np.ndarray:
+        """Of the best language alone: the share of familiar n-grams, by the usual one. Other languages don't enter, nor does their number."""
+        best = self.scores(bits).argmax(axis=1)
+        return known(bits, self.familiar[best]) / self.usual[best]
+
+
+def known(bits: np.ndarray, familiar: np.ndarray) -> np.ndarray:
+    return (bits & familiar).sum(axis=-1, dtype=np.int64) / np.maximum(bits.sum(axis=-1, dtype=np.int64), 1)
+
 
 def kernel(bits: np.ndarray, landmarks: np.ndarray, size: np.ndarray) -> np.ndarray:
     own = np.sqrt(np.maximum(bits.sum(axis=1), 1))
@@ -82,7 +95,10 @@ def fit(languages: list[str], bits: np.ndarray, landmarks: int = LANDMARKS, ridg
     weight = (len(y) / len(names) / np.bincount(y, minlength=len(names)))[y][:, None]
     gram = phi.T @ (phi * weight) / len(y)
     beta = np.linalg.solve(gram + ridge * np.diag([1.0] * len(chosen) + [1e-6]), phi.T @ (target * weight) / len(y))
-    return Model(names, marks, size, np.vstack([whiten @ beta[:-1], beta[-1:]]).astype(np.float32))
+    own = [bits[y == c] for c in range(len(names))]
+    familiar = np.stack([(b[::2].mean(axis=0) >= FAMILIAR).astype(np.uint8) for b in own])
+    usual = np.array([max(np.median(known(b[1::2] if len(b) > 1 else b, f)), 1e-6) for b, f in zip(own, familiar)])  # on texts that weren't counted
+    return Model(names, marks, size, np.vstack([whiten @ beta[:-1], beta[-1:]]).astype(np.float32), familiar, usual)
 
 
 def held_out(id: Column) -> Column:
@@ -146,8 +162,8 @@ def identify(documents: DataFrame, model: Model | None, id: str = "doc_id", text
 
 
 def keep_known(documents: DataFrame, model: Model | None, min_score: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text has a letter and a best score of at least min_score. Without a model
-    every text with a letter stays."""
+    """The rows, with all their columns, whose text has a letter and at least min_score of the familiarity that texts of its best
+    language usually have. Without a model every text with a letter stays."""
     tune(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # languages x landmarks x 2^BITS numbers
 
@@ -156,8 +172,8 @@ def keep_known(documents: DataFrame, model: Model | None, min_score: float, text
             bits = [presence(t) for t in strings(batch, text)]
             have = [i for i, b in enumerate(bits) if b is not None]
             if have and shared.value:
-                best = shared.value.scores(np.stack([bits[i] for i in have])).max(axis=1)
-                have = [i for i, f in zip(have, best.tolist()) if (f + 1) / 2 >= min_score]
+                found = shared.value.familiarity(np.stack([bits[i] for i in have]))
+                have = [i for i, f in zip(have, found.tolist()) if f >= min_score]
             yield batch.take(pa.array(have, pa.int64()))
 
     return documents.mapInArrow(run, documents.schema)

@@ -6,6 +6,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusforge.llm import html, langid, merkle, ordinal
 
 WORDS = {"en": "the and of that with this from they have are".split(), "de": "der und nicht eine mit auf für werden über ist".split(), "fr": "le est une dans que les pour avec été où".split()}
@@ -31,6 +33,26 @@ def test_language(spark):
     assert {r.doc_id for r in langid.keep_known(df, model, 0.0).collect()} >= {1003} and not {1000, 1001, 1002} & {r.doc_id for r in langid.keep_known(df, model, 0.0).collect()}
 
 
+FOREIGN = [
+    "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему.", "幸福的家庭都是相似的，不幸的家庭各有各的不幸。",
+    "Wszystkie szczęśliwe rodziny są do siebie podobne, każda nieszczęśliwa rodzina jest nieszczęśliwa na swój sposób.",
+    "Kaikki onnelliset perheet ovat toistensa kaltaisia, jokainen onneton perhe on onneton omalla tavallaan.",
+    "a3f9c2e4b7d1f0a8e6c5b4d3a2f1e0d9c8b7a6f5e4d3c2b1", "xkcd qwrtz bvnmpl sdfghj zxcvb mnbvc lkjhg qwrty plmkn",
+]
+
+
+@pytest.mark.parametrize("labels", [1, 2, 4])
+def test_unknown_languages_go_whatever_the_number_of_labels(spark, labels):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.col("lang").isin(["en", "de", "fr", "es"][:labels]))
+    model = langid.train(docs)
+    foreign = spark.createDataFrame([(-i, t) for i, t in enumerate(FOREIGN)], "doc_id long, text string")
+    assert langid.keep_known(foreign, model, corpus_pipeline.MIN_FAMILIARITY).count() == 0
+    held = docs.filter(langid.held_out(F.col("doc_id")) & F.col("text").rlike("[a-z]"))
+    assert langid.keep_known(held, model, corpus_pipeline.MIN_FAMILIARITY).count() >= 0.99 * held.count() > 50
+
+
 def test_language_held_out_labels_are_not_used(spark):
     import zlib
 
