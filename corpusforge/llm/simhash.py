@@ -66,9 +66,11 @@ def vote(h: np.ndarray, words: int) -> bytes:
 
 
 def fingerprint(text: str | None, size: int = 3, words: int = 1) -> tuple[bytes, int]:
-    """The fingerprint, big-endian, and the number of different shingles. A bit is 1 if over half the hashes have it; no shingle: all 0."""
+    """The fingerprint, big-endian, and the number of hashes that voted. A bit is 1 if over half the hashes have it; no shingle: all 0.
+    One word counts repeated shingles; with more each different shingle votes once, as the similarity of sets wants."""
     h = hashes(text, size)
-    return vote(h, words), len(np.unique(h)) if words > 1 else len(h)
+    h = np.unique(h) if words > 1 else h
+    return vote(h, words), len(h)
 
 
 def fingerprints(documents: DataFrame, id: str, text: str, size: int = 3) -> DataFrame:
@@ -93,10 +95,9 @@ def sketches(documents: DataFrame, id: str, text: str, size: int, words: int) ->
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            found = [hashes(t, size) for t in strings(batch, "text")]
-            sets = [np.unique(h) for h in found]
+            sets = [np.unique(hashes(t, size)) for t in strings(batch, "text")]
             columns = [
-                pa.array([vote(h, words) for h in found], pa.binary()),
+                pa.array([vote(x, words) for x in sets], pa.binary()),
                 pa.array([int(np.log(max(len(x), 1)) / np.log(1.25)) for x in sets], pa.int32()), pa.array([0] * len(sets), pa.int32()),
                 pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
             ]

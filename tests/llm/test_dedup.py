@@ -210,3 +210,11 @@ def test_pipeline_keeps_documents_below_the_similarity(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     label = plain_components(texts)
     assert sorted(r.doc_id for r in p.near_dedup(spark, df, None).collect()) == [i for i, v in enumerate(label) if i == v]
+
+
+def test_repeated_passages_do_not_move_long_fingerprints():
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(99999)}" for _ in range(200)]
+    line = [f"v{rng.randrange(99999)}" for _ in range(20)]
+    once, often = (" ".join(words + line * n) for n in (2, 9))  # the same set of shingles
+    assert simhash.fingerprint(once, 5, 16) == simhash.fingerprint(often, 5, 16) and simhash.fingerprint(once, 3) != simhash.fingerprint(often, 3)
