@@ -7,6 +7,8 @@ renderer emits all visible text with block spacing, list markers and aligned tab
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -14,13 +16,16 @@ from pyspark.sql import DataFrame
 
 from .common import Batches, narrow, strings, tune
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(!|\?)[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: What may follow a tag's name up to its end, without the quoted values.
+BARE = re.compile(r"[^>\"']*")
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+INTEGER = re.compile(r"[ \t\n\f\r]*([+-]?[0-9]+)")
 
 # Fixed values of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
-HIDDEN = {"head", "script", "style", "template", "noscript", "title", "iframe", "object", "audio", "video", "canvas", "svg", "math", "datalist", "noembed", "noframes", "param"}
+HIDDEN = {"head", "script", "style", "template", "noscript", "title", "iframe", "object", "audio", "video", "canvas", "annotation", "annotation-xml", "desc", "metadata", "defs", "symbol", "datalist", "noembed", "noframes", "param"}
 SPACED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "blockquote", "pre", "table", "figure", "hr", "fieldset"}
 BLOCKS = SPACED | {"address", "article", "aside", "body", "center", "dd", "details", "dialog", "div", "dt", "figcaption", "footer", "form", "header", "hgroup", "html", "legend", "li", "main", "menu", "nav", "option", "search", "section", "summary", "tr", "caption"}
 HEAD_ONLY = {"base", "link", "meta", "script", "style", "template", "title", "noscript"}
@@ -42,6 +47,15 @@ CLOSES = {
 #: Inside these, anything but the parts of a table is moved in front of the table.
 TABLE_CONTEXT = {"table", "thead", "tbody", "tfoot", "tr"}
 TABLE_PARTS = {"caption", "colgroup", "col", "thead", "tbody", "tfoot", "tr", "td", "th", "script", "style", "template"}
+#: HTML's own bounds of spans.
+COLSPAN, ROWSPAN = 1000, 65534
+#: Elements open at once; deeper ones are siblings, as in browsers. Their text stays.
+DEPTH = 400
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|$)", re.I | re.A) for tag in RAW}
+#: Blanks in front of an aligned cell at most; a table of ever wider rows would else be written in quadratic space.
+PAD = 200
+#: Inside a drawing only these hold text that is shown.
+DRAWN = {"text", "foreignobject"}
 SCOPES = {"table", "td", "th", "caption", "button", "object", "html", "template"}
 
 
@@ -52,28 +66,95 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def plain(text: str) -> str:
+    """Character references resolved; a number of too many digits is no character."""
+    if "&#" in text:
+        text = re.sub(r"&#0*([0-9]*)", lambda m: f"&#{m[1] if len(m[1]) < 8 else 1 << 21}", text, flags=re.A)
+    return unescape(text) if "&" in text else text
+
+
 def attributes(text: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(text):
-        out.setdefault(name.lower(), unescape(value.strip("\"'") if value else ""))
+        if value[:1] in ("'", '"') and value[-1] == value[0] and len(value) > 1:
+            value = value[1:-1]
+        out.setdefault(name.lower(), plain(value))
     return out
 
 
+class Tokens:
+    """Cuts a page into text, comments and tags in one pass. What is sought and not there is remembered, so that no number of
+    unclosed tags, quotes or comments makes a page be searched twice."""
+
+    def __init__(self, html: str):
+        self.html, self.absent = html, set()
+
+    def find(self, sign: str, at: int) -> int:
+        if sign in self.absent:
+            return -1
+        found = self.html.find(sign, at)
+        if found < 0:
+            self.absent.add(sign)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """Where the sign that ends a tag stands; -1 if none does. A quote that is never closed is an ordinary character."""
+        html, size = self.html, len(self.html)
+        while True:
+            at = BARE.match(html, at).end()
+            if at >= size:
+                return -1
+            if html[at] == ">":
+                return at
+            before = at - 1
+            while html[before].isspace():
+                before -= 1
+            close = self.find(html[at], at + 1) if html[before] == "=" else -1  # elsewhere a quote is an ordinary character
+            at = at + 1 if close < 0 else close + 1
+
+    def __call__(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the next tag from `at`, without name for a comment; None if there is none."""
+        html, size = self.html, len(self.html)
+        while (start := self.find("<", at)) >= 0:
+            after = html[start + 1 : start + 2]
+            if after in ("!", "?"):
+                sign = "-->" if html.startswith("<!--", start) else ">"
+                end = self.find(sign, start + (4 if sign == "-->" else 2))
+                return start, size if end < 0 else end + len(sign), "", "", ""
+            slash = "/" if after == "/" else ""
+            name = NAME.match(html, start + 1 + len(slash))
+            if name:
+                if ">" in self.absent or (end := self.tag_end(name.end())) < 0:
+                    self.absent.add("<")  # no tag ends from here on: the rest is text
+                    return None
+                return start, end + 1, slash, name[0], html[name.end() : end]
+            at = start + 1
+        return None
+
+
 def build(html: str) -> Node:
     """The tree, with html, head, body, tbody and tr supplied and open elements closed as start tags imply."""
     root = Node("html", {})
-    stack, at, lower = [root], 0, None
+    stack, at = [root], 0
+
+    opened: Counter = Counter()  # open elements by name, so that what is not open is not sought
+
+    def cut(k: int) -> None:
+        opened.subtract(n.tag for n in stack[k:])
+        del stack[k:]
 
     def close(names: set[str], bounds: set[str]) -> None:
+        if not any(opened[n] for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in bounds:
                 return
             if stack[k].tag in names:
-                del stack[k:]
+                cut(k)
                 return close(names, bounds)
 
     def add(item, tag: str = "") -> None:
-        table = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "table"), 0) if stack[-1].tag in TABLE_CONTEXT and tag not in TABLE_PARTS else 0
+        table = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "table"), 0) if stack[-1].tag in TABLE_CONTEXT and tag not in TABLE_PARTS and opened["table"] else 0
         if table:
             siblings = stack[table - 1].children
             siblings.insert(next((k for k in range(len(siblings) - 1, -1, -1) if siblings[k] is stack[table]), len(siblings)), item)
@@ -84,14 +165,16 @@ def build(html: str) -> Node:
         node = Node(tag, attrs)
         add(node, tag)
         stack.append(node)
+        opened[tag] += 1
 
     def in_body() -> None:
         if stack[-1].tag == "head":
-            stack.pop()
+            cut(len(stack) - 1)
         if len(stack) == 1 and stack[0].tag == "html":
             body = next((c for c in root.children if isinstance(c, Node) and c.tag == "body"), None)
             if body:
                 stack.append(body)
+                opened["body"] += 1
             else:
                 push("body", {})
 
@@ -103,30 +186,32 @@ def build(html: str) -> Node:
                 return
             in_body()
         if value.strip() or stack[-1].tag not in TABLE_CONTEXT:
-            add(unescape(value))
-
-    for m in iter(lambda: TOKEN.search(html, at), None):
-        text(html[at : m.start()])
-        at = m.end()
-        if m[3] is None:
+            add(plain(value))
+
+    tokens = Tokens(html)
+    while (token := tokens(at)) is not None:
+        start, end, slash, name, inner = token
+        text(html[at:start])
+        at = end
+        if not name:
             continue
-        tag = m[3].lower()
-        if m[2]:  # an end tag
+        tag = name.lower()
+        if slash:  # an end tag
             if tag in ("html", "body"):
                 continue
-            if tag in ("br", "p") and not any(n.tag == tag for n in stack):
+            if tag in ("br", "p") and not opened[tag]:
                 in_body()
                 add(Node(tag, {}), tag)
                 continue
             bounds = {"table"} if tag not in ("table",) and tag in CLOSES else (set() if tag == "table" else {"td", "th", "table"} - {tag})
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k].tag in bounds and tag not in BLOCKS | {"tbody", "thead", "tfoot"}:
                     break
             continue
-        attrs = attributes(m[4]) if m[4].strip(" /\t\n") else {}
+        attrs = attributes(inner) if inner.strip(" /\t\n") else {}
         if tag == "html":
             root.attrs = {**attrs, **root.attrs}
             continue
@@ -136,7 +221,7 @@ def build(html: str) -> Node:
             continue
         if tag == "body":
             in_body()
-            body = next(n for n in stack if n.tag == "body") if any(n.tag == "body" for n in stack) else stack[-1]
+            body = next(n for n in stack if n.tag == "body") if opened["body"] else stack[-1]
             body.attrs = {**attrs, **body.attrs}
             continue
         if len(stack) == 1 and tag in HEAD_ONLY and not root.children:
@@ -154,7 +239,7 @@ def build(html: str) -> Node:
         elif tag == "tr" and stack[-1].tag == "table":
             push("tbody", {})
         if tag[0] == "h" and tag[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in VOID:
             add(Node(tag, attrs), tag)
             continue
@@ -162,15 +247,15 @@ def build(html: str) -> Node:
             close({"table"}, {"td", "th", "caption"})
         push(tag, attrs)
         if tag in RAW:
-            lower = lower if lower is not None else html.lower()
-            end = lower.find(f"</{tag}", at)
-            end = len(html) if end < 0 else end
+            found = RAW_END[tag].search(html, at)
+            end = found.start() if found else len(html)
             value = html[at:end]
-            stack.pop().children.append(unescape(value) if tag in ("textarea", "title") else value)
+            stack[-1].children.append(plain(value) if tag in ("textarea", "title") else value)
+            cut(len(stack) - 1)
             closing = html.find(">", end)
             at = len(html) if closing < 0 else closing + 1
-        elif len(stack) > 400:  # deeper nesting stays flat, as in browsers
-            stack.pop()
+        elif inner.endswith("/") and (opened["svg"] or opened["math"]) or len(stack) > DEPTH:
+            cut(len(stack) - 1)
     text(html[at:])
     return root
 
@@ -191,20 +276,27 @@ class Canvas:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.line, self.space, self.gap, self.marker = "", False, 0, ""
+        self.parts: list[str] = []  # of the line being written
+        self.space, self.gap, self.marker = False, 0, ""
+
+    def take(self) -> str:
+        line, self.parts = "".join(self.parts).rstrip(), []
+        return line
 
     def break_line(self, gap: int = 0) -> None:
-        if self.line.strip():
-            self.lines.append(self.line.rstrip())
-        self.line, self.space = "", False
+        if line := self.take():
+            self.lines.append(line)
+        self.space = False
         self.gap = max(self.gap, gap)
 
     def begin(self) -> None:
-        if not self.line:
+        if not self.parts:
             if self.lines:
                 self.lines += [""] * self.gap
             self.gap = 0
-            self.line, self.marker = self.marker, " " * (len(self.marker) - len(self.marker.lstrip())) if not self.marker.strip() else " " * len(self.marker)
+            if self.marker:
+                self.parts.append(self.marker)
+            self.marker = " " * len(self.marker)
 
     def write(self, text: str) -> None:
         words = text.split()
@@ -212,23 +304,26 @@ class Canvas:
             self.space = self.space or bool(text)
             return
         lead = text[0].isspace() or self.space
-        fresh = not self.line
+        fresh = not self.parts
         self.begin()
-        self.line += (" " if lead and not fresh else "") + " ".join(words)
+        self.parts.append((" " if lead and not fresh else "") + " ".join(words))
         self.space = text[-1].isspace()
 
+    def close(self, sign: str) -> None:
+        """A sign right behind what is written."""
+        self.begin()
+        self.parts.append(sign)
+
     def verbatim(self, text: str) -> None:
-        first, *rest = text.split("\n")
-        for k, part in enumerate([first, *rest]):
+        for k, part in enumerate(text.split("\n")):
             if k:
-                if self.line:
-                    self.lines.append(self.line.rstrip())
+                if self.parts:
+                    self.lines.append(self.take())
                 elif self.lines:
                     self.lines.append("")
-                self.line = ""
             if part:
                 self.begin()
-                self.line += part.expandtabs(8)
+                self.parts.append(part.expandtabs(8))
 
     def text(self) -> str:
         self.break_line()
@@ -247,44 +342,64 @@ def table_rows(node: Node) -> list[Node]:
 
 
 def number(value: str | None, default: int) -> int:
-    return int(value) if value and value.lstrip("-").isdigit() and len(value) < 9 else default
+    """An integer as HTML reads it: blanks, a sign, ASCII digits, then anything. Others, and those of over nine digits, count as missing."""
+    found = INTEGER.match(value or "")
+    return int(found[1]) if found and len(found[1].lstrip("+-")) < 10 else default
 
 
-def render_table(node: Node) -> list[str]:
-    """Cells of a column start at the same place; cells of several lines keep them; spans take the columns they cover."""
-    grid: list[list[tuple[int, list[str]]]] = []
-    taken: dict[tuple[int, int], bool] = {}
-    for y, row in enumerate(table_rows(node)):
-        x, cells = 0, []
+def grid_of(node: Node) -> list[list[tuple[int, list[str]]]]:
+    """(column, lines) of the cells of each row. What spans down from earlier rows is kept as runs (from, to, first free row)."""
+    grid, hanging, rows = [], [], table_rows(node)
+    for y, row in enumerate(rows):
+        hanging = [h for h in hanging if h[2] > y]
+        x, k, cells, fresh = 0, 0, [], []
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell):
-                while taken.get((y, x)):
-                    x += 1
-                wide, high = max(1, min(number(cell.attrs.get("colspan"), 1), 100)), max(1, min(number(cell.attrs.get("rowspan"), 1), 1000))
-                for j in range(1, high):
-                    for i in range(wide):
-                        taken[y + j, x + i] = True
+                while k < len(hanging) and hanging[k][0] <= x:
+                    x = max(x, hanging[k][1])
+                    k += 1
+                wide = min(max(number(cell.attrs.get("colspan"), 1), 1), COLSPAN)
+                high = number(cell.attrs.get("rowspan"), 1)
                 cells.append((x, render(cell).split("\n")))
+                if high == 0 or high > 1:  # 0: down to the end
+                    fresh.append((x, x + wide, min(y + min(high or ROWSPAN, ROWSPAN), len(rows))))
                 x += wide
+        if fresh:
+            joined = []
+            for h in sorted(hanging + fresh):
+                if joined and joined[-1][1:] == (h[0], h[2]):
+                    joined[-1] = (joined[-1][0], *h[1:])
+                else:
+                    joined.append(h)
+            hanging = joined
         grid.append(cells)
+    return grid
+
+
+def render_table(node: Node) -> list[str]:
+    """Cells of a column start at the same place; cells of several lines keep them; spans take the columns they cover."""
+    grid = grid_of(node)
     starts = sorted({x for row in grid for x, _ in row})
     width = dict.fromkeys(starts, 0)
     for row in grid:
         for (x, lines), after in zip(row, [*row[1:], None]):
-            covered = [s for s in starts if s >= x and (after is None or s < after[0])]
-            if len(covered) == 1:
+            following = bisect_right(starts, x)
+            if following == len(starts) or after is not None and starts[following] >= after[0]:
                 width[x] = max(width[x], *(len(line) for line in lines))
     place, at = {}, 0
     for x in starts:
         place[x], at = at, at + width[x] + 2
     out = []
     for row in grid:
-        for k in range(max((len(lines) for _, lines in row), default=0)):
-            line = ""
-            for x, lines in row:
-                if k < len(lines) and lines[k]:
-                    line = line.ljust(max(place[x], len(line) + 2 if line else 0)) + lines[k]
-            out.append(line.rstrip())
+        parts: list[list[str]] = [[] for _ in range(max((len(lines) for _, lines in row), default=0))]
+        sizes = [0] * len(parts)
+        for x, lines in row:
+            for k, line in enumerate(lines):
+                if line:
+                    pad = min(max(place[x] - sizes[k], 2 if sizes[k] else 0), PAD)
+                    parts[k].append(" " * pad + line)
+                    sizes[k] += pad + len(line)
+        out += ["".join(p).rstrip() for p in parts]
     return out
 
 
@@ -300,7 +415,7 @@ def render(node: Node) -> str:
                 continue
             tag = child.tag
             if tag == "br":
-                if not canvas.line and canvas.lines:
+                if not canvas.parts and canvas.lines:
                     canvas.gap = max(canvas.gap, 1)
                 canvas.break_line()
             elif tag == "hr":
@@ -340,7 +455,9 @@ def render(node: Node) -> str:
             elif tag == "q":
                 canvas.write('"')
                 walk(child, depth, pre, order)
-                canvas.line += '"'
+                canvas.close('"')
+            elif tag == "svg":
+                drawn(child, depth)
             elif tag in BLOCKS:
                 gap = int(tag in SPACED and depth == 0)
                 canvas.break_line(gap)
@@ -353,6 +470,16 @@ def render(node: Node) -> str:
             else:
                 walk(child, depth, pre or tag in ("textarea",), order)
 
+    def drawn(node: Node, depth: int) -> None:
+        for child in node.children:
+            if isinstance(child, Node) and visible(child):
+                if child.tag in DRAWN:
+                    canvas.break_line()
+                    walk(child, depth, False, None)
+                    canvas.break_line()
+                else:
+                    drawn(child, depth)
+
     walk(node, 0, node.tag == "pre", None)
     return canvas.text()
 
@@ -365,8 +492,10 @@ def to_text(html: str | None) -> str:
 def extract(pages: DataFrame, id: str = "page_id", html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Returns id, the kept columns, text and n_chars for every whole page.
 
-    Null and empty pages give an empty text; pages of any length and malformed ones are rendered as far as they go. Repeated
-    rows stay; an empty table gives an empty result; other columns are ignored.
+    Null and empty pages give an empty text. Pages of any length are read in one pass; malformed ones are rendered as browsers recover:
+    unclosed quotes and tags are text, numbers that are none count as missing, spans are bounded as in HTML (COLSPAN, ROWSPAN), aligned cells stand at most PAD blanks apart, and
+    elements nested deeper than DEPTH become siblings, with all their text. Formulas and the text of drawings are shown. Repeated rows
+    stay; an empty table gives an empty result; other columns are ignored.
     """
     tune(pages.sparkSession)
     df = narrow(pages, **{"id": id, "html": html}, **{f"kept{k}": c for k, c in enumerate(keep)})

@@ -2,8 +2,12 @@
 
 import hashlib
 import random
+import re
+import time
+from html.parser import HTMLParser
 
 import numpy as np
+import pandas
 import pytest
 
 from pyspark.sql import functions as F
@@ -121,6 +125,12 @@ PAGES = [
     ("<", "<"),
     ("a<p", "a<p"),
     ("</p>x", "x"),
+    ('<table><tr><td colspan="\u00b2" rowspan="\u00b3">a<td>b</table><ol start="--5"><li value="\u00b3">x<li value="+7">y<li>z</ol>', "a  b\n\n1. x\n7. y\n8. z"),
+    ("<p title=it's>text it's", "text it's"),
+    ("<p>&#" + "9" * 5000 + "; &#00065;", "\ufffd A"),
+    ("\u0130\u0130<script>a</script>b", "\u0130\u0130b"),
+    ("a<svg><title>no</title><path/><g><text>drawn</text>no</g></svg><math><mi>x</mi><mo>=</mo><annotation>no</annotation></math>", "a\ndrawn\nx="),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
 ]
 
 
@@ -143,6 +153,49 @@ def test_html_deep_and_long():
     assert len(html.to_text("<p>word " * 20000).split()) == 20000
 
 
+HOSTILE = ['<a href="x ', "<a ", "<", "<!-- ", "a<b>b</b> ", "<div>", "</p>", "<td>x", "<option>", "<p>", "<script>", "&#9", "<tr><td colspan=1000 rowspan=0>x", "<table><tr><td>"]
+
+
+@pytest.mark.parametrize("part", HOSTILE)
+def test_html_takes_time_in_proportion(part):
+    def seconds(size):
+        page, start = "<table>" * (part[:3] == "<tr") + part * (size // len(part)), time.process_time()
+        html.to_text(page)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(400_000) < 8 * max(seconds(100_000), 0.2)
+
+
+class Words(HTMLParser):
+    """Another parser: words of all text but that of elements that are not shown."""
+
+    def __init__(self):
+        super().__init__()
+        self.found, self.dark = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.dark += tag in ("script", "style", "head", "title", "template", "noscript")
+
+    def handle_endtag(self, tag):
+        self.dark -= tag in ("script", "style", "head", "title", "template", "noscript")
+
+    def handle_data(self, data):
+        if not self.dark:
+            self.found += data.split()
+
+
+def test_html_shows_the_words_another_parser_finds():
+    pages = [p for p in pandas.read_parquet("/root/testdata/sf0.001/pages.parquet").html if p and not re.search(r"hidden|display|visibility|<(?:select|input|q|dialog|object|svg|iframe)", p)]
+    assert pages
+    for page in pages:
+        other = Words()
+        other.feed(page)
+        other.close()
+        shown = re.sub(r"(?m)^\s*(?:-|\d+\.) ", "", html.to_text(page))
+        assert sorted("".join(shown.split())) == sorted("".join(w for w in "".join(re.sub(r"^(?:-|\d+\.)$", "", w) for w in other.found).split()))
+
+
 def test_html_operator(spark):
     df = spark.createDataFrame([(1, "u", "<p>a", "x"), (2, None, None, "x"), (3, "v", "", "x")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id, r.url, r.text, r.n_chars) for r in html.extract(df).collect() if r.url) == [(1, "u", "a", 1), (3, "v", "", 0)]
