@@ -107,7 +107,7 @@ def texts_with_repeats(rng, length):
     return [*out, None, "", "a" * (length - 1), "a" * length, "a" * (length + 5), "b" * (3 * length), copy, copy, out[1][3:], *(out[2][:k] + "#" + out[2][k:] for k in (100, 300))]
 
 
-@pytest.mark.parametrize(("length", "group"), [(200, 20_000), (60, 20_000), (60, 1)])
+@pytest.mark.parametrize(("length", "group"), [(200, 2_000), (60, 2_000), (60, 1), (200, 1), (40, 2)])
 def test_remove_repeats(spark, length, group):
     texts = texts_with_repeats(random.Random(length + group), length)
     df = spark.createDataFrame([(i * 3, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
@@ -122,7 +122,7 @@ def test_segments_of_a_long_text(spark, monkeypatch):
     texts = [long[:15_000] + passage + long[15_000:], passage, long[20_000:21_000]]
     monkeypatch.setattr(suffix, "SEGMENT", 1000)
     rows = [x for t in texts for x in suffix.anchors(t.encode(), 200)]
-    assert all(0 <= last - first < 200 for _, _, first, last in rows)
+    assert all((0 <= last - first).all() and (last - first < 200).all() for _, _, first, last in rows)
     monkeypatch.undo()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.remove_repeats(df, digest=True).collect()}
@@ -149,8 +149,21 @@ def test_suffix_sorting(seed):
 
 
 def test_cover_meets_every_pair():
-    d = suffix._distances()
-    assert all((r + d[r, s]) % 7 in suffix.COVER and (s + d[r, s]) % 7 in suffix.COVER for r in range(7) for s in range(7))
+    d, p = suffix.distances(), suffix.PERIOD
+    assert all((r + d[r * p + s]) % p in suffix.COVER and (s + d[r * p + s]) % p in suffix.COVER for r in range(p) for s in range(p))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merged_order_is_the_order_of_suffixes(seed):
+    rng = random.Random(seed)
+    data = "".join(rng.choice(["a" * 20, "ab", "b" * 15, "abcab"]) for _ in range(60)).encode()
+    padded = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(40, np.uint8)]).astype(np.uint64)
+    words = sum(padded[k : len(padded) - 7 + k] << np.uint64(56 - 8 * k) for k in range(8))
+    heads = sorted({data[k : k + 13] for k in range(len(data) - 13)})
+    at = np.array(sorted((k for k in range(len(data) - 13)), key=lambda k: heads.index(data[k : k + 13])))
+    group = np.array([heads.index(data[k : k + 13]) for k in at])
+    order = suffix.merged_order(at, group, suffix.cover_ranks(words, len(data), len(data)))
+    assert at[order].tolist() == sorted(range(len(data) - 13), key=lambda k: data[k:])
 
 
 # -- similar documents ---------------------------------------------------------------------------------------------------
