@@ -9,10 +9,12 @@ exactly by rank. A bounded memo per task spares repeated walks; it never changes
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import heapq
 import json
 import mmap
+import shutil
 import struct
 import tempfile
 import uuid
@@ -22,7 +24,8 @@ from functools import cached_property, lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Batches, checkpoint, narrow, record, strings, tune
@@ -78,6 +81,14 @@ class Vocabulary:
         ranks = {piece: i for i, piece in enumerate(self.pieces) if i not in set(self.special.values())}
         return tiktoken.Encoding("merges", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    @cached_property
+    def whole(self):
+        """The same for whole texts of settled characters, cut into words by the pattern."""
+        import tiktoken
+
+        special = set(self.special.values())
+        return self.compiled and tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks={p: i for i, p in enumerate(self.pieces) if i not in special}, special_tokens={}).encode_ordinary
+
     def merge_word(self, word: str) -> list[int]:
         return self.compiled(word) if self.compiled else self.merge(word.encode("utf-8", "replace"))
 
@@ -148,22 +159,21 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     root = len(states)
     states.append((path[0][0], tuple(path[0][1])))
 
-    below, first, labels, targets, outputs = [], [0], bytearray(), [], []
-    for final, arcs in states:  # targets come before their sources
+    below, keys, targets, outputs = [], [], [], []
+    for at, (final, arcs) in enumerate(states):  # targets come before their sources
         total = int(final)
         for label, target in arcs:
-            labels.append(label)
+            keys.append(at << 8 | label)  # rising: words come in order
             targets.append(target)
             outputs.append(total)
             total += below[target]
         below.append(total)
-        first.append(len(labels))
     pool, starts = [], [0]
     for word in ordered:
         pool += words[word]
         starts.append(len(pool))
-    parts = [struct.pack(f"<{len(x)}I", *x) for x in (first, targets, outputs, starts, pool)] + [bytes(labels), bytes(int(f) for f, _ in states)]
-    return struct.pack("<9Q", root, len(states), *map(len, parts)) + b"".join(parts)
+    parts = [np.array(keys, "<u8"), *(np.array(x, "<u4") for x in (targets, outputs, starts, pool)), np.array([f for f, _ in states], np.uint8)]
+    return struct.pack("<8Q", root, len(states), *map(len, parts)) + b"".join(x.tobytes() for x in parts)
 
 
 class FastIds:
@@ -190,32 +200,58 @@ class FastIds:
 
 
 class Lexicon:
-    """Lookups in a compiled lexicon, which is mapped into memory from a file that has no name and so leaves none."""
-
-    def __init__(self, block: bytes):
-        with tempfile.TemporaryFile() as f:
-            f.write(block)
-            f.flush()
-            source = self.block = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        head = struct.unpack_from("<9Q", source)
-        self.root, at, views = head[0], 72, []
-        for i, size in enumerate(head[2:]):
-            view = memoryview(source)[at : at + size]
-            views.append(view.cast("I") if i < 5 else bytes(view))
-            at += size
-        self.first, self.targets, self.outputs, self.starts, self.pool, self.labels, self.final = views
+    """Lookups in a compiled lexicon, whose file is mapped into memory: the workers of an executor share its pages."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            self.block = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        head, at, views = struct.unpack_from("<8Q", self.block), 64, []
+        for size, kind in zip(head[2:], ("<u8", "<u4", "<u4", "<u4", "<u4", "u1")):
+            views.append(np.frombuffer(self.block, kind, size, at))
+            at += views[-1].nbytes
+        self.root = head[0]
+        self.keys, self.targets, self.outputs, self.starts, self.pool, self.final = views
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The ordinal of each word, -1 for those it lacks: all words walk the automaton side by side, a letter at a time."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        letters, begin = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+        state, out = np.full(len(words), self.root, np.uint64), np.zeros(len(words), np.int64)
+        if not len(self.keys):
+            return np.where((size == 0) & (self.final[self.root] > 0), 0, -1)
+        live = np.arange(len(words))
+        for k in range(int(size.max(initial=0))):
+            live = live[size[live] > k]
+            if not len(live):
+                break
+            key = state[live] << np.uint64(8) | letters[begin[live] + k]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[arc] == key
+            out[live[~there]] = -1
+            live, arc = live[there], arc[there]
+            out[live] += self.outputs[arc]
+            state[live] = self.targets[arc]
+        here = out >= 0
+        out[here] = np.where(self.final[state[here].astype(np.int64)] > 0, out[here], -1)
+        return out
+
+    def ids(self, ordinal: int) -> bytes:
+        return self.pool[self.starts[ordinal] : self.starts[ordinal + 1]].tobytes()
 
     def get(self, word: bytes) -> list[int] | None:
-        state, ordinal, first, labels = self.root, 0, self.first, self.labels
-        for label in word:
-            arc = labels.find(label, first[state], first[state + 1])
-            if arc < 0:
-                return None
-            ordinal += self.outputs[arc]
-            state = self.targets[arc]
-        if not self.final[state]:
-            return None
-        return self.pool[self.starts[ordinal] : self.starts[ordinal + 1]].tolist()
+        ordinal = int(self.find([word])[0])
+        return None if ordinal < 0 else np.frombuffer(self.ids(ordinal), "<u4").tolist()
+
+
+def ship_lexicon(spark: SparkSession, block: bytes) -> str:
+    """Hands the file to every executor, once each; its name there."""
+    folder = tempfile.mkdtemp(prefix="corpusforge-lexicon-")
+    atexit.register(shutil.rmtree, folder, True)
+    name = f"{uuid.uuid4().hex}.lexicon"
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(block)
+    spark.sparkContext.addFile(f"{folder}/{name}")
+    return name
 
 
 class Encoder:
@@ -229,6 +265,8 @@ class Encoder:
         self.find = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")").split if vocabulary.special else None
         self.decimal = [str(i) for i in range(len(vocabulary.pieces))]
+        self.spaced = np.array([p[:1] == b" " for p in vocabulary.pieces])
+        self.merged = vocabulary.whole
 
     def words(self, text: str) -> list[str]:
         if text.isascii() or max(text) < SETTLED:
@@ -264,30 +302,66 @@ class Encoder:
             self.memo[chunk] = ids
         return ids
 
+    def prepare(self, texts: list[str | None]) -> None:
+        """Looks up the new chunks of a batch of texts all at once: whole words in the lexicon first, the rest is merged exactly, in one go.
+        No chunk holds a space, so the ids that begin with one tell where the next chunk begins."""
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.older, self.memo = self.memo, {}
+        new: dict[str, None] = {}
+        for text in texts:
+            if text:
+                new.update(dict.fromkeys(text.split(" ")[1:]))
+        memo, older = self.memo, self.older
+        chunks = []
+        for c in new:
+            if c not in memo and 0 < len(c) <= 64 and not c[0].isspace() and not c[-1].isspace():
+                if (ids := older.get(c)) is not None:
+                    memo[c] = ids
+                else:
+                    chunks.append(c)
+        if not chunks or not self.merged:
+            return
+        rest = chunks
+        if self.lexicon:
+            rest = []
+            for c, at in zip(chunks, self.lexicon.find([b" " + c.encode("utf-8", "replace") for c in chunks]).tolist()):
+                if at < 0:
+                    rest.append(c)
+                else:
+                    memo[c] = self.lexicon.ids(at)
+        rest = [c for c in rest if c.isascii() or max(c) < SETTLED]
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            ids = np.array(self.merged(" " + " ".join(part)), "<u4")
+            cut = np.append(np.nonzero(self.spaced[ids])[0], len(ids)) * 4
+            packed = ids.tobytes()
+            if len(cut) != len(part) + 1:  # a word of the vocabulary begins with a space inside a chunk: never for byte-level BPE
+                continue
+            memo.update(zip(part, map(packed.__getitem__, map(slice, cut[:-1].tolist(), cut[1:].tolist()))))
+
     def _plain(self, text: str) -> bytes:
-        """A single space between two non-spaces always starts a word, so chunks between such spaces are encoded alone."""
+        """A single space between two non-spaces always starts a word, so chunks between such spaces are encoded alone. Chunks with white
+        space at an end, or of nothing, are encoded together with their neighbours."""
         chunks = text.split(" ")
         out = list(map(self.memo.get, chunks))
-        out[0] = None
-        if None not in out[1:]:
-            first = chunks[0]
-            if first and not first[-1].isspace():
-                out[0] = self._exactly(first)
-                return b"".join(out)
-        clean = [out[i] is not None or bool(c) and not c[0].isspace() and not c[-1].isspace() for i, c in enumerate(chunks)]
-        done, i, n = [], 0, len(chunks)
-        while i < n:
-            j = i + 1
-            if not clean[i] or j < n and not clean[j]:
-                while j < n and not (clean[j - 1] and clean[j]):
-                    j += 1
-                done.append(self._exactly(" " * (i > 0) + " ".join(chunks[i:j])))
-            elif i == 0:
-                done.append(self._exactly(chunks[0]))
+        out[0] = None  # no space stands before the first
+        rough, i = [], -1
+        for _ in range(out.count(None)):
+            i = out.index(None, i + 1)
+            chunk = chunks[i]
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                rough.append(i)
             else:
-                done.append(out[i] if out[i] is not None else self._chunk(chunks[i]))
-            i = j
-        return b"".join(done)
+                out[i] = self._chunk(chunk) if i else self._exactly(chunk)
+        k, n = 0, len(chunks)
+        while k < len(rough):
+            start = max(rough[k] - 1, 0)
+            while k + 1 < len(rough) and rough[k + 1] <= rough[k] + 2:
+                k += 1
+            end = min(rough[k] + 2, n)
+            out[start:end] = [self._exactly(" " * (start > 0) + " ".join(chunks[start:end])), *[b""] * (end - start - 1)]
+            k += 1
+        return b"".join(out)
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers; null counts as empty."""
@@ -308,11 +382,11 @@ class Encoder:
 _LOCAL: dict[str, object] = {}
 
 
-def local_encoder(key: str, vocabulary_text, lexicon) -> Encoder:
+def local_encoder(lexicon: str, vocabulary_text) -> Encoder:
     """One encoder per Python worker and run."""
-    if _LOCAL.get("key") != key:
+    if _LOCAL.get("key") != lexicon:
         _LOCAL.clear()
-        _LOCAL.update(key=key, encoder=Encoder(Vocabulary(vocabulary_text.value), Lexicon(lexicon.value)))
+        _LOCAL.update(key=lexicon, encoder=Encoder(Vocabulary(vocabulary_text.value), Lexicon(SparkFiles.get(lexicon))))
     return _LOCAL["encoder"]
 
 
@@ -326,8 +400,11 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
         def flush():
             words: Counter = Counter()
             for chunk, n in chunks.items():
-                for word in find(" " + chunk):
-                    words[word] += n
+                if chunk.isalpha() and (chunk.isascii() or max(chunk) < SETTLED):
+                    words[" " + chunk] += n
+                else:
+                    for word in find(" " + chunk):
+                        words[word] += n
             chunks.clear()
             return record({"word": list(words), "n": list(words.values())}, types)
 
@@ -368,7 +445,8 @@ def read_vocabulary(path: str) -> str:
 def encode_decode(documents: DataFrame, vocabulary_path: str, id: str = "doc_id", text: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """Encodes every whole text and decodes the ids again.
 
-    Returns id, ids array<int>, decoded string. A null or empty text has no ids and decodes to "".
+    Returns id, ids array<int>, decoded string. A null or empty text has no ids and decodes to "". Very long texts are encoded whole;
+    long words without blanks are merged in n log n.
     Repeated rows are kept; an empty table gives an empty result; other columns are ignored.
     """
     return _run(documents, vocabulary_path, id, text, lexicon_words, digest=False)
@@ -385,16 +463,18 @@ def _run(documents: DataFrame, vocabulary_path: str, id: str, text: str, lexicon
     source = read_vocabulary(vocabulary_path)
     shared = spark.sparkContext.broadcast(source)
     # At most lexicon_words words of at most 64 characters: bounded, whatever the corpus's size.
-    lexicon, name = spark.sparkContext.broadcast(build_lexicon(Vocabulary(source), frequent_words(documents, text, lexicon_words))), uuid.uuid4().hex
+    lexicon = ship_lexicon(spark, build_lexicon(Vocabulary(source), frequent_words(documents, text, lexicon_words)))
     df = narrow(documents, id=id, text=text)
     kind = df.schema["id"].dataType.simpleString()
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
     def run(batches: Batches) -> Batches:
-        encoder = local_encoder(name, shared, lexicon)
+        encoder = local_encoder(lexicon, shared)
         decimal = encoder.decimal.__getitem__
         for batch in batches:
-            ids = [encoder.encode(t).tolist() for t in strings(batch, "text")]
+            texts = strings(batch, "text")
+            encoder.prepare(texts)
+            ids = [encoder.encode(t).tolist() for t in texts]
             keys = batch.column(0)
             if digest:
                 columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array([sha(",".join(map(decimal, x)).encode()) for x in ids]), pa.array([sha(encoder.decode(x).encode()) for x in ids])]

@@ -1,6 +1,8 @@
 """BPE against the tokenizers library, and the parts of the transducer."""
 
+import hashlib
 import random
+import tempfile
 
 import public_tokenizers
 import pytest
@@ -15,7 +17,16 @@ SOURCE = bpe.read_vocabulary(PATH)
 VOCABULARY = bpe.Vocabulary(SOURCE)
 REFERENCE = Tokenizer.from_file(PATH)
 WORDS = [" the", " and", "The", " of", "ing", " é", " über", " 中", "\n", " a"]
-ENCODER = bpe.Encoder(VOCABULARY, bpe.Lexicon(bpe.build_lexicon(VOCABULARY, WORDS)))
+
+
+def mapped(block):
+    with tempfile.NamedTemporaryFile() as f:
+        f.write(block)
+        f.flush()
+        return bpe.Lexicon(f.name)
+
+
+ENCODER = bpe.Encoder(VOCABULARY, mapped(bpe.build_lexicon(VOCABULARY, WORDS)))
 ALPHABET = [*"ab é ß\n\t  '1٣-_Ա", "\x1c", "\x85", "中", "😀", "<|endoftext|>", "  ", "\r\n", "'re", "’s", "࢏", "꟒"]
 
 
@@ -24,6 +35,9 @@ ALPHABET = [*"ab é ß\n\t  '1٣-_Ա", "\x1c", "\x85", "中", "😀", "<|endofte
 def test_like_the_library(text):
     ids = REFERENCE.encode(text, add_special_tokens=False).ids
     assert ENCODER.encode(text).tolist() == ids
+    batch = bpe.Encoder(VOCABULARY, ENCODER.lexicon)
+    batch.prepare([text, None, " the" + text])
+    assert batch.encode(text).tolist() == ids
     assert bpe.FastIds(SOURCE).encode(text).tolist() == ids if len(text) < 4 else True
     assert ENCODER.decode(ids) == REFERENCE.decode(ids, skip_special_tokens=False)
 
@@ -56,19 +70,25 @@ def test_own_merges_short_and_long():
 
 def test_lexicon_is_minimal_and_complete():
     words = {w.encode(): [i, i + 1] for i, w in enumerate(["tap", "taps", "top", "tops", "stop", "stops", ""])}
-    lexicon = bpe.Lexicon(bpe.compile_lexicon(words))
+    lexicon = mapped(bpe.compile_lexicon(words))
     assert all(lexicon.get(w) == ids for w, ids in words.items())
     assert lexicon.get(b"ta") is None and lexicon.get(b"tapss") is None and lexicon.get(b"x") is None
+    assert lexicon.find([b"tops", b"zz", b"tap"]).tolist() == [6, -1, 3] and lexicon.find([]).tolist() == []
     assert len(lexicon.final) == 7  # "", "s" shared; "t", "st", ... without repeats
-    assert bpe.Lexicon(bpe.compile_lexicon({})).get(b"a") is None
+    assert mapped(bpe.compile_lexicon({})).get(b"a") is None
 
 
 def test_operator(spark):
-    texts = [None, "", "the the of", "a<|endoftext|>b", "中文 ü", "the the of", "x " * 3000]
+    texts = [None, "", "the the of", "a<|endoftext|>b", "中文 ü", "the the of", " x  y\n z " * 3000]
     df = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens string")
     for r in bpe.encode_decode(df, PATH, lexicon_words=2).collect():
         assert r.ids == REFERENCE.encode(texts[r.doc_id] or "", add_special_tokens=False).ids and r.decoded == (texts[r.doc_id] or "")
-    assert bpe.encode_digest(df, PATH).count() == 7
+    digests = bpe.encode_digest(df, PATH, lexicon_words=3).collect()
+    assert len(digests) == 7
+    for r in digests:
+        ids = REFERENCE.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        back = REFERENCE.decode(ids, skip_special_tokens=False)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
     assert bpe.encode_digest(df.limit(0), PATH).count() == 0
 
 
