@@ -113,7 +113,7 @@ def train(documents: DataFrame, id: str = "doc_id", text: str = "text", lang: st
     counts = {r.lang: r.n for r in df.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    draw = F.xxhash64("id", "lang") / float(1 << 64) + 0.5
+    draw = F.xxhash64("id", "lang", F.when(F.col("id").isNull(), F.xxhash64("text"))) / float(1 << 64) + 0.5  # rows without id are drawn one by one
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))])[F.col("lang")]
 
     def run(batches: Batches) -> Batches:
@@ -137,8 +137,9 @@ def train(documents: DataFrame, id: str = "doc_id", text: str = "text", lang: st
 def identify(documents: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Returns id, held_out, lang_pred, score (0 to 1) for every whole text.
 
-    A text that is null or has no letter, or any text if nothing was learned, is `und` with score 0. Equal scores go to the
-    alphabetically first language. Repeated rows stay; other columns are ignored.
+    A text that is null, empty or has no letter, or any text if nothing was learned, is `und` with score 0. Equal scores go to the
+    alphabetically first language. Very long texts are read whole. Repeated rows stay and are predicted alike; an empty table gives an
+    empty result; other columns are ignored.
     """
     tune(documents.sparkSession)
     df = narrow(documents, id=id, text=text).withColumn("held_out", held_out(F.col("id")))
@@ -163,7 +164,8 @@ def identify(documents: DataFrame, model: Model | None, id: str = "doc_id", text
 
 def keep_known(documents: DataFrame, model: Model | None, min_score: float, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text has a letter and at least min_score of the familiarity that texts of its best
-    language usually have. Without a model every text with a letter stays."""
+    language usually have. Without a model every text with a letter stays. Texts that are null, empty or without letters go; repeated rows stay or go
+    together; an empty table stays empty; all columns come along as they are."""
     tune(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # languages x landmarks x 2^BITS numbers
 

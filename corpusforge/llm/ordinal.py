@@ -81,9 +81,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> Model:
 
 def train(documents: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "text", grade: str = "grade", sample: int = SAMPLE) -> Model | None:
     """Learns from about `sample` rated texts, chosen by a hash of the id. ratings: (id, grade), grades from 0; rows with a
-    null grade or without a document don't count. None if fewer than two grades are left."""
+    null grade or without a document don't count, and of several grades of an id the lowest does. None if fewer than two grades are
+    left, or on empty tables."""
     tune(documents.sparkSession)
-    rated = narrow(ratings, id=id, grade=grade).filter("grade is not null and id is not null")
+    rated = narrow(ratings, id=id, grade=grade).filter("grade is not null and id is not null").groupBy("id").agg(F.min("grade").alias("grade"))
     total = rated.count()
     if not total:
         return None
@@ -105,8 +106,8 @@ def train(documents: DataFrame, ratings: DataFrame, id: str = "doc_id", text: st
 def grade(documents: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Returns id, expected_grade, tail array<double> with P(grade >= k) for k = 1, 2, ... for every whole text.
 
-    Null texts count as empty. Without a model, expected_grade is null and tail is empty. Repeated rows stay; other
-    columns are ignored.
+    Null texts count as empty; very long ones are read whole. Without a model, expected_grade is null and tail is empty. Repeated rows
+    stay and are graded alike; an empty table gives an empty result; other columns are ignored.
     """
     tune(documents.sparkSession)
     df = narrow(documents, id=id, text=text)
@@ -130,7 +131,8 @@ def label_grades(labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, model: Model | None, min_tail: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose chance of the best grade is at least min_tail. Without a model all stay."""
+    """The rows, with all their columns, whose chance of the best grade is at least min_tail. Without a model all stay. Null texts count as
+    empty; an empty table stays empty."""
     tune(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # 2^BITS numbers
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import narrow
+from .common import checkpoint, narrow
 
 #: Slots are numbered over this many parts of a shard, so that a shard of any size is not one task.
 PARTS = 1024
@@ -86,20 +86,19 @@ def shard(rows: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None,
 
     Returns id, size (UTF-8 bytes of the text plus 1; a null text has none), text_crc32 (null: of no bytes), law, shard,
     slot, grown_shard (under the layout `grown`, else null). A null id is a key like any other. Repeated rows share a
-    shard and get a slot each. An empty table gives an empty result; other columns are ignored.
+    shard and get a slot each. Very long texts only count by size and check sum. An empty table gives an empty result; other columns are
+    ignored. Slots are numbered over parts by id and check sum, so that many rows without id, or of one id, are many parts.
     """
     content = F.coalesce("text", F.lit(""))
-    part = F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int")
-    base = narrow(rows, id=id, text=text)
-    placed = base.select(
+    placed = narrow(rows, id=id, text=text).select(
         "id",
         (F.octet_length(content) + 1).cast("long").alias("size"),
         F.crc32(content.cast("binary")).alias("text_crc32"),
         descend(F.col("id"), leaves).alias("shard"),
-        part.alias("part"),
     )
+    placed = checkpoint(placed.withColumn("part", F.pmod(F.xxhash64("id", "text_crc32"), F.lit(PARTS)).cast("int")))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = base.select(descend(F.col("id"), leaves).alias("shard"), part.alias("part")).groupBy("shard", "part").agg(F.count("*").alias("n"))
+    counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
     # At most PARTS rows per shard.
     starts = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     within = Window.partitionBy("shard", "part").orderBy("id", "text_crc32", "size")

@@ -182,13 +182,16 @@ def links(nodes: DataFrame, words: int, radius: int, first: int, lead: int = 1)
     if chunks:
         n_chunks = F.coalesce(F.create_map(*[F.lit(x) for (p, q), n in chunks.items() for x in (p * 100 + q, n)])[F.col("c1") * 100 + F.col("c2")], F.lit(1))
     tiles = nodes.withColumn("chunk", F.pmod(F.xxhash64("fp"), n_chunks).cast("int")).groupBy("c1", "c2", "chunk").agg(F.collect_list(F.struct("fp", "node")).alias("tile"))
-    tiles = checkpoint(tiles)
+    tiles = checkpoint(tiles.withColumn("tile_id", F.xxhash64("c1", "c2", "chunk")))
     reach = [(p, q) for p in range(-first, first + 1) for q in range(-first, first + 1) if abs(p) + abs(q) <= first and (p, q) >= (0, 0)] if words == 1 else [(0, 0), (1, 0)]
-    moved = tiles.select("c1", "c2", "chunk", F.col("tile").alias("left"), F.explode(F.array(*(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in reach))).alias("d"))
-    moved = moved.select((F.col("c1") + F.col("d.p")).alias("c1"), (F.col("c2") + F.col("d.q")).alias("c2"), F.col("chunk").alias("left_chunk"), "left", ((F.col("d.p") == 0) & (F.col("d.q") == 0)).alias("own"))
-    pairs = moved.join(tiles, ["c1", "c2"]).filter("not own or left_chunk <= chunk")
-    pairs = pairs.select("left", F.col("tile").alias("right"), (F.col("own") & (F.col("left_chunk") == F.col("chunk"))).alias("same"), F.xxhash64("c1", "c2", "chunk", "left_chunk", "own").alias("deal"))
-    pairs = pairs.repartition("deal").select("left", "right", "same")
+    # Pairs of tiles are named first; the tiles themselves are fetched after, so that a cell of many tiles is the work of many tasks.
+    names = tiles.select("c1", "c2", "chunk", "tile_id")
+    moved = names.select("c1", "c2", F.col("chunk").alias("left_chunk"), F.col("tile_id").alias("left_id"), F.explode(F.array(*(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in reach))).alias("d"))
+    moved = moved.select((F.col("c1") + F.col("d.p")).alias("c1"), (F.col("c2") + F.col("d.q")).alias("c2"), "left_chunk", "left_id", ((F.col("d.p") == 0) & (F.col("d.q") == 0)).alias("own"))
+    pairs = moved.join(names, ["c1", "c2"]).filter("not own or left_chunk <= chunk").select("left_id", F.col("tile_id").alias("right_id"))
+    fetch = lambda side: tiles.select(F.col("tile_id").alias(f"{side}_id"), F.col("tile").alias(side))
+    pairs = pairs.join(fetch("left"), "left_id").withColumn("deal", F.xxhash64("left_id", "right_id"))
+    pairs = pairs.join(fetch("right"), "right_id").repartition("deal").select("left", "right", (F.col("left_id") == F.col("right_id")).alias("same"))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -298,8 +301,9 @@ def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text"
 
     Returns id, fingerprint (lowercase hex), component_id (the smallest id reachable, the own one included). ids are
     integers.
-    Null and empty texts have the fingerprint zero and are linked like any other. Equal texts share a fingerprint. A
-    row without id takes the component of its fingerprint. Repeated rows stay. An empty table gives an empty result.
+    Null and empty texts have the fingerprint zero and are linked like any other. Equal texts share a fingerprint; very long ones are
+    read whole. A row without id takes the component of its fingerprint. Repeated rows stay. An empty table gives an empty result;
+    other columns are ignored.
     """
     made = checkpoint(fingerprints(documents, id, text, size))
     nodes = checkpoint(made.groupBy("fp", "c1", "c2").agg(F.min("id").cast("long").alias("node")))

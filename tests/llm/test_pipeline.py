@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -55,3 +56,35 @@ def test_suffix_stage_cuts_text(spark):
     rows = {r.doc_id: r for r in corpus_pipeline.suffix_dedup(spark, df, DIR).collect()}
     assert rows[1].text.startswith("one start é") and rows[1].text.endswith("|") and rows[1].n_chars == len(rows[1].text) < 20
     assert rows[2].text.endswith("# end") and rows[3].text == ""
+
+
+CLASHING = "kept n_bytes n_removed n_spans component_id fp c1 node id key sum data spans grade score lang_pred bucket rest part shard length start tile draw order range".split()
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_bear_hostile_tables(spark, name):
+    """Nulls in any column, empty and long texts, repeated rows, clashing names, no rows at all."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    base = spark.read.parquet(f"{DIR}/documents.parquet").orderBy("doc_id").limit(60)
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    some = base.first().text
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, some, "en", "s", 1), (-1, "", "en", None, 0), (-2, None, None, "s", None), (-3, some * 40, "en", "s", None), (-3, some * 40, "en", "s", None)], columns)
+    plain = base.select("doc_id", "text", "lang", "source", "n_chars").unionAll(odd)
+    wide = plain.select("*", *(F.lit(f"{c}!").alias(c) for c in CLASHING))
+    out = stage(spark, wide, DIR)
+    if name != "packing":
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert all(r[c] == f"{c}!" for r in rows for c in CLASHING)
+        kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows)
+        assert kept == sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in stage(spark, plain, DIR).collect())
+        twice = sum(r.doc_id == -3 for r in rows)
+        assert twice in (0, 2)
+        if name == "language_id":
+            assert not any((r.text or "") == "" for r in rows)
+        if name == "suffix_dedup":
+            assert len(rows) == plain.count() and all(r.text == "" for r in rows if r.doc_id in (-1, -2, -3))
+    else:
+        assert {r.n for r in out.groupBy("doc_id").agg(F.max("doc_tokens").alias("n")).filter("doc_id in (-1, -2)").collect()} == {1}
+    none = stage(spark, wide.limit(0), DIR)
+    assert none.count() == 0 and (name == "packing" or none.columns == wide.columns)
