@@ -21,33 +21,38 @@ REPEAT_BYTES, WINDOW = 200, 1024
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and those that resemble no learned language."""
+    """Rejects texts without letters (so null and empty ones) and those that resemble no learned language. If no text has a lang, all
+    texts with a letter stay. Ties and repeated rows are judged alike; an empty table stays empty; further columns come along."""
     return langid.keep_known(docs, langid.train(docs), MIN_FAMILIARITY)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts that are more likely than not below the best grade."""
+    """Rejects texts that are more likely than not below the best grade. Null texts are judged like empty ones; without two grades in
+    labels all stay. Repeated rows are judged alike; an empty table stays empty; further columns come along."""
     ratings = ordinal.label_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return ordinal.keep_good(docs, ordinal.train(docs, ratings), MIN_GOOD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group. Rows without id can't be told apart and stay; rows that share an id stay together."""
+    """Keeps the document with the smallest id of each group. Rows without id can't be told apart and stay; rows that share an id stay together.
+    Null, empty and blank texts are copies of each other. An empty table stays empty; further columns come along."""
     found = simhash.similar_documents(docs, "doc_id", "text", SHINGLE, WORDS, NEAR_RADIUS, LEAD_RADIUS, LEAD, *SIMILARITY)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts every passage of 200 bytes or more that also stands elsewhere; the documents stay, with what is left of them."""
+    """Cuts every passage of 200 bytes or more that also stands elsewhere; the documents stay, with what is left of them, maybe nothing.
+    Null texts become empty. Repeated rows count as copies; an empty table stays empty; further columns come along, whatever their names."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    cut = suffix.remove_repeats(docs, length=REPEAT_BYTES, carry=rest).withColumn("text", F.col("kept"))
-    if "n_chars" in rest:
-        cut = cut.withColumn("n_chars", F.length("text").cast("long"))
-    return cut.select(docs.columns)
+    own = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in rest), F.lit(0).alias("_")).alias("rest"))  # names of their own, whatever they are
+    cut = suffix.remove_repeats(own, length=REPEAT_BYTES, carry=["rest"])
+    column = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType) if "n_chars" in rest else None}
+    return cut.select(*((column[c] if c in column else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text, ended by an id of its own, as pieces of sequences. Null and empty texts are that id alone."""
     return packing.pack(docs, vocabulary_path(), window=WINDOW)
 
 
