@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, checkpoint, narrow, record, strings, tune
+from .common import Batches, checkpoint, lean, narrow, record, strings, tune
 
 #: The public pattern of byte-level BPE, a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -416,7 +416,7 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
                         yield flush()
         yield flush()
 
-    return narrow(documents, text=text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return narrow(documents, text=text).mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(documents: DataFrame, text: str = "text", size: int = LEXICON_WORDS) -> list[str]:
@@ -483,4 +483,4 @@ def _run(documents: DataFrame, vocabulary_path: str, id: str, text: str, lexicon
                 yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.list_(pa.int32())), pa.array([encoder.decode(x) for x in ids], pa.string())], names=[id, "ids", "decoded"])
 
     out = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
-    return df.mapInArrow(run, f"`{id}` {kind}, {out}")
+    return df.mapInArrow(lean(run), f"`{id}` {kind}, {out}")

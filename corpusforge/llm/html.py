@@ -14,7 +14,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Batches, narrow, strings, tune
+from .common import Batches, lean, narrow, strings, tune
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 #: What may follow a tag's name up to its end, without the quoted values.
@@ -509,4 +509,4 @@ def extract(pages: DataFrame, id: str = "page_id", html: str = "html", keep: tup
 
     kind = {f.name: f.dataType.simpleString() for f in df.schema}
     kept = "".join(f"`{c}` {kind[f'kept{k}']}, " for k, c in enumerate(keep))
-    return df.mapInArrow(run, f"`{id}` {kind['id']}, {kept}text string, n_chars long")
+    return df.mapInArrow(lean(run), f"`{id}` {kind['id']}, {kept}text string, n_chars long")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, narrow, strings, tune
+from .common import Batches, lean, narrow, strings, tune
 
 BITS, GRAMS = 13, (1, 2, 3)
 #: Bound of the training sample: about this many texts a language, and landmarks a language.
@@ -122,7 +122,7 @@ def train(documents: DataFrame, id: str = "doc_id", text: str = "text", lang: st
             keep = [i for i, b in enumerate(bits) if b is not None]
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(keep, pa.int64())) for k in (0, 1)), pa.array([np.packbits(bits[i]).tobytes() for i in keep], pa.binary())], names=["lang", "draw", "bits"])
 
-    rows = df.withColumn("draw", draw).filter(F.col("draw") < share).select("lang", "draw", "text").mapInArrow(run, "lang string, draw double, bits binary").collect()
+    rows = df.withColumn("draw", draw).filter(F.col("draw") < share).select("lang", "draw", "text").mapInArrow(lean(run), "lang string, draw double, bits binary").collect()
     rows = sorted(rows, key=lambda r: (r.draw, r.lang, r.bits))
     kept, seen = [], dict.fromkeys(counts, 0)
     for r in rows:
@@ -159,7 +159,7 @@ def identify(documents: DataFrame, model: Model | None, id: str = "doc_id", text
                     names[i], scores[i] = model.languages[best], min(max((value + 1) / 2, 0.0), 1.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id, "held_out", "lang_pred", "score"])
 
-    return df.select("id", "held_out", "text").mapInArrow(run, f"`{id}` {kind}, held_out boolean, lang_pred string, score double")
+    return df.select("id", "held_out", "text").mapInArrow(lean(run), f"`{id}` {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(documents: DataFrame, model: Model | None, min_score: float, text: str = "text") -> DataFrame:
@@ -178,4 +178,4 @@ def keep_known(documents: DataFrame, model: Model | None, min_score: float, text
                 have = [i for i, f in zip(have, found.tolist()) if f >= min_score]
             yield batch.take(pa.array(have, pa.int64()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(lean(run), documents.schema)

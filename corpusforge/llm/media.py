@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, narrow, strings, tune
+from .common import Batches, lean, narrow, strings, tune
 
 BLOCK, RATE = 64, 8000
 WAV = "audio/wav"
@@ -243,7 +243,7 @@ def sniff_media(rows: DataFrame, id: str = "media_id", data: str = "data", decla
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string()), pa.array(kinds, pa.string()), pa.array(fixed, pa.bool_()), pa.array(inside, pa.list_(inner))], names=[id, "declared", "type", "corrected", "embedded"])
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.select("id", "data", "declared").mapInArrow(run, f"`{id}` {kind}, declared string, type string, corrected boolean, embedded array<struct<start:bigint,length:bigint,type:string,sha256:string>>")
+    return df.select("id", "data", "declared").mapInArrow(lean(run), f"`{id}` {kind}, declared string, type string, corrected boolean, embedded array<struct<start:bigint,length:bigint,type:string,sha256:string>>")
 
 
 def features(samples: bytes, media: list[tuple[int, int, str]]) -> str:
@@ -281,4 +281,4 @@ def store_texts(documents: DataFrame, id: str = "doc_id", text: str = "text", de
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns[:n]], names=[id, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "type", "corrected", "media"][: n + 1])
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.mapInArrow(run, f"`{id}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, type string, corrected boolean" + ", media binary" * keep)
+    return df.mapInArrow(lean(run), f"`{id}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, type string, corrected boolean" + ", media binary" * keep)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .common import Batches, narrow, strings, tune
+from .common import Batches, lean, narrow, strings, tune
 
 LEAF_DIGITS, SECTION_DIGITS = 8, 16
 LEAST = -(1 << 63)
@@ -94,7 +94,7 @@ def fingerprints(documents: DataFrame, id: str = "doc_id", text: str = "text") -
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(t) for t in strings(batch, "text")], pa.string())], names=[id, "fingerprint"])
 
-    return df.mapInArrow(run, f"`{id}` {df.schema['id'].dataType.simpleString()}, fingerprint string")
+    return df.mapInArrow(lean(run), f"`{id}` {df.schema['id'].dataType.simpleString()}, fingerprint string")
 
 
 def with_next(documents: DataFrame, id: str, text: str) -> DataFrame:
@@ -137,7 +137,7 @@ def _search(df: DataFrame, bounds: list[int]) -> DataFrame:
             found = np.searchsorted(shared.value, batch.column(batch.schema.get_field_index("order")).to_numpy(), "left")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], names=[*batch.schema.names, "range"])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("range", IntegerType())]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, StructField("range", IntegerType())]))
 
 
 def edit_report(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,4 +171,4 @@ def edit_report(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
                 held = None if extra else (r, i, t, fp)
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), *(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types))], names=[id, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return dealt.select("id", "text", "range", "extra").mapInArrow(run, f"`{id}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.select("id", "text", "range", "extra").mapInArrow(lean(run), f"`{id}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, narrow, strings, tune
+from .common import Batches, lean, narrow, strings, tune
 
 BITS = 18
 #: Bound of the training sample: about this many rated texts.
@@ -95,7 +95,7 @@ def train(documents: DataFrame, ratings: DataFrame, id: str = "doc_id", text: st
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), pa.array([features(t).tobytes() for t in strings(batch, "text")], pa.binary())], names=["id", "grade", "features"])
 
-    rows = df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, grade int, features binary").collect()
+    rows = df.mapInArrow(lean(run), f"id {df.schema['id'].dataType.simpleString()}, grade int, features binary").collect()
     rows = sorted(rows, key=lambda r: (r.id, r.grade, r.features))[: 2 * sample]
     grades = np.array([r.grade for r in rows], int)
     if len(set(grades.tolist())) < 2:
@@ -122,7 +122,7 @@ def grade(documents: DataFrame, model: Model | None, id: str = "doc_id", text: s
                 tails, expected = p.tolist(), p.sum(axis=1).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(expected, pa.float64()), pa.array(tails, pa.list_(pa.float64()))], names=[id, "expected_grade", "tail"])
 
-    return df.mapInArrow(run, f"`{id}` {df.schema['id'].dataType.simpleString()}, expected_grade double, tail array<double>")
+    return df.mapInArrow(lean(run), f"`{id}` {df.schema['id'].dataType.simpleString()}, expected_grade double, tail array<double>")
 
 
 def label_grades(labels: DataFrame) -> DataFrame:
@@ -142,4 +142,4 @@ def keep_good(documents: DataFrame, model: Model | None, min_tail: float, text:
                 batch = batch.filter(pa.array(shared.value.tails([features(t) for t in strings(batch, text)])[:, -1] >= min_tail))
             yield batch
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(lean(run), documents.schema)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import FastIds, read_vocabulary
-from .common import Batches, checkpoint, narrow, strings, tune
+from .common import Batches, checkpoint, lean, narrow, strings, tune
 
 WINDOW = 1024
 #: Ranks within a length are counted over this many parts, so that a length that half of the corpus has is not one task.
@@ -115,7 +115,7 @@ def tokenized(documents: DataFrame, vocabulary_path: str, id: str, text: str, wi
                 crcs.append([zlib.crc32(ids[i : i + window]) for i in range(0, len(ids), window)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(crcs, pa.list_(pa.int64()))], names=["id", "doc_tokens", "crcs"])
 
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, doc_tokens long, crcs array<long>")
+    return df.mapInArrow(lean(run), f"id {df.schema['id'].dataType.simpleString()}, doc_tokens long, crcs array<long>")
 
 
 def pack(documents: DataFrame, vocabulary_path: str, id: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = 0) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.operators.components import connected_components
 
-from .common import Batches, checkpoint, narrow, strings, tune
+from .common import Batches, checkpoint, lean, narrow, strings, tune
 
 SEED, RADIUS = 42, 3
 TILE, BLOCK = 4096, 512
@@ -85,7 +85,7 @@ def fingerprints(documents: DataFrame, id: str, text: str, size: int = 3) -> Dat
             columns = [pa.array(made, pa.binary()), pa.array([a for a, _ in cells], pa.int32()), pa.array([b for _, b in cells], pa.int32())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "fp", "c1", "c2"])
 
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, fp binary, c1 int, c2 int")
+    return df.mapInArrow(lean(run), f"id {df.schema['id'].dataType.simpleString()}, fp binary, c1 int, c2 int")
 
 
 def sketches(documents: DataFrame, id: str, text: str, size: int, words: int) -> DataFrame:
@@ -103,7 +103,7 @@ def sketches(documents: DataFrame, id: str, text: str, size: int, words: int) ->
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "fp", "c1", "c2", "digest"])
 
-    return df.mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, fp binary, c1 int, c2 int, digest binary")
+    return df.mapInArrow(lean(run), f"id {df.schema['id'].dataType.simpleString()}, fp binary, c1 int, c2 int, digest binary")
 
 
 class Forest:
@@ -213,7 +213,7 @@ def links(nodes: DataFrame, words: int, radius: int, first: int, lead: int = 1)
                 edges = np.unique(np.stack([src[keep], dst[keep]], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["src", "dst"])
 
-    return pairs.mapInArrow(run, "src long, dst long")
+    return pairs.mapInArrow(lean(run), "src long, dst long")
 
 
 def verify(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> list[tuple[int, int]]:
@@ -267,7 +267,7 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, si
             sets = [np.unique(hashes(t, size)).tobytes() for t in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(map(xxhash.xxh3_128_digest, sets), pa.binary())], names=["node", "set", "digest"])
 
-    return df.mapInArrow(run, "node long, set binary, digest binary").join(wanted, "node")
+    return df.mapInArrow(lean(run), "node long, set binary, digest binary").join(wanted, "node")
 
 
 def verified_links(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -293,7 +293,7 @@ def verified_links(members: DataFrame, num: int, den: int) -> DataFrame:
                 edges += [(nodes[i], nodes[j]) for i, j in verify(left, right, num, den)]
             yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["src", "dst"])
 
-    return pairs.mapInArrow(run, "src long, dst long")
+    return pairs.mapInArrow(lean(run), "src long, dst long")
 
 
 def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3, radius: int = RADIUS) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, checkpoint, narrow, strings, tune
+from .common import Batches, checkpoint, lean, narrow, strings, tune
 
 LENGTH = 200
 #: Lengths of the strings whose smallest hash names a bucket; the last resort is the whole string.
@@ -35,7 +35,7 @@ GRAMS = (32, 64, 128)
 #: Window starts handled at once in a long document.
 SEGMENT = 1 << 18
 #: Bytes of contexts sorted at once, and suffixes in a bucket of leading bytes.
-SORT_BYTES, BUCKET = 1 << 20, 1 << 16
+SORT_BYTES, BUCKET = 1 << 19, 1 << 16
 #: Classes of one bucket that one task sorts; a larger bucket is dealt again by longer strings.
 GROUP = 2_000
 #: A perfect difference cover: any two residues modulo 13 meet it at a common distance.
@@ -68,11 +68,11 @@ def cover_ranks(words: np.ndarray, n: int, depth: int) -> np.ndarray:
     """Ranks, from 1, of the cover sample's suffixes by at least `depth` bytes; 0 elsewhere and beyond the end. words: the eight bytes
     from each of the n positions (and from some beyond them), as big-endian numbers."""
     at = np.nonzero(np.isin(np.arange(n) % PERIOD, COVER))[0]
-    rank = np.zeros(n + 2 * depth + 2 * PERIOD, np.int64)
+    rank = np.zeros(n + 2 * depth + 2 * PERIOD, np.int32)
     rank[at] = _dense(_dense(words[at]) << REST | _rest(words, at)) + 1
     step = PERIOD
     while step < depth:
-        rank[at] = _dense(rank[at] * (len(at) + 2) + rank[at + step]) + 1
+        rank[at] = _dense(rank[at].astype(np.int64) * (len(at) + 2) + rank[at + step]) + 1
         step *= 2
     return rank
 
@@ -205,16 +205,32 @@ def row_key(id, data: bytes) -> int:
     return int(id)
 
 
+Rows = Iterator[tuple[int, int, int, bytes]]
+
+
+def texts_of(batch: pa.RecordBatch, least: int) -> Rows:
+    """(key, sum, base, data) of documents (id, text) of at least `least` bytes."""
+    for id, text in zip(strings(batch, "id"), strings(batch, "text")):
+        data = (text or "").encode("utf-8", "replace")
+        if len(data) >= least:
+            yield row_key(id, data), zlib.crc32(data) - (1 << 31), 0, data
+
+
+def pieces_of(batch: pa.RecordBatch, least: int) -> Rows:
+    """The same of pieces, whose data is compressed."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for key, check, base, data in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in PIECE)):
+        yield key, check, base, unpack(data)
+
+
 def _keyed(documents: DataFrame, least: int) -> DataFrame:
-    """Pieces (key, sum, base, data) of the documents (id, text) of at least `least` bytes; a piece is a whole text here, compressed."""
+    """Whole texts as pieces (key, sum, base, data)."""
     def run(batches: Batches) -> Batches:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            data = [(t or "").encode("utf-8", "replace") for t in strings(batch, "text")]
-            rows = [(row_key(i, d), zlib.crc32(d) - (1 << 31), 0, pack(d)) for i, d in zip(strings(batch, "id"), data) if len(d) >= least]
-            yield _record(rows, PIECE)
+            yield _record([(*r[:3], pack(r[3])) for r in texts_of(batch, least)], PIECE)
 
-    return documents.mapInArrow(run, _ddl(PIECE))
+    return documents.mapInArrow(lean(run), _ddl(PIECE))
 
 
 PIECE = {"key": pa.int64(), "sum": pa.int32(), "base": pa.int32(), "data": pa.binary()}
@@ -232,25 +248,22 @@ def _record(rows: list[tuple], types: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types.values())], names=list(types))
 
 
-def _counts(pieces: DataFrame, length: int, gram: int) -> DataFrame:
+def _counts(source: DataFrame, read: Callable, length: int, gram: int) -> DataFrame:
     """(bucket) of those with two occurrences or more. Occurrences are summed batch by batch, then in the task."""
     def run(batches: Batches) -> Batches:
-        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            found = [buckets for data in batch.column(batch.schema.get_field_index("data")) for _, buckets, _, _ in anchors(unpack(data.as_py()), length, gram)]
+            found = [buckets for *_, data in read(batch, length) for _, buckets, _, _ in anchors(data, length, gram)]
             buckets, n = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n)], names=["bucket", "n"])
 
-    return pieces.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket")
+    return source.mapInArrow(lean(run), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").select("bucket")
 
 
-def _anchor_rows(pieces: DataFrame, length: int, gram: int) -> DataFrame:
+def _anchor_rows(source: DataFrame, read: Callable, length: int, gram: int) -> DataFrame:
     def run(batches: Batches) -> Batches:
-        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            keys, checks, bases, texts = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in PIECE)
             parts = []
-            for key, check, base, data in zip(keys, checks, bases, map(unpack, texts)):
+            for key, check, base, data in read(batch, length):
                 for at, buckets, first, last in anchors(data, length, gram):
                     digest = xxhash.xxh3_64_intdigest
                     names = np.fromiter((digest(data[x:y], y - x) for x, y in zip((at + first).tolist(), (at + last + length).tolist())), np.uint64, len(first)).astype(np.int64)
@@ -260,7 +273,7 @@ def _anchor_rows(pieces: DataFrame, length: int, gram: int) -> DataFrame:
             columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[]] * len(ANCHOR)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, ANCHOR.values())], names=list(ANCHOR))
 
-    return pieces.mapInArrow(run, _ddl(ANCHOR))
+    return source.mapInArrow(lean(run), _ddl(ANCHOR))
 
 
 # -- the operator ------------------------------------------------------------------------------------------------------
@@ -280,7 +293,7 @@ def _contexts(pieces: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     here = ["key", "sum", "base"]
     per_row = wanted.groupBy(*here).agg(F.collect_list(F.struct(*(n for n in fields if n not in here))).alias("anchors"))
-    return pieces.join(per_row, here).mapInArrow(cut, _ddl(CONTEXT))
+    return pieces.join(per_row, here).mapInArrow(lean(cut), _ddl(CONTEXT))
 
 
 def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -329,14 +342,14 @@ def _verdicts(contexts: DataFrame, length: int) -> DataFrame:
             yield solve(done)
 
     dealt = contexts.select("deal", "twice", "bucket", "context", "key", "sum", "first", "bytes").repartition("deal").sortWithinPartitions("deal")
-    return dealt.mapInArrow(run, _ddl(VERDICT)).distinct()
+    return dealt.mapInArrow(lean(run), _ddl(VERDICT)).distinct()
 
 
-def _level(pieces: DataFrame, length: int, group: int, gram: int) -> tuple[DataFrame, DataFrame | None]:
+def _level(source: DataFrame, read: Callable, pieces: DataFrame, length: int, group: int, gram: int) -> tuple[DataFrame, DataFrame | None]:
     """Spans of the repeats that one dealing settles, and what is left of buckets too large for a task as pieces of their own."""
     last = gram >= length  # a bucket is one string then
-    rows = _anchor_rows(pieces, length, gram)
-    found = checkpoint(rows.join(checkpoint(_counts(pieces, length, gram)), "bucket"))
+    rows = _anchor_rows(source, read, length, gram)
+    found = checkpoint(rows.join(checkpoint(_counts(source, read, length, gram)), "bucket"))
     member = F.struct("key", "sum", "base", "first", "last")
     classes = checkpoint(found.groupBy("bucket", "context").agg(F.count("*").alias("n"), F.min(member).alias("a"), F.max(member).alias("z")))
     sizes = classes.groupBy("bucket").agg(F.count("*").alias("m")).filter(F.lit(False) if last else F.col("m") > group).select("bucket", F.lit(True).alias("large"))
@@ -352,7 +365,7 @@ def _level(pieces: DataFrame, length: int, group: int, gram: int) -> tuple[DataF
     if last or sizes.isEmpty():
         return spans, None
     one = bytes_.filter("large").groupBy("bucket", "context").agg(F.min(F.struct("key", "sum", F.col("first").alias("base"), "bytes")).alias("r")).select("r.*")
-    return spans, checkpoint(one.select("key", "sum", "base", "bytes").distinct().mapInArrow(_packed, _ddl(PIECE)))
+    return spans, checkpoint(one.select("key", "sum", "base", "bytes").distinct().mapInArrow(lean(_packed), _ddl(PIECE)))
 
 
 def _packed(batches: Batches) -> Batches:
@@ -365,12 +378,14 @@ def repeats(documents: DataFrame, length: int = LENGTH, group: int = GROUP) -> D
     """Spans (key, sum, start, end) of the rows (id, text) that strings of `length` bytes cover which also start elsewhere."""
     if length < PERIOD:
         raise ValueError(f"strings of at least {PERIOD} bytes are sorted")
-    pieces, out = _keyed(documents, length), None
+    source, read, pieces, out = documents, texts_of, _keyed(documents, length), None
     for gram in [*(g for g in GRAMS if g < length), length]:
-        spans, pieces = _level(pieces, length, group, gram)
+        spans, rest = _level(source, read, pieces, length, group, gram)
         out = spans if out is None else out.unionAll(spans)
-        if pieces is None:
+        if rest is None:
             break
+        source = pieces = rest
+        read = pieces_of
     return out
 
 
@@ -423,6 +438,6 @@ def remove_repeats(documents: DataFrame, id: str = "doc_id", text: str = "text",
 
     last = "kept_sha256" if digest else "kept"
     per_row = spans.groupBy("key", "sum").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    texts = df.select("id", *kept, "text").mapInArrow(tag, "".join(f"{c} {kinds[c]}, " for c in ("id", *kept)) + "key long, sum int, data binary")
+    texts = df.select("id", *kept, "text").mapInArrow(lean(tag), "".join(f"{c} {kinds[c]}, " for c in ("id", *kept)) + "key long, sum int, data binary")
     out = "".join(f"`{c}` {kinds[own]}, " for c, own in zip((id, *carry), ("id", *kept)))
-    return texts.join(per_row, ["key", "sum"], "left").select("id", *kept, "data", "spans").mapInArrow(cut, f"{out}n_bytes long, n_removed long, n_spans long, {last} string")
+    return texts.join(per_row, ["key", "sum"], "left").select("id", *kept, "data", "spans").mapInArrow(lean(cut), f"{out}n_bytes long, n_removed long, n_spans long, {last} string")
