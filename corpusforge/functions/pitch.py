@@ -1,40 +1,50 @@
-"""Pitch arithmetic on chord names and fingerings."""
+"""Pitch arithmetic on chord names and fingerings."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusforge.functions.text import let
+
 # The twelve notes with sharps and with flats, and other spellings of them.
 SHARPS = ["C", "C#", "D", "D#", "E", "F", "F#", "G", "G#", "A", "A#", "B"]
 FLATS = ["C", "Db", "D", "Eb", "E", "F", "Gb", "G", "Ab", "A", "Bb", "B"]
 OTHERS = {"Cb": "B", "B#": "C", "Fb": "E", "E#": "F"}
-#: Keys written with flats, a fixed value.
-FLAT_KEYS = ["F", "Bb", "Eb", "Ab", "Db", "Gb", "Dm", "Gm", "Cm", "Fm", "Bbm", "Ebm"]
-ROOT = r"^([A-G][#b]?)(?!:)([^/]*)(?:/([A-G][#b]?))?$"
+ROOT = r"^([A-G][#b]?)(.*)$"
+#: A bass note is the first note behind a slash; what follows it stays.
+BASS = r"^(.*?)/([A-G][#b]?)(.*)$"
 
 
 def _map(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
 
+def pitches() -> dict[str, int]:
+    return {n: i for names in (SHARPS, FLATS) for i, n in enumerate(names)} | {n: SHARPS.index(s) for n, s in OTHERS.items()}
+
+
 def pitch_class(note: Column) -> Column:
     """0 (C) to 11; null for what is no note."""
-    table = {n: i for names in (SHARPS, FLATS) for i, n in enumerate(names)} | {n: SHARPS.index(s) for n, s in OTHERS.items()}
-    return F.element_at(_map(table), note)
+    return F.element_at(_map(pitches()), note)
+
+
+def _after_root(name: Column) -> Column:
+    return F.regexp_extract(name, ROOT, 2)
 
 
 def root(chord: Column) -> Column:
-    """null for what is no chord."""
-    return F.nullif(F.regexp_extract(chord, ROOT, 1), F.lit(""))
+    """null for what is no chord: another first letter, or a name that ends in a colon, which marks a voice."""
+    return F.when(~F.endswith(chord, F.lit(":")), F.nullif(F.regexp_extract(chord, ROOT, 1), F.lit("")))
 
 
 def quality(chord: Column) -> Column:
-    return F.when(root(chord).isNotNull(), F.regexp_extract(chord, ROOT, 2))
+    """what follows the root, up to a slash."""
+    return F.when(root(chord).isNotNull(), F.substring_index(_after_root(chord), "/", 1))
 
 
 def bass(chord: Column) -> Column:
-    return F.nullif(F.regexp_extract(chord, ROOT, 3), F.lit(""))
+    return F.when(root(chord).isNotNull(), F.nullif(F.regexp_extract(_after_root(chord), BASS, 2), F.lit("")))
 
 
 def interval(a: Column, b: Column) -> Column:
@@ -44,8 +54,12 @@ def interval(a: Column, b: Column) -> Column:
 
 
 def uses_flats(key: Column) -> Column:
-    """F44."""
-    return key.isin(FLAT_KEYS)
+    """whether the signature of a key named by a chord has flats. A sign in the name says so itself; else the major of that
+    pitch decides, or for a minor key the major three semitones up: F, Bb, Eb and Ab have flats."""
+    name, rest = F.regexp_extract(key, ROOT, 1), _after_root(key)
+    minor = F.startswith(rest, F.lit("m")) & ~F.startswith(rest, F.lit("maj"))
+    major = F.pmod(pitch_class(name) + F.when(minor, 3).otherwise(0), F.lit(12))
+    return F.when(F.length(name) == 2, F.endswith(name, F.lit("b"))).when(F.length(name) == 1, major.isin([FLATS.index(n) for n in ("F", "Bb", "Eb", "Ab")]))
 
 
 def note(pitch: Column, flats: Column) -> Column:
@@ -54,9 +68,18 @@ def note(pitch: Column, flats: Column) -> Column:
 
 
 def transpose(chord: Column, steps: Column, flats: Column) -> Column:
-    """root and bass moved, the quality kept; no step leaves the chord as it is written, and so does what is no chord."""
-    moved = F.concat(note(pitch_class(root(chord)) + steps, flats), quality(chord), F.coalesce(F.concat(F.lit("/"), note(pitch_class(bass(chord)) + steps, flats)), F.lit("")))
-    return F.when(F.pmod(steps, F.lit(12)) == 0, chord).otherwise(F.coalesce(moved, chord))
+    """root and bass moved and spelled anew, the rest kept. No step leaves a name as it is written; so does what has no root.
+    Twelve steps are steps: they spell the name anew."""
+    name, rest = F.regexp_extract(chord, ROOT, 1), _after_root(chord)
+    low = F.regexp_extract(rest, BASS, 2)
+    tail = F.when(low != "", F.concat(F.regexp_extract(rest, BASS, 1), F.lit("/"), note(pitch_class(low) + steps, flats), F.regexp_extract(rest, BASS, 3))).otherwise(rest)
+    return F.when((steps == 0) | (name == ""), chord).otherwise(F.concat(note(pitch_class(name) + steps, flats), tail))
+
+
+def respelled(chord: Column) -> Column:
+    """The same chord under the other name of its root; a root without a sign has none."""
+    name = F.regexp_extract(chord, ROOT, 1)
+    return F.when(F.length(name) == 2, F.concat(note(pitch_class(name), F.endswith(name, F.lit("#"))), _after_root(chord))).otherwise(chord)
 
 
 def shift_shape(shape: Column, steps: Column) -> Column:
@@ -70,7 +93,24 @@ def shift_shape(shape: Column, steps: Column) -> Column:
         ok = F.forall(frets, lambda c: (c == "x") | number(c).between(0, 15))
         return F.when(ok, F.array_join(F.transform(frets, lambda c: F.when(c == "x", c).otherwise(F.lower(F.hex(number(c).cast("long"))))), ""))
 
-    return F.coalesce(moved(n), moved(F.when(n > 0, n - 12).otherwise(n + 12)))
+    return F.coalesce(moved(n), moved(F.when(n >= 0, n - 12).otherwise(n + 12)))
+
+
+def fingering(chord: Column, shape: Column, steps: Column, flats: Column, table: Column) -> Column:
+    """the curated fingering (table: map of chord to shape) of the moved chord under either spelling, else the old shape moved."""
+    new = transpose(chord, steps, flats)
+    return F.coalesce(F.element_at(table, new), F.element_at(table, respelled(new)), shift_shape(shape, steps))
+
+
+def transpose_fingering_line(line: Column, steps: Column, flats: Column, table: Column) -> Column:
+    """a line `**Label:** Em 022000 · G 320003` with every chord moved; a chord without a fingering any more stands alone."""
+    label, rest = F.substring_index(line, ":** ", 1), F.regexp_extract(line, r"^.*?:\*\* (.*)$", 1)
+
+    def item(x: Column) -> Column:
+        chord, shape = F.substring_index(x, " ", 1), F.nullif(F.regexp_extract(x, r"^\S+ (\S+)$", 1), F.lit(""))
+        return F.concat_ws(" ", transpose(chord, steps, flats), fingering(chord, shape, steps, flats, table))
+
+    return F.concat(label, F.lit(":** "), F.array_join(F.transform(F.split(rest, " · "), item), " · "))
 
 
 def sounded(shape: Column, strings: list[int]) -> Column:
@@ -86,9 +126,24 @@ def fits(shape: Column, strings: list[int], expected: Column, optional: Column)
     return (F.size(F.array_except(tones, expected)) == 0) & (F.size(F.array_except(F.array_except(expected, tones), optional)) == 0)
 
 
-def normalise(sequence: Column) -> Column:
-    """a sequence of pitch classes moved so that it begins at 0."""
-    return F.transform(sequence, lambda x: F.pmod(x - F.get(sequence, F.lit(0)), F.lit(12)))
+def normalise(chords: Column, steps: Column) -> Column:
+    """a sequence of chords moved, each written as sharp root and quality, so that sequences compare; what is no chord goes."""
+    known = F.filter(chords, lambda c: root(c).isNotNull())
+    return F.transform(known, lambda c: F.concat(note(pitch_class(root(c)) + steps, F.lit(False)), quality(c)))
+
+
+def chord_list(body: Column, grammar: str, between: str | None = None) -> Column:
+    """the chords of a body (array of lines) in order: of a line with bracketed ones these, else the tokens of a line of chords alone;
+    runs of the same chord become one (W11)."""
+    from corpusforge.functions.text import all_tokens, collapse_runs
+
+    def line(x: Column) -> Column:
+        inline = F.regexp_extract_all(x, F.lit(r"\[([A-G][b#]?[^\]]*)\]"), 1)
+        tokens = F.filter(F.split(x, r"\s+"), lambda t: t != "")
+        return F.when(F.size(inline) > 0, inline).when(all_tokens(x, grammar, between), tokens).otherwise(F.array().cast("array<string>"))
+
+    found = F.filter(F.flatten(F.transform(body, line)), lambda c: root(c).isNotNull())
+    return let(found, collapse_runs)
 
 
 def lookup_keys(chord: Column) -> Column:

@@ -104,8 +104,8 @@ def match_case(word: Column, like: Column) -> Column:
 
 
 def base_title(x: Column) -> Column:
-    """F16: without a variant suffix such as (II) or (3)."""
-    return F.regexp_replace(x, r"\s*\((?:[IVX]+|\d+)\)$", "")
+    """F16: without the suffix of a variant: (I) to (III), then (variantă), (varianta), (II) or (III) in any case."""
+    return strip(F.regexp_replace(F.regexp_replace(x, r"\s*\(I{1,3}\)\s*$", ""), r"(?i)\s*\((?:variant[ăa]|II|III)\)\s*$", ""))
 
 
 def meta_line(*parts: Column) -> Column:

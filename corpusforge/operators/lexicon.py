@@ -38,32 +38,40 @@ def dominant(counts: DataFrame, by: list[str], least: int = 1, num: int = 8, den
 def restore(targets: DataFrame, corpus: DataFrame, dictionary: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """For each target (id, pos, k, prev, next) the form to write and the outcome; columns named in carry come along.
 
-    A key with one dictionary form takes it (unique). With several, the form that dominates the corpus (dominant), else that
-    of the left neighbour, else of the right one, each from three sightings on (context), else none (ambiguous). A key that the
-    dictionary doesn't have takes the corpus's dominant form (corpus), else none (unknown). dictionary: (k, form).
+    A key with one dictionary form takes it (unique). With several, the one that has at least 0.8 of the corpus's sightings of these
+    forms (dominant). Without any, the form that has 0.8 of all sightings of the key (corpus). Where that doesn't decide, the form that
+    dominates beside the left neighbour, else beside the right one, each from three sightings on (context); if the dictionary has the key,
+    it must have that form. Otherwise nothing is written (ambiguous), nor for a key that corpus and dictionary lack (unknown).
+    A form of another length than the key is not written. dictionary: (k, form).
 
     All but the contexts is settled once per key. Contexts are counted for the open keys alone, and only their targets look them up.
     """
-    forms = dictionary.select("k", "form").distinct().groupBy("k").agg(F.count("*").alias("forms"), F.min("form").alias("only"))
-    prior = dominant(priors(corpus), ["k"]).select("k", F.col("form").alias("by_prior"))
-    several, found = F.coalesce("forms", F.lit(0)) > 1, F.col("by_prior").isNotNull()
+    listed = dictionary.select("k", "form").distinct()
+    counts = priors(corpus)
+    forms = listed.groupBy("k").agg(F.count("*").alias("forms"), F.min("form").alias("only"))
+    by_dict = dominant(counts.join(listed, ["k", "form"]), ["k"]).select("k", F.col("form").alias("by_dict"))
+    by_corpus = counts.select("k").distinct().join(dominant(counts, ["k"]).select("k", F.col("form").alias("by_corpus")), "k", "left")
+    verdict = lambda outcome, form=F.lit(None).cast("string"): F.struct(F.lit(outcome).alias("outcome"), form.alias("form"))
     settled = (
-        F.when(several & found, F.struct(F.lit("dominant").alias("outcome"), F.col("by_prior").alias("form")))
-        .when(several, F.struct(F.lit("open").alias("outcome"), F.lit(None).cast("string").alias("form")))
-        .when(F.col("forms") == 1, F.struct(F.lit("unique").alias("outcome"), F.col("only").alias("form")))
-        .otherwise(F.struct(F.lit("corpus").alias("outcome"), F.col("by_prior").alias("form")))
+        F.when(F.col("forms") == 1, verdict("unique", F.col("only")))
+        .when(F.col("by_dict").isNotNull(), verdict("dominant", F.col("by_dict")))
+        .when(F.col("forms") > 1, verdict("listed"))
+        .when(F.col("by_corpus").isNotNull(), verdict("corpus", F.col("by_corpus")))
+        .otherwise(verdict("free"))
     )
-    verdicts = forms.join(prior, "k", "full").select("k", settled.alias("v")).select("k", "v.outcome", F.col("v.form").alias("chosen"))
-    unsettled = verdicts.filter("outcome = 'open'").select("k")
-    open_corpus = corpus.join(unsettled, "k", "left_semi")
+    verdicts = by_corpus.join(forms.join(by_dict, "k", "left"), "k", "full").select("k", settled.alias("v")).select("k", "v.outcome", F.col("v.form").alias("chosen"))
+    open_ = F.col("outcome").isin("listed", "free")
+    open_corpus = corpus.join(verdicts.filter(open_).select("k"), "k", "left_semi")
     left = dominant(contexts(open_corpus, "prev"), ["k", "prev"], 3).select("k", "prev", F.col("form").alias("by_left"))
     right = dominant(contexts(open_corpus, "next"), ["k", "next"], 3).select("k", "next", F.col("form").alias("by_right"))
 
     rows = targets.join(verdicts, "k", "left").withColumn("outcome", F.coalesce("outcome", F.lit("unknown")))
-    near = rows.filter("outcome = 'open'").drop("outcome", "chosen").join(left, ["k", "prev"], "left").join(right, ["k", "next"], "left").withColumn("chosen", F.coalesce("by_left", "by_right"))
+    near = rows.filter(open_).drop("chosen").join(left, ["k", "prev"], "left").join(right, ["k", "next"], "left").withColumn("chosen", F.coalesce("by_left", "by_right"))
+    near = near.join(listed.select("k", F.col("form").alias("chosen"), F.lit(True).alias("is_listed")), ["k", "chosen"], "left")
+    near = near.withColumn("chosen", F.when((F.col("outcome") == "free") | F.col("is_listed"), F.col("chosen")))
     near = near.withColumn("outcome", F.when(F.col("chosen").isNotNull(), "context").otherwise("ambiguous"))
     kept = ["id", "pos", "k", *(carry or []), "outcome", "chosen"]
-    every = rows.filter("outcome <> 'open'").select(kept).unionAll(near.select(kept))
+    every = rows.filter(~open_).select(kept).unionAll(near.select(kept))
     same = F.length("chosen") == F.length("k")
     return every.select("id", "pos", "k", *(carry or []), F.when(same, F.col("chosen")).otherwise(F.col("k")).alias("form"), "outcome")
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from corpusforge.functions import pitch
 from corpusforge.functions import text as T
 from corpusforge.session import ship_package
 
@@ -56,23 +60,21 @@ def verified(scored: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
 
 
 def verified_either(scored: DataFrame, docs: DataFrame, id: str = "doc_id", words: str = "words") -> DataFrame:
-    """Pairs by containment (branch cont), else by a ratio of their word sequences above RATIO (branch seq).
-
-    The ratio can't exceed 2 * inter / (words of both), so only pairs that this bound lets pass reach Python.
-    """
+    """Pairs by containment (branch cont), else by a ratio of their texts (words joined by blanks, letter by letter, a's first) above
+    RATIO (branch seq). Pairs without a common word have neither. Lengths alone rule pairs out before any text moves; letter
+    counts do before two texts are aligned."""
     ship_package(scored.sparkSession)
     contained = (F.col("least") > 0) & (F.col("inter") > CONTAINED * F.col("least"))
-    w = docs.select(F.col(id).alias("id"), F.col(words).alias("w"))
-    a, b = w.select(F.col("id").alias("a"), F.col("w").alias("wa")), w.select(F.col("id").alias("b"), F.col("w").alias("wb"))
-    sizes = F.col("na") + F.col("nb")
-    rest = scored.filter(~contained).join(a.select("a", F.size("wa").alias("na")), "a").join(b.select("b", F.size("wb").alias("nb")), "b").filter(2 * F.col("inter") > RATIO * sizes)
-    texts = rest.select(scored.columns).join(a, "a").join(b, "b").repartition(F.col("a"), F.col("b"))
+    text = docs.select(F.col(id).alias("id"), F.array_join(words, " ").alias("t"))
+    side = lambda c: text.select(F.col("id").alias(c), F.col("t").alias(f"t{c}"))
+    na, nb = F.length("ta"), F.length("tb")
+    rest = scored.filter(~contained & (F.col("inter") > 0)).join(side("a"), "a").join(side("b"), "b").filter(2 * F.least(na, nb) > RATIO * (na + nb)).repartition(F.col("a"), F.col("b"))
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([ratio(list(p), list(q)) for p, q in zip(x, y)], dtype="float64")
+        return pd.Series([aligned_ratio(p, q, RATIO) for p, q in zip(x, y)], dtype="float64")
 
-    by_ratio = texts.withColumn("ratio", run("wb", "wa")).filter(F.col("ratio") > RATIO)
+    by_ratio = rest.withColumn("ratio", run("ta", "tb")).filter(F.col("ratio") > RATIO)
     return scored.filter(contained).select(*scored.columns, F.lit("cont").alias("branch")).unionAll(by_ratio.select(*scored.columns, F.lit("seq").alias("branch")))
 
 
@@ -91,6 +93,56 @@ def ratio(a: str, b: str, autojunk: bool = False) -> float:
     return SequenceMatcher(None, a, b, autojunk=autojunk).ratio()
 
 
+def aligned_ratio(a: str, b: str, above: float = 0.0) -> float:
+    """ratio(a, b), or 0 as soon as it can't exceed `above`: by letter counts, or by what the parts still to be aligned can add.
+    The largest parts are aligned first, by rows of a table of common runs, which is faster for letters than lists of places."""
+    from difflib import SequenceMatcher
+
+    total = len(a) + len(b)
+    if not total:
+        return 1.0
+    x, y = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (a, b))
+    letters, ids = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y = ids[: len(x)], ids[len(x) :]
+    if 2 * np.minimum(np.bincount(x, minlength=len(letters)), np.bincount(y, minlength=len(letters))).sum() <= above * total:
+        return 0.0
+    marks = np.equal(y[None, :], np.arange(len(letters))[:, None]).astype(np.uint32) if len(x) * len(y) > SMALL_PART else None
+    matched, open_, room = 0, [(-len(x) * len(y), 0, len(x), 0, len(y))], min(len(x), len(y))
+    while open_ and 2 * (matched + room) > above * total:
+        area, i0, i1, j0, j1 = heappop(open_)
+        room -= min(i1 - i0, j1 - j0)
+        if -area <= SMALL_PART:
+            matched += sum(m.size for m in SequenceMatcher(None, a[i0:i1], b[j0:j1], autojunk=False).get_matching_blocks())
+            continue
+        size, i, j = _longest_run(x[i0:i1], marks[:, j0:j1])
+        if size:
+            matched += size
+            for part in ((i0, i0 + i, j0, j0 + j), (i0 + i + size, i1, j0 + j + size, j1)):
+                if fits := min(part[1] - part[0], part[3] - part[2]):
+                    room += fits
+                    heappush(open_, (-(part[1] - part[0]) * (part[3] - part[2]), *part))
+    return 0.0 if open_ else 2 * matched / total
+
+
+#: Parts of fewer pairs of letters are left to difflib.
+SMALL_PART = 1 << 18
+
+
+def _longest_run(x: np.ndarray, marks: np.ndarray) -> tuple[int, int, int]:
+    """(length, start in x, start in y) of the longest common run, the earliest in x, then in y, of equals. marks: letter by place in y, 0 or 1."""
+    best, width = (0, 0, 0), marks.shape[1]
+    row, new = np.zeros(width + 1, np.uint32), np.zeros(width + 1, np.uint32)
+    for i, c in enumerate(x.tolist()):
+        np.add(row[:-1], 1, out=new[1:])
+        np.multiply(new[1:], marks[c], out=new[1:])
+        j = int(new.argmax())
+        if new[j] > best[0]:
+            top = int(new[j])
+            best = (top, i + 1 - top, j - top)
+        row, new = new, row
+    return best
+
+
 def at_least(a: str, b: str, cutoff: float) -> bool:
     """ratio(a, b) >= cutoff, by difflib's own cheap upper bounds first."""
     from difflib import SequenceMatcher
@@ -162,26 +214,26 @@ def fold_pairs(pairs: DataFrame, group: str, order: list[str], keep: str, drop:
     return pairs.groupBy(group).applyInPandas(run, "dropped long, kept long")
 
 
-def best_shift(a: list[int], b: list[int], size: int = 12) -> tuple[float, int]:
-    """the best ratio of a with b moved by 0 to size - 1 steps; the first of equal ones wins."""
-    from difflib import SequenceMatcher
-
-    best = (-1.0, 0)
-    for shift in range(size):
-        score = SequenceMatcher(None, a, [(x + shift) % size for x in b], autojunk=False).ratio()
+def best_shift(a: list[str], b: list[str]) -> tuple[float, int]:
+    """the best ratio of b with the chords of a moved by 0 to 11 steps, and these steps; the fewest of equals, 0 if nothing is alike.
+    Chords of a are written with sharps, without bass; what is no chord must not be among them (chord_list)."""
+    best, moved = (0.0, 0), [re.match("([A-G][#b]?)([^/]*)", c).groups() for c in a]
+    pitches = pitch.pitches()
+    for steps in range(12):
+        score = ratio([pitch.SHARPS[(pitches[r] + steps) % 12] + q for r, q in moved], b)
         if score > best[0]:
-            best = (score, shift)
+            best = (score, steps)
     return best
 
 
-def best_shifts(pairs: DataFrame, a: str = "a", b: str = "b", size: int = 12) -> DataFrame:
+def best_shifts(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """F33 over a table: adds score and shift."""
     ship_package(pairs.sparkSession)
     schema = StructType([*pairs.schema.fields, StructField("score", DoubleType()), StructField("shift", IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [best_shift(list(x), list(y), size) for x, y in zip(pdf[a], pdf[b])]
+            found = [best_shift(list(x), list(y)) for x, y in zip(pdf[a], pdf[b])]
             yield pdf.assign(score=[s for s, _ in found], shift=[k for _, k in found])
 
     return pairs.mapInPandas(run, schema)

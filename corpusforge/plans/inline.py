@@ -8,7 +8,7 @@ from corpusforge.catalog import query, table
 from corpusforge.functions import pitch
 from corpusforge.operators import indexing, rules
 
-CHORDS = ["C", "Am", "Db", "F#m7", "D/F#", "Bb", "Gsus4", "Ebmaj7", "N.C.", "B/D#"]
+CHORDS = ["C", "Am", "Db", "F#m7", "D/F#", "Bb", "Gsus4", "Ebmaj7", "N.C.", "B/D#", "A6/9", "C/E7", "Am:", "Cb"]
 SHAPES = [("Am", "x02210"), ("C", "x32010"), ("G", "320003"), ("D", "xx0232"), ("E", "022100"), ("F", "133211")]
 STRINGS = [4, 9, 2, 7, 11, 4]
 _values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" for x in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows)
@@ -19,15 +19,18 @@ def _note(x: str) -> str:
     return f"['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'][(({_PC % (x, x)} + n) % 12 + 12) % 12 + 1]"
 
 
-@query(f"""WITH c(chord) AS (VALUES {_values(CHORDS)}), s AS (SELECT chord, range AS n, regexp_extract(chord, '^([A-G][#b]?)([^/]*)(?:/([A-G][#b]?))?$', 1) AS r, regexp_extract(chord, '^([A-G][#b]?)([^/]*)(?:/([A-G][#b]?))?$', 2) AS q, regexp_extract(chord, '^([A-G][#b]?)([^/]*)(?:/([A-G][#b]?))?$', 3) AS b FROM c, range(12))
-SELECT chord, n::BIGINT AS steps, CASE WHEN n = 0 OR r = '' THEN chord ELSE {_note('r')} || q || CASE WHEN b = '' THEN '' ELSE '/' || {_note('b')} END END AS moved FROM s""")
+PARTS = "WITH c(chord) AS (VALUES " + _values(CHORDS) + "), r AS (SELECT chord, regexp_extract(chord, '^([A-G][#b]?)(.*)$', 1) AS r, regexp_extract(chord, '^([A-G][#b]?)(.*)$', 2) AS q FROM c), p AS (SELECT *, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 1) AS q0, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 2) AS b, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 3) AS q1 FROM r)"
+
+
+@query(f"""{PARTS}, s AS (SELECT *, range AS n FROM p, range(13))
+SELECT chord, n::BIGINT AS steps, CASE WHEN n = 0 OR r = '' THEN chord ELSE {_note('r')} || CASE WHEN b = '' THEN q ELSE q0 || '/' || {_note('b')} || q1 END END AS moved FROM s""")
 def pitch_transpose(spark, sf_dir):
-    rows = spark.createDataFrame([(c,) for c in CHORDS], "chord string").withColumn("steps", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    rows = spark.createDataFrame([(c,) for c in CHORDS], "chord string").withColumn("steps", F.explode(F.sequence(F.lit(0), F.lit(12))))
     return rows.select("chord", F.col("steps").cast("long").alias("steps"), pitch.transpose(F.col("chord"), F.col("steps"), F.lit(False)).alias("moved"))
 
 
 @query(f"""WITH c(chord, shape) AS (VALUES {_values(SHAPES)}), s AS (SELECT *, range AS n, CASE WHEN range > 6 THEN range - 12 ELSE range END AS k FROM c, range(12)),
-f AS (SELECT chord, shape, n, k, CASE WHEN k > 0 THEN k - 12 ELSE k + 12 END AS o, list_transform(list_filter(string_split(shape, ''), lambda x: x <> ''), lambda x: CASE WHEN x = 'x' THEN NULL ELSE strpos('0123456789abcdef', x) - 1 END) AS f FROM s),
+f AS (SELECT chord, shape, n, k, CASE WHEN k >= 0 THEN k - 12 ELSE k + 12 END AS o, list_transform(list_filter(string_split(shape, ''), lambda x: x <> ''), lambda x: CASE WHEN x = 'x' THEN NULL ELSE strpos('0123456789abcdef', x) - 1 END) AS f FROM s),
 g AS (SELECT *, list_transform(f, lambda x: x + k) AS a, list_transform(f, lambda x: x + o) AS b FROM f)
 SELECT chord, n::BIGINT AS steps, CASE WHEN list_min(a) >= 0 AND list_max(a) <= 15 THEN array_to_string(list_transform(a, lambda x: coalesce(substr('0123456789abcdef', x + 1, 1), 'x')), '') WHEN list_min(b) >= 0 AND list_max(b) <= 15 THEN array_to_string(list_transform(b, lambda x: coalesce(substr('0123456789abcdef', x + 1, 1), 'x')), '') END AS moved FROM g""")
 def shape_shift_hex(spark, sf_dir):

@@ -150,8 +150,8 @@ def merge_same_reading(spark, sf_dir):
 
 @query()
 def best_shift_similarity(spark, sf_dir):
-    """F33 on the event types of each user and the next one, read as pitch classes."""
-    kinds = F.create_map(*[F.lit(x) for i, k in enumerate(["view", "click", "purchase", "signup", "error"]) for x in (k, 2 * i)])
+    """F33 on the event types of each user and the next one, read as chords."""
+    kinds = F.create_map(*[F.lit(x) for k, c in zip(["view", "click", "purchase", "signup", "error"], ["C", "Dm", "E7", "F#", "G#m"]) for x in (k, c)])
     seq = table(spark, sf_dir, "events").groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", kinds[F.col("event_type")].alias("k")))), lambda x: x["k"]).alias("a"))
     pairs = seq.join(seq.select((F.col("user_id") - 1).alias("user_id"), F.col("a").alias("b")), "user_id")
     return linkage.best_shifts(pairs).select("user_id", "score", "shift")
@@ -159,7 +159,8 @@ def best_shift_similarity(spark, sf_dir):
 
 @query()
 def recase_titles(spark, sf_dir):
-    """first lines in capitals get back a reader's case."""
+    """First lines, which stand for titles, in capitals get back a reader's case."""
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", "lang", F.upper(titles.first_line()).alias("title"))
-    return titles.recase_titles(rows, "title", "lang", titles.proper_nouns(docs)).select("doc_id", "title", "recased")
+    nouns = cut_lineage(titles.proper_nouns(docs))
+    return titles.recase_titles(rows, "doc_id", "title", "lang", nouns, nouns.filter("n >= 8")).select("doc_id", "title", "recased")

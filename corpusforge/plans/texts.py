@@ -143,13 +143,15 @@ def dictionary_coverage_first40(spark, sf_dir):
 
 
 @query(f"""WITH {TOKENS_SQL}, p AS (SELECT k, form, count(*) AS n FROM tok GROUP BY ALL),
-dict AS (SELECT k, count(*) AS forms, min(form) AS only_form FROM p WHERE n >= 5 GROUP BY k),
-dom AS (SELECT k, arg_max(form, (n, form)) AS by_prior FROM p GROUP BY k HAVING max(n) * 10 >= sum(n) * 8),
+d AS (SELECT k, form FROM p WHERE n >= 5), dict AS (SELECT k, count(*) AS forms, min(form) AS only_form FROM d GROUP BY k),
+domd AS (SELECT k, arg_max(form, (n, form)) AS by_dict FROM p JOIN d USING (k, form) GROUP BY k HAVING max(n) * 10 >= sum(n) * 8),
+domc AS (SELECT k, arg_max(form, (n, form)) AS by_corpus FROM p GROUP BY k HAVING max(n) * 10 >= sum(n) * 8),
 l AS (SELECT k, prev, form, count(*) AS n FROM tok WHERE prev IS NOT NULL GROUP BY ALL), ld AS (SELECT k, prev, arg_max(form, (n, form)) AS by_left FROM l GROUP BY ALL HAVING sum(n) >= 3 AND max(n) * 10 >= sum(n) * 8),
 r AS (SELECT k, next, form, count(*) AS n FROM tok WHERE next IS NOT NULL GROUP BY ALL), rd AS (SELECT k, next, arg_max(form, (n, form)) AS by_right FROM r GROUP BY ALL HAVING sum(n) >= 3 AND max(n) * 10 >= sum(n) * 8),
-o AS (SELECT tok.k, tok.form AS truth, CASE WHEN forms = 1 THEN 'unique' WHEN forms > 1 AND by_prior IS NOT NULL THEN 'dominant' WHEN forms > 1 AND coalesce(by_left, by_right) IS NOT NULL THEN 'context' WHEN forms > 1 THEN 'ambiguous' WHEN by_prior IS NOT NULL THEN 'corpus' ELSE 'unknown' END AS outcome, only_form, by_prior, by_left, by_right
-FROM tok LEFT JOIN dict USING (k) LEFT JOIN dom USING (k) LEFT JOIN ld ON tok.k = ld.k AND tok.prev = ld.prev LEFT JOIN rd ON tok.k = rd.k AND tok.next = rd.next),
-c AS (SELECT *, CASE outcome WHEN 'unique' THEN only_form WHEN 'dominant' THEN by_prior WHEN 'corpus' THEN by_prior WHEN 'context' THEN coalesce(by_left, by_right) END AS chosen FROM o)
+o AS (SELECT tok.k, tok.form AS truth, forms, only_form, by_dict, by_corpus, coalesce(by_left, by_right) AS near FROM tok LEFT JOIN dict USING (k) LEFT JOIN domd USING (k) LEFT JOIN domc USING (k)
+LEFT JOIN ld ON tok.k = ld.k AND tok.prev = ld.prev LEFT JOIN rd ON tok.k = rd.k AND tok.next = rd.next), q AS (SELECT o.*, d.form IS NOT NULL AS is_listed FROM o LEFT JOIN d ON d.k = o.k AND d.form = o.near),
+c AS (SELECT k, truth, CASE WHEN forms = 1 THEN 'unique' WHEN by_dict IS NOT NULL THEN 'dominant' WHEN forms > 1 AND is_listed THEN 'context' WHEN forms > 1 THEN 'ambiguous' WHEN by_corpus IS NOT NULL THEN 'corpus' WHEN near IS NOT NULL THEN 'context' ELSE 'ambiguous' END AS outcome,
+CASE WHEN forms = 1 THEN only_form WHEN by_dict IS NOT NULL THEN by_dict WHEN forms > 1 AND is_listed THEN near WHEN forms > 1 THEN NULL WHEN by_corpus IS NOT NULL THEN by_corpus ELSE near END AS chosen FROM q)
 SELECT outcome, count(*) AS n, count(CASE WHEN (CASE WHEN length(chosen) = length(k) THEN chosen ELSE k END) = truth THEN 1 END) AS correct FROM c GROUP BY outcome""")
 def restore_marks(spark, sf_dir):
     tokens = lexicon.tokens(table(spark, sf_dir, "documents"))

@@ -25,6 +25,9 @@ def one(spark, column):
         (lambda: T.match_case(F.lit("étude"), F.lit("ETUDE")), "ÉTUDE"),
         (lambda: T.match_case(F.lit("étude"), F.lit("Etude")), "Étude"),
         (lambda: T.base_title(F.lit("Song (II)")), "Song"),
+        (lambda: T.base_title(F.lit("Song (Variantă) (I) ")), "Song"),
+        (lambda: T.base_title(F.lit("Song (IV)")), "Song (IV)"),
+        (lambda: T.base_title(F.lit("Song (3)")), "Song (3)"),
         (lambda: T.meta_line(F.lit("a"), F.lit(""), F.lit(None).cast("string"), F.lit("b")), "a · b"),
         (lambda: T.meta_artist(F.lit("**Some One** · x")), "Some One"),
         (lambda: T.meta_artist(F.lit("x")), None),
@@ -69,7 +72,7 @@ def test_grammar(spark):
 
 
 # name, steps, expected
-MOVES = [("B", 1, "C"), ("C", -1, "B"), ("D/F#", 2, "E/G#"), ("Am7", 0, "Am7"), ("Db", 0, "Db"), ("N.C.", 3, "N.C.")]
+MOVES = [("B", 1, "C"), ("C", -1, "B"), ("D/F#", 2, "E/G#"), ("Am7", 0, "Am7"), ("Db", 0, "Db"), ("N.C.", 3, "N.C."), ("A6/9", 2, "B6/9"), ("C/E7", 2, "D/F#7"), ("Db", 12, "C#"), ("Cb", 12, "B"), ("Am:", 3, "Cm:")]
 
 
 @pytest.mark.parametrize(("name", "steps", "expected"), MOVES)
@@ -110,7 +113,43 @@ def test_lookup_keys_try_both_spellings(spark):
 
 
 def test_recase():
-    assert titles.recase("THE KING OF LONDON", {"london"}, True) == "The King of London"
-    assert titles.recase("DE MARIA XV", {"maria"}, False) == "De Maria XV"
-    assert titles.recase("Mixed Case", set(), False) == "Mixed Case"
-    assert titles.recase("VOM LONDONS", {"london"}, False) == "Vom Londons"
+    assert titles.recase("THE KING OF LONDON", {}, True) == "The King of London"
+    assert titles.recase("Don't stop the king", {}, True) == "Don't Stop the King"
+    assert titles.recase("DE MARIA XV", {"maria": "Maria"}, False) == "De Maria XV"
+    assert titles.recase("Mixed Case", {}, False) == "Mixed Case"
+    assert titles.recase("LA DIANEI-N CASA", {"dianei": None}, False) == "La Dianei-n casa"
+    assert titles.recase("(HAI!) MANOLE", {"manole": "Manole"}, False) == "(Hai!) Manole"
+
+
+def test_names_in_titles(spark):
+    words = spark.createDataFrame([("dianei",), ("diana",), ("casa",), ("maria",), ("pentru",)], "low string")
+    nouns = spark.createDataFrame([("maria", "Maria"), ("diana", "Diana"), ("pentru", "Pentru")], "word string, form string")
+    found = {r.low: r.form for r in titles.names_in_titles(words, nouns, nouns.filter("word = 'diana'").select("word")).collect()}
+    assert found == {"dianei": None, "diana": "Diana", "maria": "Maria"}
+
+
+def test_proper_nouns(spark):
+    df = spark.createDataFrame([(k, "vino la Maria acum\nMaria, Ana. Ana și CASA mea") for k in range(4)], "doc_id long, text string")
+    assert [tuple(r) for r in titles.proper_nouns(df).collect()] == [("maria", "Maria", 4)]
+
+
+#: By hand from the rules: name, whether flats are used as its key.
+KEYS = [("F", True), ("Bb", True), ("Abm", True), ("Dm7", True), ("Dmaj7", False), ("C", False), ("F#m", False), ("Am", False), ("Cm", True), ("Em", False), ("G", False)]
+
+
+@pytest.mark.parametrize(("key", "flats"), KEYS)
+def test_uses_flats(spark, key, flats):
+    assert one(spark, pitch.uses_flats(F.lit(key))) is flats
+
+
+def test_chord_parts(spark):
+    parts = lambda c: tuple(one(spark, f(F.lit(c))) for f in (pitch.root, pitch.quality, pitch.bass))
+    assert parts("Am7/G") == ("A", "m7", "G") and parts("A6/9") == ("A", "6", None) and parts("Am:") == (None, None, None) and parts("H") == (None, None, None)
+
+
+def test_chord_list_and_lines(spark):
+    body = F.array(*map(F.lit, ["C C  G", "la la", "[Am]la [Am]lo [F]", "", "B: hey"]))
+    assert one(spark, pitch.chord_list(body, "^[A-G]m?:?$")) == ["C", "G", "Am", "F"]
+    assert one(spark, pitch.normalise(F.array(F.lit("Db7"), F.lit("x"), F.lit("Am/G")), F.lit(2))) == ["D#7", "Bm"]
+    table = F.create_map(F.lit("Gb"), F.lit("244322"))
+    assert one(spark, pitch.transpose_fingering_line(F.lit("**Label:** Em 022000 · F 133211 · Q"), F.lit(1), F.lit(False), table)) == "**Label:** Fm 133111 · F# 244322 · Q"
