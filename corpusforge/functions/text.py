@@ -50,6 +50,11 @@ def sort_key(x: Column) -> Column:
     return F.regexp_replace(fold(x), "^[^a-z0-9]+", "")
 
 
+def search_key(x: Column) -> Column:
+    """folded, all signs kept: a filter may match anywhere."""
+    return fold(x)
+
+
 def strip_accents(x: Column) -> Column:
     """without accents, case kept."""
     return F.translate(x, _FROM, _TO)

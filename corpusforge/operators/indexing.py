@@ -55,6 +55,17 @@ def merged_index(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return joined.withColumn("side", side).drop("_l", "_r")
 
 
+def merge_links(index: DataFrame, links: DataFrame, key: str, order: str, mark: str = "@ ") -> DataFrame:
+    """Rows of an index (key, name, items array) with links (key, name, title, href) behind their own items, marked; names that the
+    index lacks are put in at the place of their key. What an earlier run put in goes first, so that running twice changes nothing."""
+    own = F.filter("items", lambda x: ~F.startswith(x, F.lit(mark)))
+    base = index.select(key, F.col("name").alias("_name"), own.alias("_own")).filter(F.size("_own") > 0)
+    fresh = F.transform(F.sort_array(F.collect_list(F.struct(order, "title", "href"))), lambda x: F.concat(F.lit(f"{mark}["), x["title"], F.lit("]("), x["href"], F.lit(")")))
+    added = links.groupBy(key).agg(F.min("name").alias("_new"), fresh.alias("_links"))
+    none = F.array().cast("array<string>")
+    return base.join(added, key, "full").select(key, F.coalesce("_name", "_new").alias("name"), F.concat(F.coalesce("_own", none), F.coalesce("_links", none)).alias("items"))
+
+
 def totals(rows: DataFrame, *keys: str) -> DataFrame:
     """Counts by all keys, by leading keys and in all; level counts the keys that are summed over."""
     return rows.rollup(*keys).agg(F.count("*").alias("n"), F.grouping_id().alias("gid"))

@@ -61,8 +61,8 @@ def forward_match(left: DataFrame, right: DataFrame, by: str, at: str, id: str,
 def blank_on_gap(rows: DataFrame, partition: str, order: str, y: str, gap: float) -> DataFrame:
     """An empty line before a line that is more than `gap` below the one before."""
     wide = F.coalesce(gap_to_previous(y, [partition], [order]) > gap, F.lit(False))
-    out = F.explode(F.when(wide, F.array(F.lit(""), F.col("line"))).otherwise(F.array("line")))
-    return rows.withColumn("line", out)
+    out = F.explode(F.when(F.col("_wide"), F.array(F.lit(""), F.col("line"))).otherwise(F.array("line")))
+    return rows.withColumn("_wide", wide).withColumn("line", out).drop("_wide")
 
 
 def join_wraps(rows: list[str], width: int) -> list[str]:

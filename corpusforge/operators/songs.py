@@ -1,4 +1,4 @@
-"""Composite steps on items with symbol lines."""
+"""Composite steps on items with symbol lines."""
 
 from __future__ import annotations
 
@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import pitch
-from corpusforge.functions.text import all_tokens, norm
+from corpusforge.functions.text import all_tokens, base_title, comma_below, fold, mark_repeats, norm, sort_key
 
 from .indexing import merged_index, number_globally
-from .lines import gap_to_previous, islands
+from .lines import carry_forward, fences, gap_to_previous, islands
 
 #: One grammar of symbol tokens, a fixed value: root, quality, bass, and what may stand between chords.
 CHORD = r"^\(?[A-G][#b]?(?:m|maj|min|dim|aug|sus|add|M)?\d*(?:sus\d|add\d+|[#b]\d+)*(?:/[A-G][#b]?)?\)?$"
@@ -157,3 +157,148 @@ def regroup(items: DataFrame, sections: DataFrame, key: str) -> DataFrame:
     joined = items.join(F.broadcast(sections.select(key, "part", "sub")), key, "left")  # a curated map
     checked = joined.withColumn("part", F.coalesce("part", F.raise_error(F.concat(F.lit("no section for "), F.col(key).cast("string"))).cast("string")))
     return number_globally(checked.withColumn("fold", norm(F.col("title"))), ["part", "sub", "fold", key], "number").drop("fold")
+
+
+# -- predicates and tokens of lines -----------------------------------------------------------------------------------------
+#: Formats of the corpus, fixed values: bracketed chords (an optional one in parentheses), markers, lone section signs, bylines.
+INLINE = r"\[(\([A-G][^\]]*\)|[A-G][^\]]*)\]"
+MARK = r"(?i)^(?:no chords?|n\.c\.|nc|riff(?: [^\]]*)?|solo)$"
+SIGN = r"\d{1,2}\.(?!\d)|R\d?\s*:|(?i:refren)(?:\s*[xX]\s*\d+)?\s*:"
+SIGN_ALONE = r"^\s*(?:\d{1,2}\.(?!\d)|R\d?\s*:|(?i:refren)(?:\s*[xX]\s*\d+)?\s*:?|(?i:bis)|(?i:strofa\s*\d*)\s*:?|(?i:solo|intro|final|bridge)\s*:?)\s*$"
+BYLINE = r"(?iU)^\(|^(?:tradi[țt]ional|popular|necunoscut)\b"
+
+
+def is_mark(label: Column) -> Column:
+    """The label of a bracket is a marker and no chord."""
+    return label.rlike(MARK)
+
+
+def mark_label(label: Column) -> Column:
+    """How a marker is shown: no chord as N.C., a bare riff in lower case, others as written."""
+    return F.when(F.startswith(F.lower(label), F.lit("n")), "N.C.").when(F.lower(label) == "riff", "riff").otherwise(label)
+
+
+def split_optional(label: Column) -> Column:
+    """(chord, optional): a chord in parentheses may be left out."""
+    inner = F.regexp_extract(label, r"^\((.*)\)$", 1)
+    return F.struct(F.when(label.rlike(r"^\(.*\)$"), inner).otherwise(label).alias("chord"), label.rlike(r"^\(.*\)$").alias("optional"))
+
+
+def has_inline(body: Column) -> Column:
+    """A line of a text fence that is no line of chords holds a bracketed chord or marker. body: array<struct<kind, line>>."""
+    marked = lambda x: F.exists(F.regexp_extract_all(x, F.lit(r"\[([^\]]*)\]"), 1), is_mark)
+    return F.exists(body, lambda x: (x["kind"] == "text") & ~is_chord_line(x["line"]) & (x["line"].rlike(INLINE) | marked(x["line"])))
+
+
+def is_byline(line: Column) -> Column:
+    """A line before the body that names an author."""
+    return line.rlike(BYLINE)
+
+
+def without_sections(items: DataFrame, section: str, denied: list[str]) -> DataFrame:
+    """Items of other sections than the denied ones; items without a section stay."""
+    return items.filter(~F.coalesce(F.col(section).isin(denied), F.lit(False)))
+
+
+def clean_dots(lines: Column) -> Column:
+    """Lines of a lone full stop go; one before white space is a blank, so that columns stay."""
+    return F.transform(F.filter(lines, lambda x: F.trim(x) != "."), lambda x: F.regexp_replace(x, r"^\.(\s+)", " $1"))
+
+
+def two_row_tokens(line: Column) -> Column:
+    """array<struct<col, label>> of the words of a line, as inline_tokens gives them."""
+    pieces = F.regexp_extract_all(line, F.lit(r"(\s*\S+)"), 1)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<col:int,label:string>>").alias("out"))
+    step = lambda acc, p: F.struct((acc["at"] + F.length(p)).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(p) - F.length(F.ltrim(p))).alias("col"), F.ltrim(p).alias("label")))).alias("out"))
+    return F.aggregate(pieces, start, step)["out"]
+
+
+def lyric_words(body: Column) -> Column:
+    """the folded words that are sung: bracketed chords go without leaving a gap, lines of chords and lone signs go, a leading sign goes."""
+    bare = F.transform(body, lambda x: F.trim(F.regexp_replace(x, r"\[[^\]]*\]", "")))
+    sung = F.filter(bare, lambda x: (x != "") & ~is_chord_line(x) & ~x.rlike(SIGN_ALONE))
+    text = F.transform(sung, lambda x: F.regexp_replace(fold(F.regexp_replace(x, rf"^\s*(?:{SIGN})\s*", "")), r"[^a-z0-9\s]", " "))
+    return F.filter(F.split(F.array_join(text, " "), r"\s+"), lambda w: w != "")
+
+
+# -- composites -------------------------------------------------------------------------------------------------------------
+def rewrite_fenced(rows: DataFrame, partition: str, order: str, kind: str, rewrite: Callable[[Column], Column], skip: Callable[[Column], Column]) -> DataFrame:
+    """K8: rewrites the lines inside fences of one kind, but those to skip; adds changed. Doing it twice changes nothing more if the
+    rewriting itself doesn't."""
+    f = fences(rows, partition, order, F.col("line").rlike("^```"))
+    opener = F.when(F.col("line").rlike("^```"), F.coalesce(F.nullif(F.trim(F.substring("line", 4, 99)), F.lit("")), F.lit("text")))
+    f = carry_forward(f, partition, order, F.when(F.col("is_marker"), opener), "_kind")
+    fresh = F.when(F.col("inside") & (F.col("_kind") == kind) & ~skip(F.col("line")), rewrite(F.col("line"))).otherwise(F.col("line"))
+    return f.withColumn("_old", F.col("line")).withColumn("line", fresh).withColumn("changed", F.col("_old") != F.col("line")).select(*rows.columns, "changed")
+
+
+def hold_repeats(line: Column) -> Column:
+    """A bracketed chord equal to the bracket just before it on the line becomes ^; markers and optional chords stay and divide."""
+    token = r"\[(?:\([A-G][^\]]*\)|[A-G][^\]]*|(?i:no chords?|n\.c\.|nc|riff(?: [^\]]*)?|solo))\]"
+    found = F.regexp_extract_all(line, F.lit(f"({token})"), 1)
+    gaps = F.split(line, token)
+    signs = mark_repeats(found, "^", r"^\[(?![A-G])|^\[\(")
+    return F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(signs, i), F.lit("")))), "")
+
+
+def contents(rows: DataFrame) -> DataFrame:
+    """(page, title, artist, part) of the lines of a table of contents (ord, line): `12. Title (Artist) ..... 34`. In the second part
+    an artist stands on a line of its own above its entries; the later of two entries of one page counts."""
+    entry = r"^\s*\d+\.\s*(.+?)\s*\.{3,}\s*,?\.*\s*(\d+)\s*$"
+    r = rows.withColumn("one", F.lit(1)).withColumn("is_entry", F.rtrim("line").rlike(entry))
+    r = carry_forward(r, "one", "ord", F.when(F.col("line").contains("PARTEA A II-A"), F.lit(2)), "part").withColumn("part", F.coalesce("part", F.lit(1)))
+    head = F.trim("line")
+    is_head = ~F.col("is_entry") & (F.col("part") == 2) & (head != "") & ~head.rlike(r"^\d+$") & ~F.lower(head).contains("pag") & ~head.contains("TRUPE") & (F.length(head) < 40) & ~F.startswith(head, F.lit("PARTEA"))
+    r = carry_forward(r, "one", "ord", F.when(is_head, head), "header").filter("is_entry")
+    body = F.regexp_replace(F.regexp_extract(F.rtrim("line"), entry, 1), r"[\s.,]+$", "")
+    named = body.rlike(r"\(([^()]*)\)?\s*$")
+    title = F.trim(F.regexp_replace(F.when(named, F.regexp_replace(body, r"\([^()]*\)?\s*$", "")).otherwise(body), r"\.{2,}", ""))
+    artist = F.when(named, F.trim(F.regexp_extract(body, r"\(([^()]*)\)?\s*$", 1))).otherwise(F.col("header"))
+    out = r.select(F.regexp_extract(F.rtrim("line"), entry, 2).cast("int").alias("page"), comma_below(title).alias("title"), comma_below(artist).alias("artist"), "part", "ord")
+    last = F.max_by(F.struct("title", "artist", "part"), "ord")
+    return out.groupBy("page").agg(last.alias("e")).select("page", "e.*")
+
+
+def foreign_lines(items: DataFrame, own: str, meta: str = "meta", body: str = "body") -> DataFrame:
+    """The lines of all items but those whose metadata name our own product, chords out of the way."""
+    kept = items.filter(~F.coalesce(F.contains(F.col(meta), F.lit(own)), F.lit(False)))
+    return kept.select(F.explode(F.transform(body, lambda x: F.regexp_replace(x, r"\[[^\]]*\]", " "))).alias("line"))
+
+
+def plan_report(items: DataFrame, pairs: DataFrame, components: DataFrame, merges: DataFrame) -> DataFrame:
+    """(what, key, n): groups by size, pairs by their two sources, merges expected, items by part. items(id, src, part), pairs(a, b),
+    components(node, component), merges(dropped)."""
+    sizes = components.groupBy("component").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("n")).select(F.lit("groups of size").alias("what"), F.col("size").cast("string").alias("key"), "n")
+    src = items.select("id", "src")
+    named = pairs.join(src.select(F.col("id").alias("a"), F.col("src").alias("sa")), "a").join(src.select(F.col("id").alias("b"), F.col("src").alias("sb")), "b")
+    by = named.groupBy(F.concat_ws(" - ", F.least("sa", "sb"), F.greatest("sa", "sb")).alias("key")).agg(F.count("*").alias("n")).select(F.lit("pairs of").alias("what"), "key", "n")
+    gone = merges.agg(F.count("*").alias("n")).select(F.lit("merges").alias("what"), F.lit("").alias("key"), "n")
+    parts = items.groupBy(F.col("part").cast("string").alias("key")).agg(F.count("*").alias("n")).select(F.lit("items of part").alias("what"), "key", "n")
+    return sizes.unionAll(by).unionAll(gone).unionAll(parts)
+
+
+#: Numerals of variants, a fixed value.
+NUMERALS = ["I", "II", "III", "IV", "V", "VI"]
+
+
+def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, priority: Column) -> DataFrame:
+    """Items (id, src, title, part, artist, page) after the merge: those kept, under their group's base title with a numeral where
+    several are left, in the part their group agrees on (`majority`, T8), with the first artist of the group that is not null, the
+    places of what was merged into them (also), and their number by part and folded title. dropped(dropped, kept), components(node, component),
+    priority: rank of a source, lowest first. A seventh variant is an error, as there are six numerals."""
+    grouped = items.join(components.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("_rank", priority)
+    place = F.struct("_rank", "title", "id")
+    counts = grouped.filter("component is not null").groupBy("component", "part").agg(F.count("*").alias("n"), F.min(F.struct("_rank", "id")).alias("at"))
+    agreed = counts.groupBy("component").agg(F.max_by("part", F.struct("n", -F.col("at._rank"), -F.col("at.id"))).alias("_part"))
+    artist = grouped.groupBy("component").agg(F.min_by("artist", F.when(F.col("artist").isNotNull(), place)).alias("_artist")).filter("component is not null")
+    left = grouped.join(dropped.select(F.col("dropped").alias("id")), "id", "left_anti")
+    w = Window.partitionBy("component").orderBy("_rank", "title", "id")  # a group of readings of one song
+    whole = Window.partitionBy("component")
+    nth = F.when(F.col("component").isNotNull(), F.row_number().over(w))
+    left = left.withColumn("_nth", nth).withColumn("_n", F.count("*").over(whole)).withColumn("_base", F.first("title").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    numeral = F.coalesce(F.get(F.array(*map(F.lit, NUMERALS)), F.col("_nth") - 1), F.raise_error(F.lit("more variants than numerals")).cast("string"))
+    title = F.when(F.col("component").isNull(), F.col("title")).when(F.col("_n") == 1, base_title(F.col("title"))).otherwise(F.concat(base_title(F.col("_base")), F.lit(" ("), numeral, F.lit(")")))
+    also = dropped.join(items.select(F.col("id").alias("dropped"), F.concat_ws(", p. ", "src", F.col("page").cast("string")).alias("at")), "dropped").groupBy(F.col("kept").alias("id")).agg(F.array_join(F.sort_array(F.collect_list("at")), " · ").alias("also"))
+    out = left.withColumn("title", title).join(agreed, "component", "left").join(artist, "component", "left").join(also, "id", "left")
+    out = out.select("id", "src", "title", F.coalesce("_part", "part").alias("part"), F.coalesce("_artist", "artist").alias("artist"), F.coalesce("also", F.lit("")).alias("also"))
+    return number_globally(out.withColumn("_fold", sort_key(F.col("title"))), ["part", "_fold", "id"], "num").drop("_fold")

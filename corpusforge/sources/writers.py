@@ -31,6 +31,13 @@ def item_markdown(df: DataFrame, level: int = 4) -> DataFrame:
     return df.withColumn("_b", opened).withColumn("markdown", F.concat(head, F.lit("\n"), F.col("_b.text"), F.when(F.col("_b.kind") != "note", "```\n").otherwise(""))).drop("_b")
 
 
+def script_data(spark, path: str, name: str, data: dict) -> None:
+    """A script file that assigns curated tables, as JSON, to a name."""
+    import json
+
+    spark.createDataFrame([(f"const {name} = {json.dumps(data, ensure_ascii=False, indent=1)};",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def book(df: DataFrame, order: list[str], path: str, column: str = "markdown") -> None:
     """K2, K4, K5: the column's texts in order. Files are ranges of the order, so their names' order is the book's."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
