@@ -8,8 +8,10 @@ embedded media, so that they can be carved out.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -140,32 +142,59 @@ def _bmp(b: bytes, at: int) -> int | None:
 
 
 def _gzip(b: bytes, at: int) -> int | None:
-    stream = zlib.decompressobj(31)
+    stream, view, x = zlib.decompressobj(31), memoryview(b), at
     try:
-        left = b[at:]
-        while left and not stream.eof:
-            stream.decompress(left, 1 << 20)
-            left = stream.unconsumed_tail
+        while x < len(b) and not stream.eof:
+            block = view[x : x + (1 << 14)]
+            x += len(block)
+            stream.decompress(block, 1 << 20)
+            while stream.unconsumed_tail and not stream.eof:
+                stream.decompress(stream.unconsumed_tail, 1 << 20)
     except zlib.error:
         return None
-    return len(b) - at - len(stream.unused_data) if stream.eof else None
+    return x - at - len(stream.unused_data) if stream.eof else None
+
+
+class Ends:
+    """Where the marks stand that end archives and documents: sought once in all bytes, however many begin there."""
+
+    def __init__(self):
+        self.of: bytes | None = None
+
+    def look(self, b: bytes) -> "Ends":
+        if self.of is not b:
+            self.of = b
+            self.archives: dict[int, int] = {}  # by where the archive begins; the first end of each
+            for m in re.finditer(rb"PK\x05\x06", b):
+                end = m.start()
+                if end + 22 <= len(b):
+                    size, offset, note = struct.unpack_from("<IIH", b, end + 12)
+                    if end + 22 + note <= len(b) and (not size or b[end - size : end - size + 4] == b"PK\x01\x02"):
+                        self.archives.setdefault(end - size - offset, end + 22 + note)
+            at = lambda mark: [m.start() for m in re.finditer(mark, b)]
+            self.heads, self.finals, self.tables = at(b"%PDF-"), at(b"%%EOF"), at(b"startxref")
+        return self
+
+
+ENDS = Ends()
 
 
 def _zip(b: bytes, at: int) -> int | None:
-    end = b.find(b"PK\x05\x06", at)
-    while 0 <= end <= len(b) - 22:
-        size, offset, note = struct.unpack_from("<IIH", b, end + 12)
-        if at + offset + size == end and end + 22 + note <= len(b) and (not size or b[end - size : end - size + 4] == b"PK\x01\x02"):
-            return end + 22 + note - at
-        end = b.find(b"PK\x05\x06", end + 1)
-    return None
+    end = ENDS.look(b).archives.get(at)
+    return end - at if end is not None else None
 
 
 def _pdf(b: bytes, at: int) -> int | None:
+    """Up to the last end mark before the next document begins, so updates that follow count, with a table of places before it."""
     if not (len(b) > at + 7 and b[at + 5 : at + 6].isdigit()):
         return None
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and b.find(b"startxref", at, end) >= 0 else None
+    ends = ENDS.look(b)
+    k = bisect_right(ends.heads, at)
+    last = bisect_left(ends.finals, ends.heads[k] if k < len(ends.heads) else len(b)) - 1
+    if last < 0 or ends.finals[last] < at:
+        return None
+    table = bisect_left(ends.tables, ends.finals[last]) - 1
+    return ends.finals[last] + 5 - at if table >= 0 and ends.tables[table] > at else None
 
 
 def _flac(b: bytes, at: int) -> int | None:
@@ -260,7 +289,8 @@ def store_texts(documents: DataFrame, id: str = "doc_id", text: str = "text", de
 
     Returns id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, type, corrected,
     and with keep the medium itself. A null text counts as empty, which is stored as one block of zeros. Equal
-    texts give equal media. An empty table gives an empty result; other columns are ignored.
+    texts give equal media, repeated rows stay. Texts of any length that a batch can hold are stored whole; the format ends at 4 GiB.
+    An empty table gives an empty result; other columns are ignored.
     """
     tune(documents.sparkSession)
     df = narrow(documents, id=id, text=text)

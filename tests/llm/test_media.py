@@ -3,6 +3,7 @@
 import gzip
 import io
 import struct
+import time
 import wave
 import zipfile
 import zlib
@@ -37,6 +38,18 @@ def test_sniff_and_carve(kind):
     assert not [k for a, n, k in media.sniff(data[:-3]) if k == kind and a == 0]
 
 
+def test_many_beginnings_take_time_in_proportion():
+    for part in (b"%PDF-1 ", b"PK\x03\x04 ", b"\x1f\x8b\x08\x00 "):
+        start = time.process_time()
+        assert not media.sniff(part * (400_000 // len(part)))
+        assert time.process_time() - start < 8
+
+
+def test_updated_documents_end_at_their_last_mark():
+    pdf = b"%PDF-1.4 x startxref 1 %%EOF update startxref 2 %%EOF"
+    assert [(k, d) for k, d in media.carve(b"ab " + pdf + b" tail " + pdf)] == [("application/pdf", pdf)] * 2
+
+
 def test_wav_is_wav():
     with wave.open(io.BytesIO(media.to_wav(b"abc"))) as w:
         assert (w.getnchannels(), w.getsampwidth(), w.readframes(9)) == (1, 1, b"abc")

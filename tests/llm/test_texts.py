@@ -207,12 +207,50 @@ def test_fingerprint_tree():
     a = "p1\np2\n\nq1\nq2\nq3"
     b = a.replace("q2", "Q2")
     assert merkle.fingerprint(a) == merkle.fingerprint(str(a)) != merkle.fingerprint(b)
-    assert merkle.edits(merkle.fingerprint(a), merkle.fingerprint(b)) == [(1, 1)] and merkle.edits(merkle.fingerprint(a), merkle.fingerprint(a)) == []
+    assert merkle.edits(merkle.fingerprint(a), merkle.fingerprint(b)) == [("removed", 1, 1), ("added", 1, 1)] and merkle.edits(merkle.fingerprint(a), merkle.fingerprint(a)) == []
     assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) == 0.8
     assert merkle.likeness(merkle.fingerprint(None), merkle.fingerprint("")) == 1.0 and merkle.likeness(merkle.fingerprint("a"), merkle.fingerprint("")) == 0.0
     assert merkle.fingerprint("a") != merkle.fingerprint("a ")
 
 
+def test_edits_locate_insertions_moves_and_repeats():
+    find = lambda a, b: merkle.edits(merkle.fingerprint(a), merkle.fingerprint(b))
+    assert find("a\nb\nc", "a\nx\nb\nc") == [("added", 0, 1)]
+    assert find("a\nb\nc\nd", "a\nc\nb\nd") == [("moved", 0, 1), ("moved", 0, 2)]
+    assert find("a\na\na", "a\na") == [("removed", 0, 2)]
+    assert find("", "a") == [("added", 0, 0)]
+
+
+def test_leaves_lose_nothing():
+    rng = random.Random(6)
+    seen = {}
+    for _ in range(3000):
+        text = "".join(rng.choice(["a", "b. ", " ", "\n", "\n\n", "\t", "! "]) for _ in range(rng.randint(0, 8)))
+        assert seen.setdefault(merkle.fingerprint(text), text) == text
+    long = "word " * 400 + "end. Next one"
+    assert " ".join(merkle.pieces(long)) == long and len(merkle.pieces("".join(f"w{k} " for k in range(900)))) > 20
+
+
+def test_one_line_texts_keep_what_is_left():
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(600))
+    assert 0.4 < merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(text[: len(text) * 2 // 3] + "x " * 300)) < 0.9
+
+
+def test_many_rows_without_id_are_many_ranges(spark):
+    texts = [f"text number {k} " * 3 for k in range(300)]
+    df = spark.createDataFrame([(None if k % 2 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    ranges = merkle.with_next(df, "doc_id", "text").filter("not extra").groupBy("range").count().collect()
+    assert len(ranges) > 12 and max(r["count"] for r in ranges) < 100
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(((k if k % 2 == 0 else None), t) for k, t in enumerate(texts) if k % 2 == 0)[::-1] + [(None, t) for t in sorted((t for k, t in enumerate(texts) if k % 2), key=hashes.get)]
+    expected = []
+    for (_, a), (_, b) in zip(order, order[1:] + order[:1]):
+        k = len(a) // 3
+        expected.append(hashlib.sha256((a[: len(a) - k] + b[:k]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in merkle.edit_report(df).collect()) == sorted(expected)
+
+
 @pytest.mark.parametrize("literal", [1024, 2])
 @pytest.mark.parametrize("ids", [[1], [3, 9, 4, 100, -5], [7, 7, 2], list(range(0, 4000, 7)), [None, 4, None, 2]])
 def test_edit_report(spark, ids, literal, monkeypatch):
@@ -230,7 +268,7 @@ def test_edit_report(spark, ids, literal, monkeypatch):
         k = len(a) // 3
         edited = a[: len(a) - k] + b[:k]
         fa, fe = merkle.fingerprint(a), merkle.fingerprint(edited)
-        expected.append((i, len(a), hashlib.sha256(edited.encode()).hexdigest(), fa, fe, merkle.likeness(fa, fe), merkle.likeness(fa, merkle.fingerprint(b))))
+        expected.append((i, len(a), hashlib.sha256(edited.encode()).hexdigest(), fa, fe, merkle.likeness(fa, fe), merkle.likeness(fa, merkle.fingerprint(b)), len(merkle.edits(fa, fe))))
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
 
 
