@@ -1,4 +1,4 @@
-"""Text functions, Column to Column."""
+"""Text functions, Column to Column."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Reading order from positions: glyphs to lines, columns and bands."""
+"""Reading order from positions: glyphs to lines, columns and bands."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Ordered lines: carry-forward, fences, trims, islands, pairing and wrapping."""
+"""Ordered lines: carry-forward, fences, trims, islands, pairing and wrapping."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Sources (S9-S16, S18-S20, S22): books as Markdown, catalogues, snapshots, word lists and glyph tables."""
+"""Sources (S1, S9, S10, S13, S14, S16, S19, S20): books as Markdown, catalogues, snapshots, word lists and glyph tables."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Sinks (K1-K5, K8-K12): snapshots, books and catalogues as ordered text, records by part."""
+"""Sinks (K1-K3, K9, K11): snapshots, books and catalogues as ordered text, script data, records by part."""
 
 from __future__ import annotations
 
