@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from corpusforge.functions import pitch
 from corpusforge.functions import text as T
+from corpusforge.operators.components import connected_components, cut_lineage
 from corpusforge.session import ship_package
 
 #: N-gram length, sizes of a block, shared n-grams of a candidate pair, thresholds.
@@ -143,14 +144,6 @@ def _longest_run(x: np.ndarray, marks: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def at_least(a: str, b: str, cutoff: float) -> bool:
-    """ratio(a, b) >= cutoff, by difflib's own cheap upper bounds first."""
-    from difflib import SequenceMatcher
-
-    m = SequenceMatcher(None, a, b, autojunk=False)
-    return m.real_quick_ratio() >= cutoff and m.quick_ratio() >= cutoff and m.ratio() >= cutoff
-
-
 def ratio_column(a, b, autojunk: bool = False):
     """F30 as a Column over two string columns; null if either is."""
     @F.pandas_udf("double")
@@ -160,40 +153,134 @@ def ratio_column(a, b, autojunk: bool = False):
     return run(a, b)
 
 
-def close_matches(queries: DataFrame, known: DataFrame, key: str = "key", cutoff: float = 0.92, block: int = 3) -> DataFrame:
+def close_pairs(left: DataFrame, right: DataFrame, cutoff: float) -> DataFrame:
+    """(q, k, score): every pair of different strings, q of left and k of right, with score = ratio(k, q) >= cutoff; none is missed.
+
+    Strings that reach the cutoff differ in at most errors(length) letters, so that one of errors + 1 equal pieces of the shorter
+    one stands unchanged in the longer, moved by no more than that. Pieces get shorter with the cutoff (6 letters at 0.93,
+    single ones at 0.75), and then more pairs are aligned in vain; cutoffs up to 2/3 leave no piece and are refused.
+    """
+    if not 2 / 3 < cutoff <= 1:
+        raise ValueError("the cutoff must be above 2/3, and 1 at most")
+    ship_package(left.sparkSession)
+    per_letter = 2 * (1 - cutoff) / cutoff
+    errors = lambda n: F.floor(n * F.lit(per_letter) + F.lit(1e-9)).cast("int")
+    size = lambda n: F.floor(n / (errors(n) + 1)).cast("int")
+    q, k = (df.select(F.col(df.columns[0]).alias("x")).filter("x <> ''").distinct().select("x", F.xxhash64("x").alias("id"), F.length("x").alias("n")) for df in (left, right))
+
+    def pieces(df: DataFrame) -> DataFrame:
+        at = F.transform(F.sequence(F.lit(0), errors(F.col("n"))), lambda i: i * size(F.col("n")))
+        return df.withColumn("at", F.explode(at)).select(F.col("id").alias("short"), F.col("n").alias("m"), F.col("at").alias("from"), F.xxhash64(F.expr("substring(x, at + 1, 1000000000)").substr(F.lit(1), size(F.col("n")))).alias("piece"))
+
+    def windows(df: DataFrame) -> DataFrame:
+        shortest = F.greatest(F.ceil(F.col("n") * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)).cast("int"), F.lit(1))
+        sizes = F.array_distinct(F.transform(F.sequence(shortest, F.col("n")), size))
+        return df.withColumn("s", F.explode(sizes)).withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("s")))).select(F.col("id").alias("long"), "n", "at", F.xxhash64(F.expr("substring(x, at + 1, s)")).alias("piece"))
+
+    def meet(short: DataFrame, long: DataFrame) -> DataFrame:
+        slack = F.lit(1 - cutoff) * (F.col("m") + F.col("n")) + F.lit(1e-9)
+        return pieces(short).join(windows(long), "piece").filter((F.col("m") <= F.col("n")) & (F.col("n") - F.col("m") <= slack) & (F.abs(F.col("from") - F.col("at")) <= slack)).select("short", "long").distinct()
+
+    found = meet(q, k).select(F.col("short").alias("q"), F.col("long").alias("k")).unionAll(meet(k, q).select(F.col("long").alias("q"), F.col("short").alias("k"))).distinct()
+    # Equal hashes of different strings only add candidates: both come back here, and the ratio decides.
+    texts = found.join(q.select(F.col("id").alias("q"), F.col("x").alias("xq")), "q").join(k.select(F.col("id").alias("k"), F.col("x").alias("xk")), "k").filter("xq <> xk")
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([aligned_ratio(a, b, cutoff - 1e-9) for a, b in zip(x, y)], dtype="float64")
+
+    return texts.repartition(F.col("q"), F.col("k")).select(F.col("xq").alias("q"), F.col("xk").alias("k"), run("xk", "xq").alias("score")).filter(F.col("score") >= cutoff)
+
+
+def close_matches(queries: DataFrame, known: DataFrame, key: str = "key", cutoff: float = 0.92) -> DataFrame:
     """For every query key the equal known key, else the one of the highest ratio of at least cutoff; ties go to
-    the larger string. Candidates share a normalised trigram of `block` letters and have a length that the cutoff allows."""
-    ship_package(queries.sparkSession)
+    the larger string. Nothing that reaches the cutoff is missed (close_pairs)."""
     q, k = queries.select(F.col(key).alias("q")).distinct(), known.select(F.col(key).alias("k")).distinct()
     exact = q.join(k, q.q == k.k).select("q", F.col("k").alias("match"), F.lit(1.0).alias("score"))
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (block - 1), F.lit(1))), lambda i: F.substring(c, i, F.lit(block))))
-    left = q.join(exact.select("q"), "q", "left_anti").withColumn("g", F.explode(grams(F.col("q"))))
-    right = k.withColumn("g", F.explode(grams(F.col("k"))))
-    possible = 2 * F.least(F.length("q"), F.length("k")) >= cutoff * (F.length("q") + F.length("k"))
-    # `cutoff` of the letters matching leaves few grams untouched; sharing one is the blocking rule.
-    pairs = left.join(right, "g").filter(possible).select("q", "k").distinct().withColumn("score", ratio_column(F.col("k"), F.col("q"))).filter(F.col("score") >= cutoff)
-    best = pairs.groupBy("q").agg(F.max_by(F.struct("k", "score"), F.struct("score", "k")).alias("m")).select("q", F.col("m.k").alias("match"), F.col("m.score").alias("score"))
+    best = close_pairs(q.join(exact.select("q"), "q", "left_anti"), k, cutoff).groupBy("q").agg(F.max_by(F.struct("k", "score"), F.struct("score", "k")).alias("m")).select("q", F.col("m.k").alias("match"), F.col("m.score").alias("score"))
     return exact.unionAll(best).withColumnRenamed("q", key)
 
 
-def greedy_merge(rows: DataFrame, order: str, title: str, content: str, block: str, cutoff: float = 0.93, content_cutoff: float = 0.5) -> DataFrame:
-    """Online clustering in order: a row joins the first earlier slot whose title has a ratio of at least cutoff and whose
-    content one of at least content_cutoff, else it opens a slot. Exact within a block; blocks are independent and must be small."""
+class Slots:
+    """The slots of one component of titles, in the order of their opening."""
+
+    def __init__(self, cutoff: float, content_cutoff: float, forced: frozenset[str]):
+        self.cutoff, self.content_cutoff, self.forced = cutoff, content_cutoff, forced
+        self.first: dict[str, tuple[int, str]] = {}
+        self.names: list[str] = []
+        self.nearest: dict[str, tuple[int, tuple[float, str]]] = {}
+        self.likeness: dict[tuple[str, str], float] = {}
+
+    def closest(self, key: str) -> str:
+        """The slot of the highest ratio of at least cutoff, the larger name of equals; key if there is none."""
+        if key in self.first:
+            return key
+        seen, best = self.nearest.get(key, (0, (0.0, "")))
+        for name in self.names[seen:]:
+            score = aligned_ratio(name, key, self.cutoff - 1e-9)
+            if score >= self.cutoff:
+                best = max(best, (score, name))
+        self.nearest[key] = (len(self.names), best)
+        return best[1] or key
+
+    def alike(self, content: str, name: str) -> bool:
+        pair = (content, self.first[name][1])
+        if pair not in self.likeness:
+            self.likeness[pair] = 1.0 if content == pair[1] else aligned_ratio(*pair, self.content_cutoff - 1e-9)
+        return self.likeness[pair] >= self.content_cutoff
+
+    def place(self, order: int, key: str, content: str) -> str:
+        name = self.closest(key)
+        if name in self.first and name not in self.forced and not (content and self.first[name][1] and self.alike(content, name)):
+            if name == key:
+                name += "#2"
+                while name in self.first and not self.alike(content, name):
+                    name += "'"
+            else:
+                name = key
+        if name not in self.first:
+            self.first[name] = (order, content)
+            self.names.append(name)
+        return name
+
+
+def greedy_merge(rows: DataFrame, order: str, title: str, content: str, cutoff: float = 0.93, content_cutoff: float = 0.5, alias: dict[str, str] | None = None, forced: tuple[str, ...] = ()) -> DataFrame:
+    """(order, slot, name): online merging in the order of rows. title is a normalised key (a-z, 0-9); null counts as empty.
+
+    A title is first replaced by its alias. It goes to the slot of the closest name of at least cutoff if both contents have a ratio of
+    content_cutoff (an empty one has none), without that test if the name is one of `forced`. A title that equals the name but
+    not the content goes to name#2, then name#2' and so on; one that is only close opens a slot of its own. slot is the
+    order of the row that opened it.
+
+    Exact over the whole table: names of different components of close_pairs never meet, so components are merged in parallel.
+    Rows of a component are streamed in order; only its slots, and ratios already taken, are held.
+    """
     ship_package(rows.sparkSession)
-    df = rows.select(F.col(block).alias("block"), F.col(order).alias("ord"), F.col(title).alias("title"), F.col(content).alias("content"))
+    key = F.coalesce(F.col(title), F.lit(""))
+    if alias:
+        key = F.coalesce(F.create_map(*[F.lit(x) for pair in alias.items() for x in pair])[key], key)
+    df = rows.select(F.col(order).cast("long").alias("ord"), key.alias("key"), F.coalesce(F.col(content), F.lit("")).alias("content"))
+    keys = cut_lineage(df.groupBy("key").agg((F.count("*") > 1).alias("again")))
+    # A name#2 can be close to a title that is not close to the name. Marks after it stand in no title: they add nothing.
+    names = keys.select(F.col("key").alias("k")).unionAll(keys.filter("again").select(F.concat("key", F.lit("#2")).alias("k")))
+    edges = close_pairs(keys.select("key"), names, cutoff).select(F.xxhash64("q").alias("a"), F.xxhash64(F.regexp_replace("k", "#2$", "")).alias("b"))
+    component = connected_components(cut_lineage(edges), "a", "b")
+    placed = df.withColumn("node", F.xxhash64("key")).join(component, "node", "left").select(F.coalesce("component", "node").alias("component"), "ord", "key", "content")
+    always = frozenset(forced)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        slots: list[tuple[int, str, str]] = []
-        out = []
-        for r in pdf.sort_values("ord").itertuples():
-            t, c = r.title or "", r.content or ""
-            hit = next((s for s in slots if (s[1] == t or at_least(t, s[1], cutoff)) and (s[2] == c or at_least(c, s[2], content_cutoff))), None)
-            if hit is None:
-                slots.append(hit := (r.ord, t, c))
-            out.append((r.ord, hit[0]))
-        return pd.DataFrame(out, columns=["ord", "slot"])
-
-    return df.groupBy("block").applyInPandas(run, "ord long, slot long").withColumnRenamed("ord", order)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, slots = None, None
+        for pdf in batches:
+            out = []
+            for c, o, k, text in zip(pdf.component, pdf.ord, pdf.key, pdf.content):
+                if c != now:
+                    now, slots = c, Slots(cutoff, content_cutoff, always)
+                name = slots.place(o, k, text)
+                out.append((o, slots.first[name][0], name))
+            yield pd.DataFrame(out, columns=["ord", "slot", "name"])
+
+    ordered = placed.repartition("component").sortWithinPartitions("component", "ord", "key", "content")
+    return ordered.mapInPandas(run, "ord long, slot long, name string").withColumnRenamed("ord", order)
 
 
 def fold_pairs(pairs: DataFrame, group: str, order: list[str], keep: str, drop: str) -> DataFrame:

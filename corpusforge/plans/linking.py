@@ -135,9 +135,9 @@ def fuzzy_top1(spark, sf_dir):
 
 @query()
 def greedy_merge(spark, sf_dir):
-    """T5: documents merged in order by first line and content signature, within blocks of equal language and first letters."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", T.norm(F.substring_index("text", "\n", 1)).alias("title"), T.signature(T.lines(F.col("text"))).alias("content"), "lang")
-    return linkage.greedy_merge(docs.withColumn("block", F.concat_ws(":", "lang", F.substring("title", 1, 12))), "doc_id", "title", "content", "block")
+    """T5: documents merged in order by first line, which stands for the title, and content signature."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", T.norm(F.substring_index("text", "\n", 1)).alias("title"), T.signature(T.lines(F.col("text"))).alias("content"))
+    return linkage.greedy_merge(docs, "doc_id", "title", "content").select("doc_id", "slot")
 
 
 @query()

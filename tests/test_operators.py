@@ -74,18 +74,62 @@ def test_ratio_keeps_argument_order():
     assert linkage.ratio("tide", "diet") == 0.25 and linkage.ratio("diet", "tide") == 0.5
 
 
-def test_greedy_merge_like_a_loop(spark):
+def test_close_pairs_misses_none(spark):
+    rng = random.Random(9)
+    known = {"".join(rng.choice("abcd") for _ in range(rng.randrange(0, 24))) for _ in range(60)} | {"abcdefgh", "ab1cd2ef3gh"}
+    for x in sorted(known)[:30]:
+        for _ in range(3):
+            at = rng.randrange(len(x) + 1)
+            known.add(x[:at] + rng.choice(["", "z", "zz"]) + x[at + rng.randrange(3) :])
+    known = sorted(known)
+    df = spark.createDataFrame([(x,) for x in known], "x string")
+    for cutoff in (0.75, 0.84, 0.93):
+        expected = sorted((q, k) for q in known for k in known if q != k and SequenceMatcher(None, k, q, autojunk=False).ratio() >= cutoff)
+        assert rows(linkage.close_pairs(df, df, cutoff).select("q", "k")) == expected and expected
+
+
+def plain_merge(data, cutoff, content_cutoff, alias, forced):
+    slots, out = {}, {}
+    alike = lambda a, b: SequenceMatcher(None, a, b, autojunk=False).ratio()
+    for i, title, content in data:
+        key = alias.get(title, title)
+        near = max([(r, s) for s in slots if (r := alike(s, key)) >= cutoff], default=(0, None))[1]
+        into = near or key
+        if into in slots and into not in forced:
+            old = slots[into][1]
+            same = bool(content and old) and alike(content, old) >= content_cutoff
+            if not same and into == key:
+                into = key + "#2"
+                while into in slots and alike(content, slots[into][1]) < content_cutoff:
+                    into += "'"
+            elif not same:
+                into = key
+        slots.setdefault(into, (i, content))
+        out[i] = (slots[into][0], into)
+    return out
+
+
+@pytest.mark.parametrize("cutoff", [0.8, 0.93])
+def test_greedy_merge_like_a_loop(spark, cutoff):
     rng = random.Random(2)
-    data = [(i, "".join(rng.choice("ab") for _ in range(6)), "".join(rng.choice("xyz") for _ in range(8))) for i in range(40)]
-    found = dict(rows(linkage.greedy_merge(spark.createDataFrame([(*d, "one") for d in data], "i long, t string, c string, b string"), "i", "t", "c", "b", 0.8, 0.5).select("i", "slot")))
-    slots, expected = [], {}
-    ratio = lambda a, b: SequenceMatcher(None, a, b, autojunk=False).ratio()
-    for i, t, c in data:
-        hit = next((s for s in slots if ratio(t, s[1]) >= 0.8 and ratio(c, s[2]) >= 0.5), None)
-        if hit is None:
-            slots.append(hit := (i, t, c))
-        expected[i] = hit[0]
-    assert found == expected
+    bases = ["".join(rng.choice("abc") for _ in range(n)) for n in (6, 9, 14, 20, 31)]
+    data = []
+    for i in range(120):
+        t = rng.choice(bases)
+        at = rng.randrange(len(t))
+        t = t[:at] + rng.choice(["", "x", "2", t[at]]) + t[at + 1 :] + rng.choice(["", "", "2"])
+        data.append((i, t, "".join(rng.choice("xyz") for _ in range(rng.choice([0, 8])))))
+    alias, forced = {data[3][1]: bases[2]}, (bases[1], bases[3])
+    found = linkage.greedy_merge(spark.createDataFrame(data, "i long, t string, c string"), "i", "t", "c", cutoff, 0.5, alias, forced)
+    assert {r.i: (r.slot, r.name) for r in found.collect()} == plain_merge(data, cutoff, 0.5, alias, forced)
+
+
+def test_greedy_merge_of_nothing_and_nulls(spark):
+    schema = "i long, t string, c string"
+    assert linkage.greedy_merge(spark.createDataFrame([], schema), "i", "t", "c").count() == 0
+    data = [(1, None, None), (2, "", "words"), (3, "song", "words"), (4, "song", "words")]
+    found = linkage.greedy_merge(spark.createDataFrame(data, schema), "i", "t", "c")
+    assert rows(found.select("i", "slot", "name")) == [(1, 1, ""), (2, 2, "#2"), (3, 3, "song"), (4, 3, "song")]
 
 
 def test_fold_pairs_skips_gone_ones(spark):
