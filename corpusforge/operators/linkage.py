@@ -201,6 +201,10 @@ def close_matches(queries: DataFrame, known: DataFrame, key: str = "key", cutoff
     return exact.unionAll(best).withColumnRenamed("q", key)
 
 
+#: Ratios that a component's slots remember; what is forgotten is taken again.
+REMEMBERED = 2000
+
+
 class Slots:
     """The slots of one component of titles, in the order of their opening."""
 
@@ -220,12 +224,16 @@ class Slots:
             score = aligned_ratio(name, key, self.cutoff - 1e-9)
             if score >= self.cutoff:
                 best = max(best, (score, name))
+        if len(self.nearest) >= REMEMBERED:
+            self.nearest.clear()
         self.nearest[key] = (len(self.names), best)
         return best[1] or key
 
     def alike(self, content: str, name: str) -> bool:
         pair = (content, self.first[name][1])
         if pair not in self.likeness:
+            if len(self.likeness) >= REMEMBERED:
+                self.likeness.clear()
             self.likeness[pair] = 1.0 if content == pair[1] else aligned_ratio(*pair, self.content_cutoff - 1e-9)
         return self.likeness[pair] >= self.content_cutoff
 
@@ -253,7 +261,7 @@ def greedy_merge(rows: DataFrame, order: str, title: str, content: str, cutoff:
     order of the row that opened it.
 
     Exact over the whole table: names of different components of close_pairs never meet, so components are merged in parallel.
-    Rows of a component are streamed in order; only its slots, and ratios already taken, are held.
+    Rows of a component are streamed in order; only its slots and a bounded number of ratios are held.
     """
     ship_package(rows.sparkSession)
     key = F.coalesce(F.col(title), F.lit(""))

@@ -109,6 +109,14 @@ def plain_merge(data, cutoff, content_cutoff, alias, forced):
     return out
 
 
+def test_slots_that_forget_place_alike(monkeypatch):
+    rng = random.Random(4)
+    data = [(i, "".join(rng.choice("ab") for _ in range(7)), "".join(rng.choice("xyz") for _ in range(5))) for i in range(150)]
+    monkeypatch.setattr(linkage, "REMEMBERED", 3)
+    slots = linkage.Slots(0.8, 0.5, frozenset())
+    assert {i: slots.place(i, t, c) for i, t, c in data} == {i: name for i, (_, name) in plain_merge(data, 0.8, 0.5, {}, ()).items()}
+
+
 @pytest.mark.parametrize("cutoff", [0.8, 0.93])
 def test_greedy_merge_like_a_loop(spark, cutoff):
     rng = random.Random(2)
