@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusforge.session import ensure_checkpoint_dir
+
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoints into the shared folder the cluster names; into one of our own only where it names none."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusforge-checkpoint-"))
+    """Checkpoints into the shared folder that the cluster names."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

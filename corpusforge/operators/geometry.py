@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from corpusforge.session import ship_package
+from corpusforge.session import ship_package, small
 
 from .lines import gap_to_previous, islands
 
@@ -27,7 +27,7 @@ def band(glyphs: DataFrame, top: float, bottom: float) -> DataFrame:
 
 def decode_fonts(glyphs: DataFrame, table: DataFrame) -> DataFrame:
     """characters by (font, code) from a table (font, c, shown); others stay."""
-    return glyphs.join(F.broadcast(table), ["font", "c"], "left").withColumn("c", F.coalesce("shown", "c")).drop("shown")  # a hand-written table
+    return glyphs.join(small(table), ["font", "c"], "left").withColumn("c", F.coalesce("shown", "c")).drop("shown")
 
 
 def glyph_lines(glyphs: DataFrame, gap: float = 3.0) -> DataFrame:

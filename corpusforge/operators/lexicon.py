@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
+from corpusforge.session import small
 
 
 def tokens(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -109,7 +110,7 @@ def load_affixes(rows: DataFrame) -> DataFrame:
 def expand(stems: DataFrame, rules: DataFrame) -> DataFrame:
     """Every form of stems (word, flags): suffixes on the stem, then prefixes on the stem and its suffixed forms."""
     flags = stems.select("word", F.explode(F.filter(F.split(F.coalesce("flags", F.lit("")), ""), lambda x: x != "")).alias("flag"))
-    rules = F.broadcast(rules)  # a curated file of some thousand rows
+    rules = small(rules)
     suffix = flags.join(rules.filter("kind = 'SFX'"), "flag").filter(F.expr("word rlike concat('(?:', cond, ')$') and endswith(word, strip)"))
     suffixed = suffix.select("word", F.expr("concat(substring(word, 1, length(word) - length(strip)), add)").alias("form"))
     base = stems.select("word", F.col("word").alias("form")).unionAll(suffixed)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusforge.session import small
+
 
 def overlay(base: DataFrame, patch: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows of the patch replace the named columns of base rows with their key; a null in the patch leaves the base's value."""
     p = patch.select(key, *(F.col(c).alias(f"_{c}") for c in columns))
-    joined = base.join(F.broadcast(p), key, "left")  # curated by hand, so small
+    joined = base.join(small(p), key, "left")
     return joined.select(*(F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in base.columns))
 
 
@@ -21,20 +23,20 @@ def patch_once(text: Column, old: Column, new: Column) -> Column:
 
 def alias_lookup(rows: DataFrame, key: Column, aliases: DataFrame, known: DataFrame) -> DataFrame:
     """By the alias's target if there is one, else by the key itself; aliases(alias, target), known(key, ...)."""
-    named = rows.withColumn("_key", key).join(F.broadcast(aliases.select(F.col("alias").alias("_key"), "target")), "_key", "left")
+    named = rows.withColumn("_key", key).join(small(aliases.select(F.col("alias").alias("_key"), "target")), "_key", "left")
     return named.withColumn("_key", F.coalesce("target", "_key")).drop("target").join(known.withColumnRenamed("key", "_key"), "_key", "left").withColumnRenamed("_key", "matched_key")
 
 
 def fallback_lookup(rows: DataFrame, id: str, candidates: Column, table: DataFrame) -> DataFrame:
     """The value of the first candidate key that the table (key, value) has; null if it has none."""
-    tried = rows.select(id, F.posexplode(candidates).alias("at", "key")).join(F.broadcast(table), "key")
+    tried = rows.select(id, F.posexplode(candidates).alias("at", "key")).join(small(table), "key")
     found = tried.groupBy(id).agg(F.min_by("value", "at").alias("value"), F.min_by("key", "at").alias("matched"))
     return rows.join(found, id, "left")
 
 
 def exactly_one(names: DataFrame, rows: DataFrame, name: str, id: str) -> DataFrame:
     """For every name how many rows have it, and the id if it is one; error says what is wrong."""
-    found = rows.join(F.broadcast(names), name, "left_semi").groupBy(name).agg(F.count("*").alias("_n"), F.min(id).alias("_id"))
+    found = rows.join(small(names), name, "left_semi").groupBy(name).agg(F.count("*").alias("_n"), F.min(id).alias("_id"))
     n = F.coalesce("_n", F.lit(0))
     return names.join(found, name, "left").select(name, n.alias("n"), F.when(n == 1, F.col("_id")).alias("id"), F.when(n == 0, "missing").when(n > 1, "ambiguous").alias("error"))
 

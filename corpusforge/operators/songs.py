@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import pitch
 from corpusforge.functions.text import all_tokens, base_title, comma_below, fold, mark_repeats, norm, sort_key
+from corpusforge.session import small
 
 from .indexing import merged_index, number_globally
 from .lines import carry_forward, fences, gap_to_previous, islands
@@ -143,7 +144,7 @@ def best_links(tabs: DataFrame, index: DataFrame, aliases: DataFrame) -> DataFra
     an index (key, artist) in order of folded names. tabs(artist, title, href, id, favourites, rating, ratings), aliases(alias, target)."""
     marks = F.length("title") - F.length(norm(F.col("title")))
     score = quality_score(F.col("favourites"), F.col("rating"), F.col("ratings"))
-    keyed = tabs.withColumn("key", norm(F.col("artist"))).join(F.broadcast(aliases.select(F.col("alias").alias("key"), "target")), "key", "left").withColumn("key", F.coalesce("target", "key"))  # aliases are curated
+    keyed = tabs.withColumn("key", norm(F.col("artist"))).join(small(aliases.select(F.col("alias").alias("key"), "target")), "key", "left").withColumn("key", F.coalesce("target", "key"))
     best = keyed.groupBy("key", norm(F.col("title")).alias("t")).agg(
         F.max_by("href", F.struct(score, "ratings", "favourites", -F.col("id"))).alias("href"),
         F.max_by("title", F.struct(F.regexp_count("title", F.lit(r"[^\x00-\x7f]")), -marks, -F.col("id"))).alias("title"),
@@ -154,7 +155,7 @@ def best_links(tabs: DataFrame, index: DataFrame, aliases: DataFrame) -> DataFra
 
 def regroup(items: DataFrame, sections: DataFrame, key: str) -> DataFrame:
     """Items in the order of their sections and folded titles, numbered; an item without a section is an error."""
-    joined = items.join(F.broadcast(sections.select(key, "part", "sub")), key, "left")  # a curated map
+    joined = items.join(small(sections.select(key, "part", "sub")), key, "left")
     checked = joined.withColumn("part", F.coalesce("part", F.raise_error(F.concat(F.lit("no section for "), F.col(key).cast("string"))).cast("string")))
     return number_globally(checked.withColumn("fold", norm(F.col("title"))), ["part", "sub", "fold", key], "number").drop("fold")
 
