@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.session import ship_package, spread
+from corpusforge.session import ensure_checkpoint_dir, ship_package, spread
 
 #: Rows and bytes of one Arrow batch handed to Python; long texts make byte limits necessary.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
@@ -35,14 +34,6 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(own) for own, source in columns.items()))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the cluster's shared folder; a folder of our own only where none is configured (tests)."""
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="corpusforge-checkpoint-"))
-
-
 def checkpoint(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and cuts its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

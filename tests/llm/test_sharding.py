@@ -1,6 +1,9 @@
 """Placement, balance and movement of the hash tree."""
 
+import hashlib
+import math
 import zlib
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -50,3 +53,36 @@ def test_no_python_in_the_plan(spark):
     df = sharding.shard(spark.createDataFrame([(1, "a")], "doc_id long, text string"), sharding.topology(8), sharding.topology(9))
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def draw(name, key):
+    u = (int(hashlib.md5(f"{name}:{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    return -math.log(u)
+
+
+def plain(key, leaves):
+    """The shard of a key, level by level in plain Python."""
+    here = [((x.region, f"{x.region}/{x.rack}", f"{x.region}/{x.rack}/{x.shard}"), x) for x in leaves]
+    for level in range(3):
+        weight = defaultdict(float)
+        for names, x in here:
+            weight[names[level]] += x.weight
+        best = min(weight, key=lambda n: (draw(n, key) / weight[n], n))
+        here = [h for h in here if h[0][level] == best]
+    return here[0][1].shard
+
+
+def test_like_a_plain_descent(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    eight, nine = sharding.topology(8), sharding.topology(9)
+    rows = sharding.shard(docs, eight, nine).collect()
+    assert len(rows) == docs.count()
+    assert all((r.shard, r.grown_shard) == (plain(r.doc_id, eight), plain(r.doc_id, nine)) for r in rows)
+    uneven = [sharding.Leaf("a", "r", 0, 3.0), sharding.Leaf("a", "r", 1), sharding.Leaf("a", "q", 2, 0.5), sharding.Leaf("b", "r", 3)]
+    assert place(spark, uneven, 500) == {k: plain(k, uneven) for k in range(500)}
+
+
+def test_a_very_long_text_and_nothing(spark):
+    df = spark.createDataFrame([(1, "é" * 3_000_000), (2, None)], "doc_id long, text string")
+    found = {r.doc_id: r for r in sharding.shard(df, sharding.topology(8)).collect()}
+    assert found[1]["size"] == 6_000_001 and found[1].text_crc32 == zlib.crc32(("é" * 3_000_000).encode()) and (found[2]["size"], found[2].text_crc32) == (1, 0)

@@ -76,6 +76,31 @@ def test_kernel_counts_shared_grams():
     assert k[0, 0] == pytest.approx(1, abs=1e-6) and k[1, 0] == pytest.approx((a & b).sum() / np.sqrt(a.sum() * b.sum()), abs=1e-5)
 
 
+def test_fit_solves_the_stated_problem():
+    """Scores against a least-squares solution in the landmarks' own coefficients."""
+    texts = corpus(150, 3)
+    bits, names = np.stack([langid.presence(t) for _, t, _ in texts]), [g for _, _, g in texts]
+    model, order, ridge = langid.fit(names, bits, landmarks=6), ["de", "en", "fr"], langid.RIDGE
+    chosen = [i for g in order for i in [k for k, n in enumerate(names) if n == g][:6]]
+    x = bits.astype(float)
+    k = lambda a, b: (a @ b.T) / np.sqrt(np.outer(a.sum(1), b.sum(1)))
+    full, marks = k(x, x[chosen]), k(x[chosen], x[chosen])
+    share = np.array([len(names) / 3 / names.count(g) for g in names]) / len(names)
+    target = np.array([[1.0 if g == o else -1.0 for o in order] for g in names])
+    rows = np.sqrt(share)[:, None] * np.hstack([full, np.ones((len(names), 1))])
+    penalty = np.sqrt(ridge) * np.hstack([np.linalg.cholesky(marks).T, np.zeros((len(chosen), 1))])
+    last = np.sqrt(ridge * 1e-6) * np.eye(len(chosen) + 1)[-1:]
+    solved = np.linalg.lstsq(np.vstack([rows, penalty, last]), np.vstack([np.sqrt(share)[:, None] * target, np.zeros((len(chosen) + 1, 3))]), rcond=None)[0]
+    fresh = np.stack([langid.presence(t) for _, t, _ in corpus(40, 9)])
+    assert model.languages == order
+    assert np.allclose(model.scores(fresh), np.hstack([k(fresh.astype(float), x[chosen]), np.ones((40, 1))]) @ solved, atol=2e-3)
+
+
+def test_language_of_an_empty_table(spark):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string, lang string")
+    assert langid.identify(df.limit(0), langid.train(df)).count() == 0
+
+
 # -- quality -------------------------------------------------------------------------------------------------------------
 def test_quality_orders_grades(spark):
     rng = random.Random(1)
@@ -92,6 +117,41 @@ def test_quality_orders_grades(spark):
     assert np.mean([(i in kept) == (i % 3 == 2) for i in range(300, 600)]) > 0.97
 
 
+def test_quality_fit_is_the_maximum_of_the_penalised_likelihood():
+    """The fit against Newton steps on numerical derivatives."""
+    rng, k = np.random.default_rng(4), 4
+    drawn = [np.nonzero(rng.random(k) < 0.5)[0].astype(np.int32) for _ in range(400)]
+    latent = np.array([[1.5, -1.0, 0.5, 0.0][:k]] * 400) * np.array([[j in r for j in range(k)] for r in drawn])
+    grades = np.digitize(latent.sum(axis=1) + rng.logistic(size=400), [-0.5, 1.0])
+    seen = np.array([[float(j in r) for j in range(k)] for r in drawn])
+
+    def loss(p):
+        s, edge = seen @ p[:k], lambda t: 1 / (1 + np.exp(t - seen @ p[:k]))
+        above = np.stack([np.ones(len(s)), edge(p[k]), edge(p[k + 1]), np.zeros(len(s))])
+        chance = above[grades, np.arange(len(s))] - above[grades + 1, np.arange(len(s))]
+        return -np.log(np.maximum(chance, 1e-12)).mean() + ordinal.L2 / 2 * (p[:k] ** 2).sum()
+
+    p, h = np.array([0.0] * k + [-0.5, 0.5]), 1e-4
+    unit = np.eye(k + 2) * h
+    for _ in range(12):
+        slope = np.array([(loss(p + u) - loss(p - u)) / (2 * h) for u in unit])
+        bend = np.array([[(loss(p + u + v) - loss(p + u - v) - loss(p - u + v) + loss(p - u - v)) / (4 * h * h) for v in unit] for u in unit])
+        p = p - np.linalg.solve(bend, slope)
+    model = ordinal.fit(drawn, grades, 3)
+    assert loss(np.concatenate([model.weights[:k], model.thresholds])) <= loss(p) + 1e-4
+    assert np.allclose(model.weights[:k], p[:k], atol=0.05) and np.allclose(model.thresholds, p[k:], atol=0.05)
+
+
+def test_quality_of_nothing_long_texts_and_clashing_names(spark):
+    rated = [(i, "fine " * 8 if i % 2 else "idiot " * 8, 7) for i in range(40)]
+    df = spark.createDataFrame([*rated, (99, "fine " * 400_000, 7)], "doc_id long, text string, grade int")
+    labels = spark.createDataFrame([(i, 1 + i % 2) for i in range(40)] + [(1, 1), (1, 2)], "doc_id long, grade int")
+    model = ordinal.train(df, labels)
+    found = {r.doc_id: r.expected_grade for r in ordinal.grade(df, model).collect()}
+    assert len(found) == 41 and found[99] > found[0]
+    assert ordinal.grade(df.limit(0), model).count() == 0 and ordinal.train(df.limit(0), labels) is None
+
+
 def test_quality_without_ratings(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert ordinal.train(df, spark.createDataFrame([], "doc_id long, grade int")) is None
