@@ -25,7 +25,10 @@ BESIDE = r"^(?:x[234]|\(x[234]\)|\([23]x\)|\||\|\||\|:|:\||%|-|\*|\*\*|R:)$"
 NUMBERED = r"^\s*(\d+)\s*\.\s*(.+)$"
 
 LINE = ["doc", "page", "line"]
-_visible = F.trim("c") != ""
+
+
+def visible() -> Column:
+    return F.trim("c") != ""
 
 
 def is_symbol_line(text: Column) -> Column:
@@ -40,7 +43,7 @@ def restore_codes(glyphs: DataFrame, table: DataFrame) -> DataFrame:
     known = known.withColumn("c", F.when(coded, F.coalesce("shown", F.lit(""))).otherwise(F.col("c"))).drop("shown")
     order = Window.partitionBy(*LINE).orderBy("x0", "ymid", "seq").rowsBetween(Window.unboundedPreceding, 0)
     # a chain is a plain visible glyph and the codes after it, up to the next one; its first letter tells the case
-    chained = known.withColumn("_chain", F.sum((_visible & ~F.col("coded")).cast("int")).over(order))
+    chained = known.withColumn("_chain", F.sum((visible() & ~F.col("coded")).cast("int")).over(order))
     chain = Window.partitionBy(*LINE, "_chain").orderBy("x0", "ymid", "seq").rowsBetween(Window.unboundedPreceding, 0)
     told = F.first(F.when(F.col("c").rlike(r"^\p{L}"), F.col("c")), ignorenulls=True).over(chain)
     cased = F.when(told.rlike(r"^\p{Lu}"), F.upper("c")).when(told.rlike(r"^\p{Ll}"), F.lower("c")).otherwise(F.col("c"))
@@ -68,7 +71,7 @@ def render(glyphs: DataFrame, left: Column, char: float = 6.0, space: float = 3.
     blanks of the width `char`; labels lie more than `apart` from each other."""
     order, whole = Window.partitionBy(*LINE).orderBy("x0", "ymid", "seq"), Window.partitionBy(*LINE)
     coded = F.col("coded") if "coded" in glyphs.columns else F.lit(False)
-    shown = F.when((F.col("c") == "") | _visible, True).otherwise(False)
+    shown = F.when((F.col("c") == "") | visible(), True).otherwise(False)
     g = glyphs.withColumn("left", left).select(
         *LINE, "seq", "c", "x0", "x1", "ymid", "left", coded.alias("coded"), F.avg("ymid").over(whole).alias("y"), F.max(F.when(shown, F.col("size"))).over(whole).alias("size"),
         F.array_sort(F.collect_set(F.when(shown, F.col("font"))).over(whole)).alias("fonts"), F.min("x0").over(whole).alias("first"),
@@ -174,7 +177,7 @@ def column_split(glyphs: DataFrame, gap: float = 50.0, span: tuple[float, float]
     the right; null for a page of one column, of which more than `share` of the lines run across the split."""
     order, page = Window.partitionBy(*LINE).orderBy("x0", "ymid", "seq"), ["doc", "page"]
     starts = glyphs.withColumn("_n", F.row_number().over(order)).groupBy(*page).agg(F.count_if((F.col("_n") == 1) & (F.col("x0") > right)).alias("starts"))
-    ink = glyphs.filter(_visible).withColumn("_n", F.count("*").over(Window.partitionBy(*LINE))).filter("_n >= 4").withColumn("_next", F.lead("x0").over(order))
+    ink = glyphs.filter(visible()).withColumn("_n", F.count("*").over(Window.partitionBy(*LINE))).filter("_n >= 4").withColumn("_next", F.lead("x0").over(order))
     wide = ink.filter((F.col("_next") - F.col("x1") > gap) & (F.col("x1") < span[1]) & (F.col("_next") > span[0]))
     middle = wide.groupBy(*page).agg(F.count("*").alias("gaps"), F.median((F.col("x1") + F.col("_next")) / 2).alias("middle"))
     split = starts.join(middle, page, "left").withColumn("split", F.when((F.coalesce("gaps", F.lit(0)) >= 3) | (F.col("starts") >= 6), F.coalesce("middle", F.lit(default)))).select(*page, "split")
@@ -188,7 +191,7 @@ def indexed_book(glyphs: DataFrame, contents: DataFrame, char: float = 7.2, spac
     glyphs. Glyphs of 16 points or more are the page's title; the rest is read column by column. The page's title settles title and artist
     by the entry of its key, or the closest from 0.75 on; without one it is the title itself and the entry's artist stays."""
     lined = glyph_lines(glyphs).join(contents.select("page"), "page", "left_semi")
-    large = F.max(F.when(_visible, F.col("size"))).over(Window.partitionBy(*LINE)) >= 16
+    large = F.max(F.when(visible(), F.col("size"))).over(Window.partitionBy(*LINE)) >= 16
     lined = lined.withColumn("_large", F.coalesce(large, F.lit(False)))
     top = render(lined.filter("_large"), F.lit(0.0), char, space).filter("y < 150").groupBy("doc", "page").agg(F.sort_array(F.collect_list(F.struct("y", "line", F.trim("text").alias("t")))).alias("t"))
     top = top.select("doc", "page", comma_below(F.array_join(F.transform("t", lambda x: x["t"]), " ")).alias("page_title"))
