@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid, media, merkle, ordinal, packing, sharding, simhash, suffix
+from . import bpe, conversation, html, langid, media, merkle, ordinal, packing, sharding, simhash, suffix
 from .common import documents
 
 #: Name of the public vocabulary; its place is a parameter of the operators.
@@ -64,6 +64,11 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(documents(spark, sf_dir), length=200, digest=True)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation.repair(conversation.damage(rows), ids=rows, digest=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +76,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, pipeline)}
+    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, op11_conversations, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
