@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation, html, langid, media, merkle, ordinal, packing, sharding, simhash, suffix
+from . import bpe, conversation, html, langid, media, merkle, oracles, ordinal, packing, sharding, simhash, suffix, tokenfile
 from .common import documents
 
 #: Name of the public vocabulary; its place is a parameter of the operators.
@@ -69,6 +69,12 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair(conversation.damage(rows), ids=rows, digest=True)
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = tokenfile.shared_folder(spark)
+    tokenfile.write_tokens(documents(spark, sf_dir), vocabulary_path(), folder)
+    return tokenfile.read_tokens(spark, folder, digest=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,8 +82,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, op11_conversations, pipeline)}
+    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, op11_conversations, op13_tokens, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_conversations": oracles.OP11}
