@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation, html, langid, media, merkle, oracles, ordinal, packing, sharding, simhash, suffix, tokenfile
+from . import align, bpe, conversation, html, langid, media, merkle, oracles, ordinal, packing, sharding, simhash, suffix, tokenfile
 from .common import documents
 
-#: Name of the public vocabulary; its place is a parameter of the operators.
-BYTE_BPE = "byte_bpe_50k.json"
+#: Names of public vocabularies; their place is a parameter of the operators.
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHARDS, WINDOW = 8, 1024
 
 
@@ -69,6 +69,10 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair(conversation.damage(rows), ids=rows, digest=True)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(documents(spark, sf_dir), vocabulary_path(), vocabulary_path(PIECE_BPE))
+
+
 def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = tokenfile.shared_folder(spark)
     tokenfile.write_tokens(documents(spark, sf_dir), vocabulary_path(), folder)
@@ -82,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, op11_conversations, op13_tokens, pipeline)}
+    return {f.__name__: f for f in (op1_bpe, op2_media, op3_sharding, op4_language, op5_packing, op6_html, op7_merkle, op8_simhash, op9_quality, op10_suffix, op11_conversations, op12_alignment, op13_tokens, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
