@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-from corpusforge.session import ship_package, small
+from corpusforge.session import small
 
+from .folds import apart
 from .lines import gap_to_previous, islands
 
 #: Columns of a glyph table.
@@ -63,45 +62,42 @@ def two_columns(lines: DataFrame, share: float = 0.12) -> DataFrame:
     return crossing.withColumn("two", F.col("crossing") <= share * F.col("n"))
 
 
-def column_edges(x: list[float], least: int = 4, apart: float = 60.0) -> list[float]:
-    """A5: left edges of columns: peaks of a histogram of bins of two, neighbours merged, at least `apart` from a higher one."""
-    bins: dict[int, int] = {}
-    for v in x:
-        bins[round(v / 2)] = bins.get(round(v / 2), 0) + 1
-    merged = {b: sum(bins.get(b + d, 0) for d in (-1, 0, 1)) for b in bins}
-    out: list[float] = []
-    for b, n in sorted(merged.items(), key=lambda i: (-i[1], i[0])):
-        if n >= least and all(abs(2 * b - e) >= apart for e in out):
-            out.append(2.0 * b)
-    return sorted(out)
-
-
-def reading_order(lines: DataFrame, full: float = 0.6) -> DataFrame:
-    """Numbers the segments (doc, page, x0, x1, y, text) of each page as they are read: full-width ones divide the page into bands,
-    and a band is read column by column."""
-    ship_package(lines.sparkSession)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        width = pdf.x1.max() - pdf.x0.min()
-        rows = sorted(pdf.itertuples(index=False), key=lambda r: (r.y, r.x0))
-        edges = column_edges([r.x0 for r in rows if r.x1 - r.x0 < full * width], 2) or [float(pdf.x0.min())]
-        out, held = [], []
-
-        def flush() -> None:
-            held.sort(key=lambda h: (h[0], h[1].y, h[1].x0))
-            out.extend(h[1] for h in held)
-            held.clear()
-
-        for r in rows:
-            if r.x1 - r.x0 >= full * width:
-                flush()
-                out.append(r)
-            else:
-                held.append((max([i for i, e in enumerate(edges) if e <= r.x0 + 3], default=0), r))
-        flush()
-        return pd.DataFrame(out, columns=pdf.columns).assign(ord=range(len(out)))
-
-    return lines.groupBy("doc", "page").applyInPandas(run, StructType([*lines.schema.fields, StructField("ord", IntegerType())]))
+def column_edges(starts: DataFrame, by: list[str], x: str, order: list[str], low: float = 150.0, high: float = 450.0, least: int = 5, distance: float = 60.0, reach: float = 20.0) -> DataFrame:
+    """A5: (by, edges): where columns after the first begin, rising, from the starts of runs.
+
+    Starts from low to high are counted in bins of two points. From the fullest bin down (equals: the one seen first by order), a bin counts with both neighbours; the
+    first with fewer than `least` starts ends the search; its leftmost start is an edge unless one taken before is within `distance`. An edge then moves to the
+    leftmost start at most `reach` before it. Groups without an edge have no row. Bins are few, whatever the number of starts."""
+    inside = starts.filter(F.col(x).between(low, high)).select(*by, F.col(x).cast("double").alias("_x"), F.struct(*order).alias("_at"))
+    bins = inside.groupBy(*by, F.bround(F.col("_x") / 2).cast("long").alias("bin")).agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.min("_at").alias("seen"))
+    w = Window.partitionBy(*by).orderBy("bin")
+    near = lambda f, c, d: F.when(f("bin").over(w) == F.col("bin") + d, f(c).over(w))
+    zero = F.lit(0)
+    wide = bins.withColumn("wide", F.col("n") + F.coalesce(near(F.lag, "n", -1), zero) + F.coalesce(near(F.lead, "n", 1), zero)).withColumn("left", F.least("low", near(F.lag, "low", -1), near(F.lead, "low", 1)))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("rank"), "seen", F.col("wide").alias("n"), F.col("left").alias("low"))))
+    edges = wide.groupBy(*by).agg(apart(ranked, least, distance).alias("edges")).select(*by, F.explode("edges").alias("_edge"))
+    moved = inside.join(edges, by).filter(F.col("_x").between(F.col("_edge") - reach, F.col("_edge"))).groupBy(*by, "_edge").agg(F.min("_x").alias("x"))
+    return moved.groupBy(*by).agg(F.array_sort(F.collect_list("x")).alias("edges"))
+
+
+def reading_order(segments: DataFrame, edges: DataFrame, by: list[str], symbols: Column | None = None, gap: float = 12.0, lift: float = 15.0) -> DataFrame:
+    """Segments (by, x0, x1, y) numbered from 0 as they are read (ord), with their column (null outside of columns).
+
+    A line (segments of one y) with a segment that runs across a column's edge closes the band above it and is read by itself, together with symbols less than
+    `lift` above it; the lines of a band are read column by column. A page without edges is read line by line."""
+    page = Window.partitionBy(*by)
+    s = segments.join(edges, by, "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<double>")))
+    runs = F.exists("edges", lambda e: (F.col("x0") < e - gap) & (F.col("x1") > e + 2))
+    s = s.withColumn("_cross", F.max(runs).over(Window.partitionBy(*by, "y"))).withColumn("_symbols", F.coalesce(symbols, F.lit(False)) if symbols is not None else F.lit(False))
+    after = F.min(F.when(F.col("_cross"), F.col("y"))).over(page.orderBy(F.desc("y")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    held = F.col("_symbols") & ~F.col("_cross") & (after - F.col("y") < lift)
+    s = s.withColumn("_held", F.coalesce(held, F.lit(False))).withColumn("_line", F.when(F.col("_held"), after).otherwise(F.col("y")))
+    s = s.withColumn("_alone", F.col("_cross") | F.col("_held"))
+    opens = F.max(F.when(F.col("_alone"), F.col("_line"))).over(page.orderBy("_line").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    column = F.when((F.size("edges") > 0) & ~F.col("_alone"), F.size(F.filter("edges", lambda e: F.col("x0") >= e - 4)))
+    s = s.withColumn("_band", opens).withColumn("column", column)
+    order = page.orderBy(F.col("_band").asc_nulls_first(), F.desc("_alone"), F.coalesce("column", F.lit(0)), "y", "x0")
+    return s.withColumn("ord", F.row_number().over(order) - 1).select(*segments.columns, "column", "ord")
 
 
 def contained_notes(notes: DataFrame, lines: DataFrame, within: float = 15.0) -> DataFrame:

@@ -1,8 +1,7 @@
-"""Ordered lines: carry-forward, fences, trims, islands, pairing and wrapping."""
+"""Ordered lines: carry-forward, fences, trims, islands, pairing and splits."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,36 +64,6 @@ def blank_on_gap(rows: DataFrame, partition: str, order: str, y: str, gap: float
     return rows.withColumn("_wide", wide).withColumn("line", out).drop("_wide")
 
 
-def join_wraps(rows: list[str], width: int) -> list[str]:
-    """A line joins the one before (as joined so far) if that is at least `width` long and doesn't end a sentence."""
-    out: list[str] = []
-    for r in rows:
-        if out and len(out[-1]) >= width and not out[-1].rstrip().endswith((".", "!", "?", ":")) and r.strip():
-            out[-1] = f"{out[-1].rstrip()} {r.strip()}"
-        else:
-            out.append(r)
-    return out
-
-
-def wrap(line: str, width: int) -> list[str]:
-    """lines of at most `width` characters, cut at the last blank that fits, else inside the word; a hanging indent of two."""
-    out, rest = [], line.rstrip()
-    while len(rest) > max(width, 3):
-        cut = rest.rfind(" ", 1, width + 1)
-        cut = cut if cut > 0 and rest[:cut].strip() else width
-        out.append(rest[:cut].rstrip())
-        rest = "  " + rest[cut:].lstrip()
-    return [*out, rest] if rest.strip() or not out else out
-
-
-def wrap_column(line: Column, width: int) -> Column:
-    @F.pandas_udf("array<string>")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else wrap(x, width))
-
-    return run(line)
-
-
 def balanced_split(rows: DataFrame, partition: str, order: str, weight: str, boundary: Column) -> DataFrame:
     """per part the boundary row after which to cut, so that the heavier side is as light as can be; the first of equals."""
     upto = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -105,21 +74,6 @@ def balanced_split(rows: DataFrame, partition: str, order: str, weight: str, bou
     return scored.groupBy(partition).agg(best.alias("b")).select(partition, "b.cut", "b.left", "b.right")
 
 
-def repeat_spans(line: str, opener: str = "/", closer: str = r"/") -> list[tuple[int, int, int]]:
-    """(start, end, times) of passages written as / ... / xN; a closer without an opener is an error."""
-    import re
-
-    out, free = [], []
-    for m in re.finditer(r"/(?:\s*x(\d+))?", line):
-        if m[1]:
-            if not free:
-                raise ValueError(f"repeat without an opening sign: {line!r}")
-            out.append((free.pop(), m.start(), int(m[1])))
-        else:
-            free.append(m.start())
-    return out
-
-
 def quality_gate(body: Column, grammar: str, least: int = 3) -> Column:
     """At least `least` lines, one of which has only tokens of the grammar."""
     from corpusforge.functions.text import all_tokens

@@ -1,4 +1,4 @@
-"""Composite steps on items with symbol lines."""
+"""Composite steps on items with symbol lines."""
 
 from __future__ import annotations
 
@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import pitch
-from corpusforge.functions.text import all_tokens, base_title, comma_below, fold, mark_repeats, norm, sort_key
+from corpusforge.functions.text import all_tokens, base_title, comma_below, fold, let, mark_repeats, norm, sort_key
 from corpusforge.session import small
 
+from .folds import place, tokens
 from .indexing import merged_index, number_globally
 from .lines import carry_forward, fences, gap_to_previous, islands
 
@@ -61,13 +62,34 @@ def compose_marks(text: Column, table: dict[tuple[str, str], str]) -> Column:
     return text
 
 
-def shift_chords(rows: DataFrame, partition: str, order: str) -> DataFrame:
-    """Each lyric row gets the nearest chord row before it in its paragraph; blank rows divide paragraphs."""
-    blank = F.trim("line") == ""
-    para = islands(rows, [partition], [order], blank, "paragraph")
-    w = Window.partitionBy(partition, "paragraph").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    chord = is_chord_line(F.col("line"))
-    return para.withColumn("chords", F.when(~chord & ~blank, F.last(F.when(chord, F.col("line")), ignorenulls=True).over(w)))
+#: Signs in front of a verse that move to a line of their own, and bracketed symbols within lines, fixed patterns.
+VERSE_SIGN = r"^(?:\d{1,2}\.(?!\d)|R\d?\s?:|(?i:refren)(?:\s*[xX]\s*\d+)?\s*:)\s*"
+BRACKETED = r"\[\(?[A-G][^\]]*\]|\[(?i:no chords?|n\.c\.|nc|riff(?: [^\]]*)?|solo)\]"
+
+
+def align_rows(rows: DataFrame, partition: list[str], order: str) -> DataFrame:
+    """The rows (partition, order, line) of blocks of symbols over verses, without indents and signs in front of verses.
+
+    A verse loses its indent and its sign (a strophe's number, a refrain's mark); a row of symbols moves left as far as the next verse did, if only rows of symbols
+    stand between, else by its own indent; symbols stay apart and to the right of the margin. A sign becomes a row above the
+    symbols over its verse. A block with bracketed symbols stays as it is. order is numbered anew from 0; doing it twice changes nothing more."""
+    block = Window.partitionBy(*partition)
+    above, below = (block.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col(order).asc(), F.col(order).desc()))
+    r = rows.withColumn("_held", F.max(F.col("line").rlike(BRACKETED)).over(block)).withColumn("_line", F.regexp_replace("line", r"\s+$", "")).withColumn("_bare", F.trim("_line"))
+    r = r.withColumn("_kind", F.when(F.col("_bare") == "", "blank").when(is_chord_line(F.col("_bare")), "symbols").otherwise("verse"))
+    sign = F.regexp_extract("_bare", VERSE_SIGN, 0)
+    r = r.withColumn("_sign", F.when((F.col("_kind") == "verse") & (F.length(sign) < F.length("_bare")), sign).otherwise("")).withColumn("_lead", F.length("_line") - F.length(F.ltrim("_line")))
+    other = F.when(F.col("_kind") != "symbols", F.struct(F.col("_kind").alias("kind"), (F.col("_lead") + F.length("_sign")).alias("shift"), F.col(order).alias("at")))
+    r = r.withColumn("_next", F.last(other, ignorenulls=True).over(below)).withColumn("_head", F.last(other, ignorenulls=True).over(above)["at"])
+    shift = F.when(F.col("_next.kind") == "verse", F.col("_next.shift")).otherwise(F.col("_lead"))
+    moved = let(F.struct(tokens(F.col("_line")).alias("t"), shift.alias("by")), lambda x: place(F.transform(x["t"], lambda t: F.struct(F.greatest(t["col"] - x["by"], F.lit(0)).alias("col"), t["label"].alias("label")))))
+    fresh = F.when(F.col("_kind") == "symbols", moved).otherwise(F.expr("substring(_bare, length(_sign) + 1)"))
+    put = lambda at, side, line: F.struct(at.alias("at"), F.lit(side).alias("side"), line.alias("line"))
+    own = F.array(put(F.col(order), 0, F.when(F.col("_held"), F.col("line")).otherwise(fresh)))
+    shown = put(F.col("_head"), 1, F.regexp_replace(F.trim("_sign"), r"\s+:", ":"))  # behind the last row that isn't symbols
+    out = r.select(*partition, F.explode(F.when(~F.col("_held") & (F.col("_sign") != ""), F.concat(F.array(shown), own)).otherwise(own)).alias("x"))
+    nth = F.row_number().over(block.orderBy(F.col("x.at").asc_nulls_first(), "x.side")) - 1
+    return out.select(*partition, nth.alias(order), "x.line")
 
 
 def hoist_marker(line: Column, marker: str = r"\[(?:Refren|Chorus|Bridge)\]") -> Column:
@@ -129,16 +151,6 @@ def quality_score(hearts: Column, rating: Column, count: Column) -> Column:
     return F.coalesce(hearts.cast("double"), zero) + F.coalesce(rating * count, zero)
 
 
-def largest_fitting(low: float, high: float, fits: Callable[[float], bool], steps: int = 24) -> float:
-    """the largest value of a range for which a monotone predicate holds, by halving; low if none does."""
-    if fits(high):
-        return high
-    for _ in range(steps):
-        middle = (low + high) / 2
-        low, high = (middle, high) if fits(middle) else (low, middle)
-    return low
-
-
 def best_links(tabs: DataFrame, index: DataFrame, aliases: DataFrame) -> DataFrame:
     """Of each (artist, title) the link of the best score (then ratings, favourites, smaller id) under its richest spelling, merged into
     an index (key, artist) in order of folded names. tabs(artist, title, href, id, favourites, rating, ratings), aliases(alias, target)."""

@@ -6,8 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusforge.catalog import query, table
-from corpusforge.operators import geometry, indexing, linkage, lines
-from corpusforge.session import ship_package
+from corpusforge.operators import components, folds, geometry, indexing, linkage, lines
 
 
 @query("""WITH e AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) SELECT user_id, event_id, event_type FROM e WHERE before IS DISTINCT FROM event_type""")
@@ -75,21 +74,97 @@ def balanced_split(spark, sf_dir):
     return lines.balanced_split(rows.withColumn("ord", F.col("ord").cast("long")), "doc_id", "ord", "weight", F.lit(True))
 
 
-@query()
-def wrap_lines(spark, sf_dir):
-    """every line of every document wrapped to 72 characters."""
-    ship_package(spark)
-    wrapped = F.explode(lines.wrap_column(F.col("line"), 72))
-    return lines.explode_lines(table(spark, sf_dir, "documents")).select("doc_id", "ord", wrapped.alias("row"))
+_LAID = """SELECT doc_id::VARCHAR AS doc, i // 60 AS page, i AS ord, CASE WHEN i % 2 = 1 AND i % 7 <> 0 THEN 320.0 + i % 3 ELSE 40.0 END AS x0, CASE WHEN i % 7 = 0 THEN 560.0 WHEN i % 2 = 1 THEN 540.0 ELSE 260.0 END AS x1,
+  (i - i % 2 * (i % 7 <> 0 AND (i - 1) % 7 <> 0)::INT) * 12.0 AS y, line, length(line) % 4 = 0 AND i % 7 <> 0 AS symbols
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)"""
 
 
-@query()
-def two_column_reading_order(spark, sf_dir):
-    """W8 on pages laid out from the documents' lines: two columns between full-width lines."""
-    docs = lines.explode_lines(table(spark, sf_dir, "documents"))
-    wide, right = F.col("ord") % 7 == 0, F.col("ord") % 2 == 1
-    laid = docs.select(
-        F.col("doc_id").cast("string").alias("doc"), F.floor(F.col("ord") / 60).cast("int").alias("page"), F.when(right & ~wide, 320.0).otherwise(40.0).alias("x0"),
-        F.when(wide, 560.0).when(right, 540.0).otherwise(260.0).alias("x1"), (F.col("ord") * 12).cast("double").alias("y"), "ord", "line",
+def laid_out(spark, sf_dir):
+    """Pages of the documents' lines in two columns, with lines over the whole width between them; some lines are symbols."""
+    docs, i = lines.explode_lines(table(spark, sf_dir, "documents")), F.col("ord")
+    wide, right = i % 7 == 0, i % 2 == 1
+    beside = F.when(right & ~wide & ((i - 1) % 7 != 0), 1).otherwise(0)
+    return docs.select(
+        F.col("doc_id").cast("string").alias("doc"), F.floor(i / 60).cast("int").alias("page"), "ord", F.when(right & ~wide, F.lit(320.0) + i % 3).otherwise(40.0).alias("x0"),
+        F.when(wide, 560.0).when(right, 540.0).otherwise(260.0).alias("x1"), ((i - beside) * 12).cast("double").alias("y"), "line", ((F.length("line") % 4 == 0) & ~wide).alias("symbols"),
     )
-    return geometry.reading_order(laid.select("doc", "page", "x0", "x1", "y", F.col("line").alias("text")))
+
+
+@query(f"""WITH l AS ({_LAID}), e AS (SELECT doc, page, min(x0) AS edge FROM l WHERE x0 >= 320 GROUP BY ALL HAVING count(*) >= 5),
+c AS (SELECT l.*, edge, bool_or(edge IS NOT NULL AND x0 < edge - 12 AND x1 > edge + 2) OVER (PARTITION BY doc, page, y) AS crossing FROM l LEFT JOIN e USING (doc, page)),
+h AS (SELECT *, (SELECT min(d.y) FROM c d WHERE d.doc = c.doc AND d.page = c.page AND d.crossing AND d.y >= c.y) AS below FROM c),
+a AS (SELECT *, crossing OR coalesce(symbols AND below - y < 15, false) AS alone, CASE WHEN NOT crossing AND symbols AND below - y < 15 THEN below ELSE y END AS at FROM h),
+b AS (SELECT *, (SELECT max(d.at) FROM a d WHERE d.doc = a.doc AND d.page = a.page AND d.alone AND d.at <= a.at) AS band, CASE WHEN edge IS NOT NULL AND NOT alone THEN (x0 >= edge - 4)::INT END AS col FROM a)
+SELECT doc, page::INT AS page, ord::INT AS ord, col AS "column", (row_number() OVER (PARTITION BY doc, page ORDER BY band NULLS FIRST, alone DESC, coalesce(col, 0), y, x0) - 1)::INT AS nth FROM b""")
+def two_column_reading_order(spark, sf_dir):
+    """W8 with the edges of A5, on pages laid out from the documents' lines."""
+    laid = laid_out(spark, sf_dir)
+    edges = geometry.column_edges(laid, ["doc", "page"], "x0", ["ord"])
+    read = geometry.reading_order(laid.withColumnRenamed("ord", "line_no"), edges, ["doc", "page"], F.col("symbols"))
+    return read.select("doc", "page", F.col("line_no").alias("ord"), "column", F.col("ord").alias("nth"))
+
+
+@query("""WITH RECURSIVE l AS (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+x AS (SELECT source, length(line)::DOUBLE AS x, doc_id * 100000 + i AS seen FROM l WHERE length(line) BETWEEN 150 AND 450),
+b AS (SELECT source, round_even(x / 2, 0)::BIGINT AS bin, count(*) AS n, min(x) AS low, min(seen) AS seen FROM x GROUP BY ALL),
+m AS (SELECT b.source, b.bin, b.n, b.seen, sum(c.n) AS wide, min(c.low) AS low FROM b JOIN b c ON c.source = b.source AND c.bin BETWEEN b.bin - 1 AND b.bin + 1 GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, seen) AS k FROM m),
+g AS (
+  SELECT source, 1 AS k, CASE WHEN wide >= 5 THEN [low] ELSE []::DOUBLE[] END AS edges, wide >= 5 AS go FROM k WHERE k = 1
+  UNION ALL
+  SELECT g.source, k.k, CASE WHEN k.wide >= 5 AND len(list_filter(edges, lambda e: abs(k.low - e) <= 60)) = 0 THEN edges || [k.low] ELSE edges END, k.wide >= 5 FROM g JOIN k ON k.source = g.source AND k.k = g.k + 1 WHERE go
+),
+e AS (SELECT source, unnest(arg_max(edges, k)) AS edge FROM g GROUP BY source),
+f AS (SELECT e.source, e.edge, min(x.x) AS x FROM e JOIN x ON x.source = e.source AND x.x BETWEEN e.edge - 20 AND e.edge GROUP BY ALL)
+SELECT source, array_to_string(list(x::BIGINT ORDER BY x), ',') AS edges FROM f GROUP BY source""")
+def column_edges(spark, sf_dir):
+    """A5: the lengths at which a source's lines pile up."""
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line")).withColumn("x", F.length("line").cast("double"))
+    found = geometry.column_edges(rows, ["source"], "x", ["doc_id", "ord"])
+    return found.select("source", F.array_join(F.transform("edges", lambda e: e.cast("long").cast("string")), ",").alias("edges"))
+
+
+_HEIGHT = "list_sum(list_transform(lens, lambda n: greatest(ceil(n * {0} / 800.0), 1.0))) * 1.2 * {0} <= 700.0"
+
+
+def _sizes(spark, sf_dir):
+    """per document the largest type size at which its lines, broken anywhere, fit a page."""
+    lens = F.transform(F.split("text", "\n"), lambda x: F.length(x))
+
+    def fits(size):
+        rows = F.aggregate("lens", F.lit(0.0), lambda n, x: n + F.greatest(F.ceil(x * size / 800.0).cast("double"), F.lit(1.0)))
+        return rows * 1.2 * size <= 700.0
+
+    docs = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", lens.alias("lens"))
+    return docs.withColumn("size", folds.largest_fitting(F.lit(1.0), F.lit(12.0), fits))
+
+
+_SIZES = f"""l AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: length(x)) AS lens FROM documents WHERE text IS NOT NULL),
+h AS (
+  SELECT doc_id, lens, 0 AS k, 1.0::DOUBLE AS low, 12.0::DOUBLE AS high FROM l
+  UNION ALL
+  SELECT doc_id, lens, k + 1, CASE WHEN ok THEN mid ELSE low END, CASE WHEN ok THEN high ELSE mid END
+  FROM (SELECT *, {_HEIGHT.format("mid")} AS ok FROM (SELECT *, (low + high) / 2 AS mid FROM h WHERE k < 24))
+),
+z AS (SELECT doc_id, lens, CASE WHEN {_HEIGHT.format("12.0::DOUBLE")} THEN 12.0::DOUBLE ELSE low END AS size FROM h WHERE k = 24)"""
+
+
+@query(f"WITH RECURSIVE {_SIZES} SELECT doc_id, size FROM z")
+def largest_sizes(spark, sf_dir):
+    return _sizes(spark, sf_dir).select("doc_id", "size")
+
+
+@query(f"""WITH RECURSIVE {_SIZES},
+t AS (
+  SELECT doc_id, lens, size, 1 AS passes, {_HEIGHT.format("size").replace("n * size / 800.0", "n / floor(800.0 / size)")} AS ok FROM z
+  UNION ALL
+  SELECT doc_id, lens, smaller, passes + 1, {_HEIGHT.format("smaller").replace("n * smaller / 800.0", "n / floor(800.0 / smaller)")} FROM (SELECT *, size * 0.93::DOUBLE AS smaller FROM t WHERE NOT ok AND passes < 6)
+)
+SELECT doc_id, arg_max(size, passes) AS size, max(passes)::INT AS passes, NOT bool_or(ok) AS bad FROM t GROUP BY doc_id""")
+def shrunk_to_fit(spark, sf_dir):
+    """Sizes are verified with lines of whole characters; documents that don't fit shrink and are verified again."""
+    def measure(items):
+        rows = F.aggregate("lens", F.lit(0.0), lambda n, x: n + F.greatest(F.ceil(x / F.floor(800.0 / F.col("size"))).cast("double"), F.lit(1.0)))
+        return items.withColumn("bad", ~(rows * 1.2 * F.col("size") <= 700.0))
+
+    return components.shrink_to_fit(_sizes(spark, sf_dir), measure).select("doc_id", "size", "passes", "bad")

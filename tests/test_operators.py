@@ -228,15 +228,9 @@ def test_forward_match_and_pairs(spark):
     assert [(r.text, r.next_text) for r in lines.adjacent_pairs(talk, "d", "o", "kind", "chord", "lyric", "text").collect()] == [("C", "la")]
 
 
-def test_wraps_and_splits(spark):
-    assert all(len(x) <= 20 for x in lines.wrap("word " * 30, 20)) and "".join(lines.wrap("abc" * 30, 20)).replace(" ", "") == "abc" * 30
-    assert lines.wrap("", 10) == [""]
-    assert lines.join_wraps(["a long line here", "and more.", "next"], 10) == ["a long line here and more.", "next"]
+def test_balanced_split(spark):
     df = spark.createDataFrame([(1, i, w) for i, w in enumerate([5, 1, 1, 5])], "d long, o long, w long")
     assert rows(lines.balanced_split(df, "d", "o", "w", F.lit(True))) == [(1, 1, 6, 6)]
-    assert lines.repeat_spans("a / b / x3") == [(2, 6, 3)]
-    with pytest.raises(ValueError):
-        lines.repeat_spans("a b / x3")
 
 
 def glyph(page, seq, c, x, y):
@@ -254,12 +248,6 @@ def test_line_text_spaces(spark):
     assert geometry.segments(df, 10.0).agg(F.max("segment")).first()[0] == 2
 
 
-def test_reading_order_columns_between_full_lines(spark):
-    data = [("d", 1, 0.0, 100.0, 0.0, "top"), ("d", 1, 0.0, 40.0, 10.0, "l1"), ("d", 1, 60.0, 95.0, 10.0, "r1"), ("d", 1, 0.0, 40.0, 20.0, "l2"), ("d", 1, 60.0, 95.0, 20.0, "r2"), ("d", 1, 0.0, 100.0, 30.0, "end")]
-    found = geometry.reading_order(spark.createDataFrame(data, "doc string, page int, x0 double, x1 double, y double, text string"))
-    assert [r.text for r in found.orderBy("ord").collect()] == ["top", "l1", "l2", "r1", "r2", "end"]
-
-
 def test_affixes(spark):
     raw = ["SFX A Y 2", "SFX A 0 s [^s]", "SFX A y ies [^a]y", "SFX B 0 x ([", "PFX C Y 1", "PFX C 0 re .", "SFX D e 0 e"]
     rules_ = lexicon.load_affixes(spark.createDataFrame([(x,) for x in raw], "value string"))

@@ -38,8 +38,6 @@ def test_titles_marks_and_chords(spark):
     df = spark.createDataFrame([("d", 0, 10.0, "A"), ("d", 1, 25.0, "B"), ("d", 2, 60.0, "C")], "doc string, ord int, y double, text string")
     assert sorted(r.text for r in songs.merge_titles(df, "doc", "ord", "y", "text").collect()) == ["A B", "C"]
     assert value(spark, songs.compose_marks(F.lit("¸s t¸"), {("¸", "s"): "ș", ("¸", "t"): "ț"})) == "ș ț"
-    shifted = songs.shift_chords(lined(spark, "C\nla\nlo\n\nli"), "doc", "ord")
-    assert [r.chords for r in shifted.orderBy("ord").collect()] == [None, "C", "C", None, None]
     assert tuple(value(spark, songs.hoist_marker(F.lit("[Refren] la")))) == ("[Refren]", "la")
 
 
@@ -59,7 +57,3 @@ def test_best_links_and_regroup(spark):
     assert [(r.k, r.number) for r in songs.regroup(items, sections, "k").orderBy("number").collect()] == [(3, 1), (2, 2), (1, 3)]
     with pytest.raises(Exception, match="no section for 3"):
         songs.regroup(items, sections.filter("k < 3"), "k").collect()
-
-
-def test_largest_fitting():
-    assert songs.largest_fitting(0, 10, lambda x: x <= 3) == pytest.approx(3, abs=1e-5) and songs.largest_fitting(0, 10, lambda x: True) == 10 and songs.largest_fitting(1, 10, lambda x: False) == 1
