@@ -44,4 +44,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from corpusforge.plans import inline, linking, ordered, scans, songbook, texts, worked  # noqa: F401  they register themselves
+    from corpusforge.plans import curated, inline, linking, ordered, scans, songbook, texts, worked  # noqa: F401  they register themselves

@@ -209,9 +209,11 @@ def truncate_at(rows: Column, sentinel: str) -> Column:
     return F.when(at > 0, F.slice(rows, F.lit(1), at.cast("int") - 1)).otherwise(rows)
 
 
-def signature(rows: Column, k: int = 5, least: int = 8) -> Column:
-    """P20: the first k lines longer than `least`, normalised and joined."""
-    return F.array_join(F.slice(F.filter(F.transform(rows, norm), lambda r: F.length(r) > least), 1, k), "")
+def signature(rows: Column, k: int = 5, least: int = 8, grammar: str | None = None, ignore: str | None = None) -> Column:
+    """P20: the first k lines longer than `least` that aren't rows of symbols, normalised and joined by blanks."""
+    symbols = (lambda r: all_tokens(r, grammar, ignore)) if grammar else (lambda r: F.lit(False))
+    told = F.filter(F.transform(rows, strip), lambda r: (F.length(r) > least) & ~symbols(r))
+    return F.array_join(F.transform(F.slice(told, 1, k), norm), " ")
 
 
 def common_prefix(a: Column, b: Column) -> Column:

@@ -19,17 +19,33 @@ def number_globally(rows: DataFrame, order: list[str], name: str = "rank") -> Da
     return dealt.withColumn(name, nth).join(F.broadcast(starts), "_range").withColumn(name, (F.col(name) + F.col("_start")).cast("long")).drop("_range", "_start")
 
 
+def number_within(rows: DataFrame, group: list[str], order: list[str], name: str = "nth") -> DataFrame:
+    """1, 2, 3 ... within each group (null is one) in order. Ranges of group and order are numbered in parallel; only a group that goes on over the border of
+    a range, of which there is one a border, needs the numbers of its rows before: a group of a third of all rows is many tasks."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut_lineage(rows.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*group, "_range").agg(F.count("*").alias("_n")).withColumn("_start", F.sum("_n").over(before)).filter("_start > 0")
+    starts = counts.select(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)), F.col("_range").alias("_r"), "_start")  # as many rows as borders
+    same = F.col("_range") == F.col("_r")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    nth = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order))
+    numbered = dealt.withColumn(name, nth).join(F.broadcast(starts), same, "left")
+    return numbered.withColumn(name, (F.col(name) + F.coalesce("_start", F.lit(0))).cast("long")).select(*rows.columns, name)
+
+
 def suffixed(rows: DataFrame, slug: str, order: str, name: str = "unique_slug") -> DataFrame:
     """The first of equal slugs stays, later ones get -1, -2, ..."""
-    nth = F.row_number().over(Window.partitionBy(slug).orderBy(order)) - 1
-    return rows.withColumn(name, F.when(nth == 0, F.col(slug)).otherwise(F.concat_ws("-", F.col(slug), nth.cast("string"))))
+    nth = F.col("_nth") - 1
+    return number_within(rows, [slug], [order], "_nth").withColumn(name, F.when(nth == 0, F.col(slug)).otherwise(F.concat_ws("-", F.col(slug), nth.cast("string")))).drop("_nth")
 
 
 def variant_titles(rows: DataFrame, group: list[str], title: str, order: str, name: str = "variant") -> DataFrame:
     """The first of a group stays bare, the second and third get roman numerals, later ones Arabic numbers."""
-    nth = F.row_number().over(Window.partitionBy(*group).orderBy(order))
+    nth = F.col("_nth")
     sign = F.when(nth == 2, "(II)").when(nth == 3, "(III)").when(nth > 3, F.concat(F.lit("("), nth.cast("string"), F.lit(")")))
-    return rows.withColumn(name, F.concat_ws(" ", title, sign))
+    return number_within(rows, group, [order], "_nth").withColumn(name, F.concat_ws(" ", title, sign)).drop("_nth")
 
 
 def beside_base(rows: DataFrame, base: str, order: str) -> list[Column]:

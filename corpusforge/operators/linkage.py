@@ -94,14 +94,19 @@ def ratio(a: str, b: str, autojunk: bool = False) -> float:
     return SequenceMatcher(None, a, b, autojunk=autojunk).ratio()
 
 
-def aligned_ratio(a: str, b: str, above: float = 0.0) -> float:
-    """ratio(a, b), or 0 as soon as it can't exceed `above`: by letter counts, or by what the parts still to be aligned can add.
-    The largest parts are aligned first, by rows of a table of common runs, which is faster for letters than lists of places."""
+def aligned_ratio(a: str, b: str, above: float = 0.0, autojunk: bool = False) -> float:
+    """ratio(a, b, autojunk), or 0 as soon as it can't exceed `above`: by letter counts, or by what the parts still to be aligned can add.
+    The largest parts are aligned first, by rows of a table of common runs, which is faster for letters than lists of places. With
+    autojunk, letters of more than a hundredth of a b of 200 letters or more begin no run, but runs go on through them; few
+    letters are left then, and difflib's own lists are short."""
     from difflib import SequenceMatcher
 
     total = len(a) + len(b)
     if not total:
         return 1.0
+    if autojunk and len(b) >= 200:
+        matcher = SequenceMatcher(None, a, b)
+        return matcher.ratio() if matcher.real_quick_ratio() > above and matcher.quick_ratio() > above else 0.0
     x, y = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (a, b))
     letters, ids = np.unique(np.concatenate([x, y]), return_inverse=True)
     x, y = ids[: len(x)], ids[len(x) :]
@@ -208,8 +213,8 @@ REMEMBERED = 2000
 class Slots:
     """The slots of one component of titles, in the order of their opening."""
 
-    def __init__(self, cutoff: float, content_cutoff: float, forced: frozenset[str]):
-        self.cutoff, self.content_cutoff, self.forced = cutoff, content_cutoff, forced
+    def __init__(self, cutoff: float, content_cutoff: float, forced: frozenset[str], autojunk: bool = True):
+        self.cutoff, self.content_cutoff, self.forced, self.autojunk = cutoff, content_cutoff, forced, autojunk
         self.first: dict[str, tuple[int, str]] = {}
         self.names: list[str] = []
         self.nearest: dict[str, tuple[int, tuple[float, str]]] = {}
@@ -221,7 +226,7 @@ class Slots:
             return key
         seen, best = self.nearest.get(key, (0, (0.0, "")))
         for name in self.names[seen:]:
-            score = aligned_ratio(name, key, self.cutoff - 1e-9)
+            score = aligned_ratio(name, key, self.cutoff - 1e-9, self.autojunk)
             if score >= self.cutoff:
                 best = max(best, (score, name))
         if len(self.nearest) >= REMEMBERED:
@@ -234,7 +239,7 @@ class Slots:
         if pair not in self.likeness:
             if len(self.likeness) >= REMEMBERED:
                 self.likeness.clear()
-            self.likeness[pair] = 1.0 if content == pair[1] else aligned_ratio(*pair, self.content_cutoff - 1e-9)
+            self.likeness[pair] = 1.0 if content == pair[1] else aligned_ratio(*pair, self.content_cutoff - 1e-9, self.autojunk)
         return self.likeness[pair] >= self.content_cutoff
 
     def place(self, order: int, key: str, content: str) -> str:
@@ -252,13 +257,13 @@ class Slots:
         return name
 
 
-def greedy_merge(rows: DataFrame, order: str, title: str, content: str, cutoff: float = 0.93, content_cutoff: float = 0.5, alias: dict[str, str] | None = None, forced: tuple[str, ...] = ()) -> DataFrame:
+def greedy_merge(rows: DataFrame, order: str, title: str, content: str, cutoff: float = 0.93, content_cutoff: float = 0.5, alias: dict[str, str] | None = None, forced: tuple[str, ...] = (), autojunk: bool = True) -> DataFrame:
     """(order, slot, name): online merging in the order of rows. title is a normalised key (a-z, 0-9); null counts as empty.
 
     A title is first replaced by its alias. It goes to the slot of the closest name of at least cutoff if both contents have a ratio of
     content_cutoff (an empty one has none), without that test if the name is one of `forced`. A title that equals the name but
     not the content goes to name#2, then name#2' and so on; one that is only close opens a slot of its own. slot is the
-    order of the row that opened it.
+    order of the row that opened it. autojunk: ratios as difflib takes them by default, which leaves out the frequent letters of texts of 200 letters or more.
 
     Exact over the whole table: names of different components of close_pairs never meet, so components are merged in parallel.
     Rows of a component are streamed in order; only its slots and a bounded number of ratios are held.
@@ -282,7 +287,7 @@ def greedy_merge(rows: DataFrame, order: str, title: str, content: str, cutoff:
             out = []
             for c, o, k, text in zip(pdf.component, pdf.ord, pdf.key, pdf.content):
                 if c != now:
-                    now, slots = c, Slots(cutoff, content_cutoff, always)
+                    now, slots = c, Slots(cutoff, content_cutoff, always, autojunk)
                 name = slots.place(o, k, text)
                 out.append((o, slots.first[name][0], name))
             yield pd.DataFrame(out, columns=["ord", "slot", "name"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusforge.catalog import query, table
 from corpusforge.functions import text as T
 from corpusforge.functions import titles
-from corpusforge.operators import indexing, linkage, survive
+from corpusforge.operators import indexing, linkage, songs, survive
 from corpusforge.operators.components import connected_components, cut_lineage
 
 CANDIDATES = """w AS (SELECT doc_id, list_filter(string_split_regex(strip_accents(lower(text)), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
@@ -136,7 +136,7 @@ def fuzzy_top1(spark, sf_dir):
 @query()
 def greedy_merge(spark, sf_dir):
     """T5: documents merged in order by first line, which stands for the title, and content signature."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", T.norm(F.substring_index("text", "\n", 1)).alias("title"), T.signature(T.lines(F.col("text"))).alias("content"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", T.norm(F.substring_index("text", "\n", 1)).alias("title"), T.signature(T.lines(F.col("text")), grammar=songs.CHORD, ignore=songs.BETWEEN).alias("content"))
     return linkage.greedy_merge(docs, "doc_id", "title", "content").select("doc_id", "slot")
 
 
