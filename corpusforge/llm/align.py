@@ -3,19 +3,22 @@
 Texts are split before runs of white space where neither vocabulary has a piece that holds the run's first
 character behind another kind of character, so no merge crosses the cut (the byte-level tokenizer's words end there
 as well). Each different segment is tokenised by both and aligned once, whatever the number of texts
-that hold it. Tasks number the segments of a bounded part of their texts; a text is then a list of numbers, and a
-part's dictionary is joined with the alignments and brought to its texts, which are composed from it. Each segment
-is joined once for a part, so a common word is as many rows as there are parts, and texts are never shuffled.
+that hold it. Tasks number the segments of a bounded part of their texts; a text is then a list of numbers. A
+part's dictionary goes to the tasks that hold the segments by their hash, a row for each, and comes back with the alignments;
+texts are composed from it. A common word is one entry for each part, and texts are never shuffled. How many texts hold a pair is
+counted in the same way, by the pair's first id.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +29,8 @@ from .common import Batches, checkpoint, lean, narrow, strings, tune
 
 #: A part is closed once its texts have this many characters; the dictionaries in memory are bounded by it.
 PART_CHARS = 64 << 20
-#: Segments of one row of a dictionary; segments that are tokenised together.
-DICTIONARY_ROW, TOGETHER = 4096, 2048
-CODEC = "zstd"
+#: Segments that are tokenised together; alignments that a task remembers; segments whose links are listed together; pairs that are counted together.
+TOGETHER, MEMO_ENTRIES, SLICE, HELD_PAIRS = 2048, 1 << 20, 1 << 16, 1 << 22
 #: The fixed pattern of byte entries of piece vocabularies, and their sign for a space.
 BYTE_ENTRY, SPACE = re.compile(r"<0x([0-9A-F]{2})>"), "▁"
 WHITE = " \t\n\v\f\r"
@@ -129,55 +131,94 @@ def _shared(documents: DataFrame, byte_vocabulary_path: str, piece_model_path: s
         return documents.sparkSession.sparkContext.broadcast((read_vocabulary(byte_vocabulary_path), f.read()))
 
 
-def coded(documents: DataFrame, shared, id: str, text: str, part_chars: int) -> DataFrame:
-    """Rows of two kinds. Texts: part, id, n (segments), codes (their numbers, compressed; null without text). Dictionaries: part, first, segments."""
+def _pack(values, kind: str = "<u4") -> bytes:
+    return zstandard.compress(np.asarray(values, kind).tobytes(), 1)
+
+
+def _unpack(packed: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed), kind)
+
+
+def _pack_strings(values: list[str]) -> bytes:
+    sizes = np.fromiter(map(len, values), "<u4", len(values))
+    return zstandard.compress(len(values).to_bytes(8, "little") + sizes.tobytes() + "".join(values).encode(), 1)
+
+
+def _unpack_strings(packed: bytes) -> list[str]:
+    block = zstandard.decompress(packed)
+    n = int.from_bytes(block[:8], "little")
+    ends, text = np.cumsum(np.frombuffer(block, "<u4", n, 8)).tolist(), block[8 + 4 * n :].decode()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
+class _Rows:
+    """Record batches of a schema, from rows as tuples."""
+
+    def __init__(self, **types: pa.DataType):
+        self.schema = pa.schema(list(types.items()))
+
+    def of(self, rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[]] * len(self.schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, self.schema)], schema=self.schema)
+
+
+_LONG, _BYTES, _TEXT = pa.int64(), pa.binary(), pa.string()
+
+
+def coded(documents: DataFrame, shared, id: str, text: str, part_chars: int, buckets: int) -> DataFrame:
+    """Rows of two kinds. Texts: part, id, x (the numbers of their segments; null without text). Dictionaries: part, bucket, x (numbers), y (segments)."""
     df = narrow(documents, id=id, text=text)
     key, local = to_arrow_type(df.schema["id"].dataType), {}
-    schema = pa.schema([("part", pa.int64()), ("id", key), ("n", pa.int64()), ("codes", pa.binary()), ("first", pa.int64()), ("segments", pa.list_(pa.string()))])
 
     def run(batches: Batches) -> Batches:
         if "cut" not in local:
             local["cut"] = Aligner(*shared.value).segments
-        codec, cut, k, chars = pa.Codec(CODEC), local["cut"], TaskContext.get().partitionId() << 32, 0
+        out = _Rows(part=_LONG, bucket=_LONG, id=key, x=_BYTES, y=_BYTES)
+        cut, k, chars = local["cut"], TaskContext.get().partitionId() << 32, 0
         index: defaultdict = defaultdict()
         index.default_factory = index.__len__
 
         def dictionary() -> Batches:
             known = list(index)
             index.clear()
-            for first in range(0, len(known), DICTIONARY_ROW):
-                row = {"part": k, "id": None, "n": None, "codes": None, "first": first, "segments": known[first : first + DICTIONARY_ROW]}
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
+            bucket = np.fromiter((zlib.crc32(s.encode()) % buckets for s in known), np.int64, len(known))
+            order = np.argsort(bucket, kind="stable")
+            for at in np.split(order, np.nonzero(np.diff(bucket[order]))[0] + 1) if len(known) else []:
+                yield out.of([(k, int(bucket[at[0]]), None, _pack(at), _pack_strings([known[i] for i in at.tolist()]))])
 
         for batch in batches:
-            ids, n, codes = [], [], []
+            rows = []
             for i, t in zip(batch.column(0), strings(batch, "text")):
-                found = np.array(list(map(index.__getitem__, cut(" " + t))) if t else [], "<u4")
-                ids.append(i.as_py())
-                n.append(len(found))
-                codes.append(codec.compress(found, asbytes=True) if t else None)
+                rows.append((k, None, i.as_py(), _pack(list(map(index.__getitem__, cut(" " + t)))) if t else None, None))
                 chars += len(t or "")
                 if chars >= part_chars:
-                    yield pa.RecordBatch.from_pydict({"part": [k] * len(ids), "id": ids, "n": n, "codes": codes, "first": [None] * len(ids), "segments": [None] * len(ids)}, schema=schema)
+                    yield out.of(rows)
                     yield from dictionary()
-                    ids, n, codes, chars, k = [], [], [], 0, k + 1
-            yield pa.RecordBatch.from_pydict({"part": [k] * len(ids), "id": ids, "n": n, "codes": codes, "first": [None] * len(ids), "segments": [None] * len(ids)}, schema=schema)
+                    rows, chars, k = [], 0, k + 1
+            yield out.of(rows)
         yield from dictionary()
 
-    return df.mapInArrow(lean(run), f"part long, id {df.schema['id'].dataType.simpleString()}, n long, codes binary, first long, segments array<string>")
+    return df.mapInArrow(lean(run), f"part long, bucket long, id {df.schema['id'].dataType.simpleString()}, x binary, y binary")
 
 
-def aligned(segments: DataFrame, shared) -> DataFrame:
-    """(segment, groups) of each different segment."""
+def aligned(dictionaries: DataFrame, shared, buckets: int) -> DataFrame:
+    """Dictionaries with groups in place of segments. All copies of a segment meet in one task, which aligns it once and remembers it."""
     local: dict = {}
 
     def run(batches: Batches) -> Batches:
         if "both" not in local:
             local["both"] = Aligner(*shared.value)
+        out, memo = _Rows(part=_LONG, x=_BYTES, y=_BYTES), {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(local["both"].align_all(strings(batch, "segment")), pa.string())], names=["segment", "groups"])
+            for part, x, y in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                segments = _unpack_strings(y)
+                fresh = [s for s in segments if s not in memo]
+                if len(memo) + len(fresh) > MEMO_ENTRIES:
+                    memo, fresh = {}, segments
+                memo.update(zip(fresh, local["both"].align_all(fresh)))
+                yield out.of([(part, x, _pack_strings([memo[s] for s in segments]))])
 
-    return segments.select("segment").distinct().mapInArrow(lean(run), "segment string, groups string")
+    return dictionaries.repartition(buckets, "bucket").select("part", "x", "y").mapInArrow(lean(run), "part long, x binary, y binary")
 
 
 class Dictionary:
@@ -185,34 +226,44 @@ class Dictionary:
 
     def __init__(self, groups: list[str]):
         self.groups = groups
-        self.good = np.array([g != "" for g in groups], bool)
-        text = np.frombuffer(("\n".join(g for g in groups if g) + "\n").encode(), np.uint8) if self.good.any() else np.empty(0, np.uint8)
+        self.good = np.fromiter((g != "" for g in groups), bool, len(groups))
+        self.n_a, self.n_b, self.n_groups, self.n_links, sizes = np.zeros((5, len(groups)), np.int64)
+        slices = [self._links(k, min(k + SLICE, len(groups)), sizes) for k in range(0, len(groups), SLICE)]
+        none = np.empty(0, np.int64)
+        self.pairs = np.unique(np.concatenate([p for p, _, _ in slices] or [none]))
+        self.at = np.concatenate([np.searchsorted(self.pairs, p).astype(np.uint32)[i] for p, i, _ in slices] or [none])
+        self.times = np.concatenate([t for _, _, t in slices] or [none])
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+
+    def _links(self, low: int, high: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the segments from low to high: their different pairs, and for each segment and pair of its links the pair's number and how many links."""
+        here = low + np.nonzero(self.good[low:high])[0]
+        if not len(here):
+            return np.empty(0, np.int64), np.empty(0, np.uint32), np.empty(0, np.uint32)
+        text = np.frombuffer(("\n".join(self.groups[i] for i in here.tolist()) + "\n").encode(), np.uint8)
         ends = np.nonzero((text < 48) | (text > 57))[0]
-        starts, sign = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)[: len(ends)], text[ends]
-        value, longest = np.zeros(len(ends), np.int64), int((ends - starts).max(initial=0))
-        for k in range(longest):
+        starts, sign = np.concatenate([[0], ends[:-1] + 1]), text[ends]
+        value = np.zeros(len(ends), np.int64)
+        for k in range(int((ends - starts).max())):
             there = starts + k < ends
             value[there] = value[there] * 10 + text[starts[there] + k] - 48
         closes, before = (sign == ord(";")) | (sign == ord("\n")), lambda hit: np.cumsum(hit) - hit
         group, row = before(closes), before(sign == ord("\n"))
         second = before(sign == ord("|")) > group  # behind the bar of its group
         n_groups = int(closes.sum())
-        self.a, self.b = value[~second], value[second]
-        in_a, in_b = np.bincount(group[~second], minlength=n_groups), np.bincount(group[second], minlength=n_groups)
-        owner = np.nonzero(self.good)[0][row[closes]]  # of each group
-        total = lambda weights: np.bincount(owner, weights, len(groups)).astype(np.int64)
-        self.n_a, self.n_b, self.n_groups, self.n_links = total(in_a), total(in_b), total(np.ones(n_groups)), total(in_a * in_b)
+        a, b, first_group = value[~second], value[second], group[~second]
+        in_a, in_b = np.bincount(first_group, minlength=n_groups), np.bincount(group[second], minlength=n_groups)
+        owner = here[row[closes]]  # of each group
+        for total, weights in ((self.n_a, in_a), (self.n_b, in_b), (self.n_groups, np.ones(n_groups)), (self.n_links, in_a * in_b)):
+            total[low:high] = np.bincount(owner - low, weights, high - low)
         # Every token of a group's first side with every one of its second.
-        times = in_b[group[~second]]
-        left = np.repeat(np.arange(len(self.a)), times)
+        times = in_b[first_group]
+        left = np.repeat(np.arange(len(a)), times)
         nth = np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
-        first_b = np.cumsum(in_b) - in_b
-        link_group = group[~second][left]
-        pair, seg = self.a[left] << 32 | self.b[first_b[link_group] + nth], owner[link_group]
-        self.pairs, at = np.unique(pair, return_inverse=True)
-        both, self.times = np.unique(seg * max(1, len(self.pairs)) + at, return_counts=True)  # links of one pair within a segment are one entry
-        self.at = both % max(1, len(self.pairs))
-        self.begin = np.searchsorted(both // max(1, len(self.pairs)), np.arange(len(groups) + 1))
+        pairs, at = np.unique(a[left] << 32 | b[(np.cumsum(in_b) - in_b)[first_group[left]] + nth], return_inverse=True)
+        entries, n = np.unique((owner[first_group[left]] - low) * len(pairs) + at, return_counts=True)  # links of one pair within a segment are one entry
+        sizes[low:high] = np.bincount(entries // len(pairs), minlength=high - low)
+        return pairs, (entries % len(pairs)).astype(np.uint32), n.astype(np.uint32)
 
     def links(self, segments: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs (by number) that segments, each so many times, link, and how many links each has."""
@@ -222,36 +273,123 @@ class Dictionary:
         return pairs, np.bincount(at, np.repeat(counts, size) * self.times[entry], len(pairs)).astype(np.int64)
 
 
-def composed(texts: DataFrame, dictionaries: DataFrame, kind: str) -> DataFrame:
-    """Rows of two kinds. Texts: part, id, their numbers and groups_sha256, pairs and times (compressed). Pairs of a part: part, a, b, n (texts that link them)."""
-    key, four = to_arrow_type(texts.schema["id"].dataType), ["n_a", "n_b", "n_groups", "n_links"]
-    schema = pa.schema([("part", pa.int64()), ("id", key), *((c, pa.int64()) for c in four), ("groups_sha256", pa.string()), ("n", pa.int64()), ("pairs", pa.binary()), ("times", pa.binary()), *((c, pa.list_(pa.int64())) for c in ("a", "b", "in_texts"))])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        codec, out = pa.Codec(CODEC), {c: [] for c in schema.names[1:10]}
-        right = right.sort_by("at")
-        known, held = Dictionary(right.column("groups").to_pylist()), None
-        held = np.zeros(len(known.pairs), np.int64)
-        for i, n, packed in zip(*(left.column(c) for c in ("id", "n", "codes"))):
-            codes = np.frombuffer(codec.decompress(packed.as_py(), 4 * n.as_py(), asbytes=True), "<u4") if packed.is_valid else np.empty(0, "<u4")
-            used, counts = np.unique(codes, return_counts=True)
-            whole = len(codes) > 0 and bool(known.good[used].all())
-            pairs, times = known.links(used, counts) if whole else (np.empty(0, np.int64), np.empty(0, np.int64))
-            held[pairs] += 1
-            row = [i.as_py(), *(int((getattr(known, c)[used] * counts).sum()) if whole else 0 for c in four)]
-            row += [hashlib.sha256(";".join(map(known.groups.__getitem__, codes.tolist())).encode()).hexdigest() if whole else ""]
-            row += [len(pairs), codec.compress(pairs.astype("<u4"), asbytes=True), codec.compress(times.astype("<u4"), asbytes=True)]
-            for c, x in zip(out, row):
-                out[c].append(x)
-        size = len(out["id"])
-        part = (left.column("part") if len(left) else right.column("of_part"))[0].as_py()
-        rows = pa.Table.from_pydict({"part": [part] * size, **out, "a": [None] * size, "b": [None] * size, "in_texts": [None] * size}, schema=schema)
-        last = {"part": [part], **{c: [None] for c in out}, "a": [known.pairs >> 32], "b": [known.pairs & 0xFFFFFFFF], "in_texts": [held]}
-        return pa.concat_tables([rows, pa.Table.from_pydict(last, schema=schema)])
-
-    longs = ", ".join(f"{c} long" for c in four)
-    out = f"part long, id {kind}, {longs}, groups_sha256 string, n long, pairs binary, times binary, a array<long>, b array<long>, in_texts array<long>"
-    return texts.groupBy("part").cogroup(dictionaries.groupBy("of_part")).applyInArrow(run, out)
+def _by_key(batches: Batches, columns: list[str]):
+    """(key, kind, rows) of runs of rows sorted by key and kind; a long run comes in several pieces."""
+    for batch in batches:
+        rows = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ["key", "kind", *columns])))
+        k = 0
+        while k < len(rows):
+            end = k
+            while end < len(rows) and rows[end][:2] == rows[k][:2]:
+                end += 1
+            yield rows[k][0], rows[k][1], [r[2:] for r in rows[k:end]]
+            k = end
+
+
+FOUR = ["n_a", "n_b", "n_groups", "n_links"]
+
+
+def composed(texts: DataFrame, dictionaries: DataFrame, buckets: int) -> DataFrame:
+    """Rows of two kinds. Texts: part, id, their numbers and groups_sha256, x (pairs by number) and y (links of each). Pairs of a part: part, bucket,
+    x (their numbers), y (the pairs), z (how many texts of the part link them)."""
+    key, kind = to_arrow_type(texts.schema["id"].dataType), texts.schema["id"].dataType.simpleString()
+    known = dictionaries.select(F.col("part").alias("key"), F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("id"), "x", "y")
+    rows = known.unionAll(texts.select(F.col("part").alias("key"), F.lit(1), "id", "x", F.lit(None).cast("binary")))
+
+    def run(batches: Batches) -> Batches:
+        out = _Rows(part=_LONG, bucket=_LONG, id=key, **dict.fromkeys(FOUR, _LONG), groups_sha256=_TEXT, x=_BYTES, y=_BYTES, z=_BYTES)
+        part, heads, book, held = None, [], None, None
+
+        def close() -> Batches:
+            if book is None:
+                return
+            bucket = (book.pairs >> 32) % buckets
+            order = np.argsort(bucket, kind="stable")
+            for at in np.split(order, np.nonzero(np.diff(bucket[order]))[0] + 1) if len(order) else []:
+                yield out.of([(part, int(bucket[at[0]]), *[None] * 6, _pack(at), _pack(book.pairs[at], "<u8"), _pack(held[at]))])
+
+        for now, kind, some in _by_key(batches, ["id", "x", "y"]):
+            if now != part:
+                yield from close()
+                part, heads, book = now, [], None
+            if kind == 0:
+                heads += [(x, y) for _, x, y in some]
+                continue
+            if book is None:
+                at = [_unpack(x) for x, _ in heads]
+                listed = np.empty(sum(map(len, at)), object)
+                for a, (_, y) in zip(at, heads):
+                    listed[a] = _unpack_strings(y)
+                heads, book = [], Dictionary(listed.tolist())
+                held = np.zeros(len(book.pairs), np.int64)
+            done = []
+            for i, x, _ in some:
+                codes = _unpack(x) if x is not None else np.empty(0, "<u4")
+                used, counts = np.unique(codes, return_counts=True)
+                if len(codes) and book.good[used].all():
+                    pairs, times = book.links(used, counts)
+                    held[pairs] += 1
+                    sha = hashlib.sha256(";".join(map(book.groups.__getitem__, codes.tolist())).encode()).hexdigest()
+                    done.append((part, None, i, *(int((getattr(book, c)[used] * counts).sum()) for c in FOUR), sha, _pack(pairs), _pack(times), None))
+                else:
+                    done.append((part, None, i, 0, 0, 0, 0, "", None, None, None))
+            yield out.of(done)
+        yield from close()
+
+    longs = ", ".join(f"{c} long" for c in FOUR)
+    return rows.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), f"part long, bucket long, id {kind}, {longs}, groups_sha256 string, x binary, y binary, z binary")
+
+
+def counted(pairs: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket: x (pairs, rising), y (how many texts link each), z (whether that is the most of its first id). All pairs of an id share a bucket."""
+    def run(batches: Batches) -> Batches:
+        out = _Rows(bucket=_LONG, x=_BYTES, y=_BYTES, z=_BYTES)
+        bucket, held, size = None, [], 0
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            listed, at = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+            return listed, np.bincount(at, np.concatenate([n for _, n in held]), len(listed)).astype("<u8")
+
+        def close() -> Batches:
+            if held:
+                listed, n = summed()
+                first = np.concatenate([[True], (listed[1:] >> np.uint64(32)) != (listed[:-1] >> np.uint64(32))])
+                top = np.maximum.reduceat(n, np.nonzero(first)[0])[np.cumsum(first) - 1]
+                yield out.of([(bucket, _pack(listed, "<u8"), _pack(n, "<u8"), _pack(n == top, "u1"))])
+
+        for now, _, some in _by_key(batches, ["y", "z"]):
+            if now != bucket:
+                yield from close()
+                bucket, held, size = now, [], 0
+            for y, z in some:
+                held.append((_unpack(y, "<u8"), _unpack(z)))
+                size += len(held[-1][0])
+                if size >= HELD_PAIRS:
+                    held = [summed()]
+                    size = 0
+        yield from close()
+
+    rows = pairs.select(F.col("bucket").alias("key"), F.lit(0).alias("kind"), "y", "z")
+    return rows.repartition(buckets, "key").sortWithinPartitions("key").mapInArrow(lean(run), "bucket long, x binary, y binary, z binary")
+
+
+def valued(pairs: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """Pairs of a part with their counts: part, x (their numbers), y (counts), z (whether the most of their first id)."""
+    empty = F.lit(None).cast("binary")
+    rows = counts.select(F.col("bucket").alias("key"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("part"), "x", "y", "z")
+    rows = rows.unionAll(pairs.select(F.col("bucket").alias("key"), F.lit(1), "part", "x", "y", empty))
+
+    def run(batches: Batches) -> Batches:
+        out, listed, n, best = _Rows(part=_LONG, x=_BYTES, y=_BYTES, z=_BYTES), None, None, None
+        for _, kind, some in _by_key(batches, ["part", "x", "y", "z"]):
+            for part, x, y, z in some:
+                if kind == 0:
+                    listed, n, best = _unpack(x, "<u8"), _unpack(y, "<u8"), _unpack(z, "u1")
+                else:
+                    at = np.searchsorted(listed, _unpack(y, "<u8"))
+                    yield out.of([(part, x, _pack(n[at], "<u8"), _pack(best[at], "u1"))])
+
+    return rows.repartition(buckets, "key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), "part long, x binary, y binary, z binary")
 
 
 def align(documents: DataFrame, byte_vocabulary_path: str, piece_model_path: str, id: str = "doc_id", text: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
@@ -263,34 +401,41 @@ def align(documents: DataFrame, byte_vocabulary_path: str, piece_model_path: str
     not kept byte for byte by both have no tokens: zeros and ''. Very long texts are segments like others; a text without white space is one
     segment. Repeated rows are a text each. An empty table gives an empty result; further columns are ignored.
     """
-    tune(documents.sparkSession)
-    shared = _shared(documents, byte_vocabulary_path, piece_model_path)
-    rows = checkpoint(coded(documents, shared, id, text, part_chars))
-    kind = rows.schema["id"].dataType.simpleString()
-    listed = rows.filter("segments IS NOT NULL").select("part", "first", F.posexplode("segments").alias("nth", "segment")).select("part", (F.col("first") + F.col("nth")).alias("at"), "segment")
-    dictionaries = listed.join(aligned(listed, shared), "segment").select(F.col("part").alias("of_part"), "at", "groups")
-    texts = rows.filter("segments IS NULL").select("part", "id", "n", "codes")
-    done = checkpoint(composed(texts, dictionaries, kind))
-
-    pairs = done.filter("a IS NOT NULL").select("part", F.posexplode(F.arrays_zip("a", "b", "in_texts")).alias("at", "x")).select("part", "at", "x.a", "x.b", F.col("x.in_texts").alias("n"))
-    counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("count"))
-    top = counts.groupBy("a").agg(F.max("count").alias("top"))  # at most as many rows as the first vocabulary has ids
-    counts = counts.join(F.broadcast(top), "a").select("a", "b", "count", (F.col("count") == F.col("top")).alias("best"))
-    valued = pairs.join(counts, ["a", "b"]).select(F.col("part").alias("of_part"), "at", "count", "best")
-    results = done.filter("a IS NULL").drop("a", "b", "in_texts")
-    key, kept = to_arrow_type(results.schema["id"].dataType), ["id", "n_a", "n_b", "n_groups", "n_links"]
-    schema = pa.schema([("id", key), *((c, pa.int64()) for c in [*kept[1:], "n_best", "count_sum"]), ("groups_sha256", pa.string())])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        codec, right = pa.Codec(CODEC), right.sort_by("at")
-        count, best = right.column("count").to_numpy(), right.column("best").to_numpy()
-        n_best, count_sum = [], []
-        for n, *packed in zip(*(left.column(c).to_pylist() for c in ("n", "pairs", "times"))):
-            at, times = (np.frombuffer(codec.decompress(x, 4 * n, asbytes=True), "<u4").astype(np.int64) for x in packed)
-            n_best.append(int(times[best[at]].sum()))
-            count_sum.append(int((times * count[at]).sum()))
-        columns = [*(left.column(c) for c in kept), pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()), left.column("groups_sha256")]
-        return pa.Table.from_arrays(columns, schema=schema)
-
-    longs = ", ".join(f"{c} long" for c in [*kept[1:], "n_best", "count_sum"])
-    return results.groupBy("part").cogroup(valued.groupBy("of_part")).applyInArrow(run, f"id {kind}, {longs}, groups_sha256 string").withColumnRenamed("id", id)
+    spark = documents.sparkSession
+    tune(spark)
+    shared, buckets = _shared(documents, byte_vocabulary_path, piece_model_path), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = checkpoint(coded(documents, shared, id, text, part_chars, buckets))
+    books = aligned(rows.filter("bucket IS NOT NULL").select("part", "bucket", "x", "y"), shared, buckets)
+    done = checkpoint(composed(rows.filter("bucket IS NULL").select("part", "id", "x"), books, buckets))
+    pairs = done.filter("bucket IS NOT NULL").select("part", "bucket", "x", "y", "z")
+    values = valued(pairs.drop("z"), counted(pairs, buckets), buckets)
+
+    texts = done.filter("bucket IS NULL")
+    key, kind = to_arrow_type(texts.schema["id"].dataType), texts.schema["id"].dataType.simpleString()
+    none = [F.lit(None).cast(t).alias(c) for c, t in [("id", kind), *((c, "long") for c in FOUR), ("groups_sha256", "string")]]
+    heads = values.select(F.col("part").alias("key"), F.lit(0).alias("kind"), *none, "x", "y", "z")
+    both = heads.unionAll(texts.select(F.col("part").alias("key"), F.lit(1), "id", *FOUR, "groups_sha256", "x", "y", "z"))
+
+    def run(batches: Batches) -> Batches:
+        out = _Rows(id=key, **dict.fromkeys([*FOUR, "n_best", "count_sum"], _LONG), groups_sha256=_TEXT)
+        part, held, n, best = None, [], None, None
+        for now, kind, some in _by_key(batches, ["id", *FOUR, "groups_sha256", "x", "y", "z"]):
+            if now != part:
+                part, held, n = now, [], None
+            if kind == 0:
+                held += [(_unpack(x), _unpack(y, "<u8"), _unpack(z, "u1")) for *_, x, y, z in some]
+                continue
+            if n is None:
+                size = sum(len(x) for x, _, _ in held)
+                n, best = np.zeros(size, np.int64), np.zeros(size, bool)
+                for x, y, z in held:
+                    n[x], best[x] = y, z > 0
+                held = []
+            done = []
+            for i, *four, sha, x, y, _ in some:
+                pairs, times = (_unpack(x), _unpack(y).astype(np.int64)) if x is not None else (np.empty(0, np.uint32), np.empty(0, np.int64))
+                done.append((i, *four, int(times[best[pairs]].sum()), int((times * n[pairs]).sum()), sha))
+            yield out.of(done)
+
+    longs = ", ".join(f"{c} long" for c in [*FOUR, "n_best", "count_sum"])
+    return both.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), f"id {kind}, {longs}, groups_sha256 string").withColumnRenamed("id", id)
