@@ -146,9 +146,67 @@ def chord_list(body: Column, grammar: str, between: str | None = None) -> Column
     return let(found, collapse_runs)
 
 
-def lookup_keys(chord: Column) -> Column:
-    """Spellings to try in order: as written, without bass, with the other name of the root, with a plainer quality."""
-    p, q = pitch_class(root(chord)), quality(chord)
-    plain = F.regexp_replace(q, r"(?:maj|add|sus)?\d+$", "")
-    names = [chord, F.concat(root(chord), q), F.concat(note(p, F.lit(False)), q), F.concat(note(p, F.lit(True)), q), F.concat(note(p, F.lit(False)), plain), F.concat(note(p, F.lit(True)), plain)]
-    return F.array_distinct(F.filter(F.array(*names), lambda x: x.isNotNull()))
+def tidy(chord: Column) -> Column:
+    """Without the signs around a chord, its root under the sharp name; shorthands of whole chords are written out. The bass stays."""
+    bare = F.regexp_replace(F.regexp_replace(chord, r"^[()]+|[()]+$", ""), r"[:.]+$", "")
+    low, name = F.regexp_extract(bare, r"^[^/]*(/.*)$", 1), F.substring_index(bare, "/", 1)
+    first, rest = F.regexp_extract(name, ROOT, 1), _after_root(name)
+    known = F.element_at(_map(SHORTHANDS), name)
+    return F.when(first == "", bare).otherwise(F.concat(F.coalesce(known, F.concat(F.coalesce(F.element_at(_map(SHORTHANDS), first), first), rest)), low))
+
+
+#: Other names of roots and of minor chords, and shorthands of the sources; fixed values.
+SHORTHANDS = {
+    "Db": "C#", "Eb": "D#", "Gb": "F#", "Ab": "G#", "Bb": "A#", "Dbm": "C#m", "Ebm": "D#m", "Gbm": "F#m", "Abm": "G#m", "Bbm": "A#m",
+    "Cb": "B", "Fb": "E", "E#": "F", "B#": "C", "Cm#": "C#m", "Fm#": "F#m", "CaddG": "C",
+}
+#: X/4 and X7/4, what stands for a suspended fourth; a root with one digit; a diminished or augmented chord. Fixed patterns.
+FOURTH, DIGIT, BENT = r"^([A-G]#?)([0-9]*)/4$", r"^([A-G]#?)([0-9])$", r"^([A-G]#?m?)(?:dim|aug|\+)([0-9]*)$"
+
+
+def _plainer(base: Column) -> Column:
+    """What a chord without a bass may be played as: a fifth as the major chord, a fourth as the suspended one, a diminished or augmented one as the diminished
+    seventh or the triad, any other plus as augmented or without it."""
+    none = F.array().cast("array<string>")
+    digit, bent = F.regexp_extract(base, DIGIT, 2), F.regexp_extract(base, BENT, 1)
+    short = F.regexp_replace(base, r"\+$", "")
+    return (
+        F.when(digit == "5", F.array(F.regexp_extract(base, DIGIT, 1))).when(digit == "4", F.array(F.concat(F.regexp_extract(base, DIGIT, 1), F.lit("sus4"))))
+        .when(bent != "", F.array(F.concat(bent, F.lit("dim7")), bent)).when(F.endswith(base, F.lit("+")), F.array(F.concat(short, F.lit("aug")), short)).otherwise(none)
+    )
+
+
+def guitar_keys(chord: Column) -> Column:
+    """Names to look a chord up under, in order: tidied, X/4 as suspended and nothing else, without its bass, plainer."""
+    def keys(t: Column) -> Column:
+        fourth = F.regexp_extract(t, FOURTH, 1)
+        base = F.substring_index(t, "/", 1)
+        return F.when(fourth != "", F.array(t, F.concat(fourth, F.regexp_extract(t, FOURTH, 2), F.lit("sus4")))).otherwise(F.concat(F.array(t, base), _plainer(base)))
+
+    return F.array_distinct(let(tidy(chord), keys))
+
+
+def ukulele_keys(chord: Column) -> Column:
+    """As written, X/4 as suspended and nothing else, without its bass, a fourth as suspended, a diminished chord as its seventh."""
+    def keys(t: Column) -> Column:
+        none = F.array().cast("array<string>")
+        fourth, base = F.regexp_extract(t, FOURTH, 1), F.substring_index(t, "/", 1)
+        four = F.regexp_extract(t, r"^([A-G][#b]?(?:m|maj|dim|aug)?)4$", 1)
+        more = F.concat(F.array(t, base), F.when(four != "", F.array(F.concat(four, F.lit("sus4")))).otherwise(none), F.when(F.endswith(base, F.lit("dim")), F.array(F.concat(base, F.lit("7")))).otherwise(none))
+        return F.when(fourth != "", F.array(t, F.concat(fourth, F.regexp_extract(t, FOURTH, 2), F.lit("sus4")))).otherwise(more)
+
+    return F.array_distinct(let(chord, keys))
+
+
+def catalogue_keys(chord: Column) -> Column:
+    """Tidied, without its bass, plainer; then the same under the flat name of the root."""
+    def tried(t: Column) -> Column:
+        base = F.substring_index(t, "/", 1)
+        return F.concat(F.array(t, base), _plainer(base))
+
+    def keys(t: Column) -> Column:
+        first = F.regexp_extract(t, r"^([A-G]#)", 1)
+        flat = F.concat(note(pitch_class(first), F.lit(True)), F.substring(t, F.lit(3), F.length(t)))
+        return F.when(first != "", F.concat(tried(t), let(flat, tried))).otherwise(tried(t))
+
+    return F.array_distinct(let(tidy(chord), keys))

@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import pitch
-from corpusforge.functions.text import all_tokens, base_title, comma_below, fold, let, mark_repeats, norm, sort_key
+from corpusforge.functions.text import all_tokens, base_title, comma_below, fold, let, mark_repeats, norm_spaced, sort_key
 from corpusforge.session import small
 
+from .folds import fold as running
 from .folds import place, tokens
 from .indexing import merged_index, number_globally
 from .lines import carry_forward, fences, gap_to_previous, islands
+from .survive import majority
 
 #: One grammar of symbol tokens, a fixed value: root, quality, bass, and what may stand between chords.
 CHORD = r"^\(?[A-G][#b]?(?:m|maj|min|dim|aug|sus|add|M)?\d*(?:sus\d|add\d+|[#b]\d+)*(?:/[A-G][#b]?)?\)?$"
@@ -25,12 +27,15 @@ def is_chord_line(line: Column) -> Column:
     return all_tokens(line, CHORD, BETWEEN)
 
 
-def row_kinds(rows: DataFrame, partition: str, order: str) -> DataFrame:
-    """Kind of each row: blank, tab, chords before a lyric (pair), chords alone (interlude), the lyric of a pair (paired) or plain."""
+def row_kinds(rows: DataFrame, partition: str, order: str, fence: str | None = None) -> DataFrame:
+    """Kind of each row: tab and prose by the fence they stand in (a column of tab, prose or text; without one, all are text), blank, a row of symbols over a lyric (pair),
+    one alone (interlude), the lyric of a pair (paired), a lyric with symbols of its own (inline) or plain."""
     w = Window.partitionBy(partition).orderBy(order)
-    base = F.when(F.trim("line") == "", "blank").when(F.col("line").rlike(r"^[A-Ge]?\|?[-\d|hpb/\\~x ]{6,}$"), "tab").when(is_chord_line(F.col("line")), "chord").otherwise("plain")
+    inside = F.when(F.col(fence).isin("tab", "prose"), F.col(fence)) if fence else F.lit(None).cast("string")
+    base = F.coalesce(inside, F.when(F.trim("line") == "", "blank").when(is_chord_line(F.col("line")), "symbols").otherwise("lyric"))
     r = rows.withColumn("_k", base).withColumn("_n", F.lead(base).over(w)).withColumn("_p", F.lag(base).over(w))
-    kind = F.when((F.col("_k") == "chord") & (F.col("_n") == "plain"), "pair").when(F.col("_k") == "chord", "interlude").when((F.col("_k") == "plain") & (F.col("_p") == "chord"), "paired").otherwise(F.col("_k"))
+    lyric = F.when(F.col("_p") == "symbols", "paired").when(F.size(inline_tokens(F.col("line"))) > 0, "inline").otherwise("plain")
+    kind = F.when(F.col("_k") == "symbols", F.when(F.col("_n") == "lyric", "pair").otherwise("interlude")).when(F.col("_k") == "lyric", lyric).otherwise(F.col("_k"))
     return r.withColumn("kind", kind).drop("_k", "_n", "_p")
 
 
@@ -64,7 +69,7 @@ def compose_marks(text: Column, table: dict[tuple[str, str], str]) -> Column:
 
 #: Signs in front of a verse that move to a line of their own, and bracketed symbols within lines, fixed patterns.
 VERSE_SIGN = r"^(?:\d{1,2}\.(?!\d)|R\d?\s?:|(?i:refren)(?:\s*[xX]\s*\d+)?\s*:)\s*"
-BRACKETED = r"\[\(?[A-G][^\]]*\]|\[(?i:no chords?|n\.c\.|nc|riff(?: [^\]]*)?|solo)\]"
+BRACKETED = r"\[(?:\([A-G][^\]]*\)|[A-G][^\]]*)\]|\[(?i:no chords?|n\.c\.|nc|riff(?: [^\]]*)?|solo)\]"
 
 
 def align_rows(rows: DataFrame, partition: list[str], order: str) -> DataFrame:
@@ -99,14 +104,25 @@ def hoist_marker(line: Column, marker: str = r"\[(?:Refren|Chorus|Bridge)\]") ->
 
 
 def inline_tokens(line: Column) -> Column:
-    """array<struct<col, label>> of bracketed labels, whose columns count the text without labels."""
-    pieces = F.split(line, r"(?=\[)|(?<=\])")
-    step = lambda acc, p: F.when(
-        p.rlike(r"^\[[^\]]+\]$"),
-        F.struct(acc["at"].alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("col"), F.substring(p, F.lit(2), F.length(p) - 2).alias("label")))).alias("out")),
-    ).otherwise(F.struct((acc["at"] + F.length(p)).alias("at"), acc["out"].alias("out")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<col:int,label:string>>").alias("out"))
-    return F.aggregate(pieces, start, step)["out"]
+    """array<struct<col, label>> of a line's bracketed chords, markers (as they are shown) and signs of repetition (/); columns count the line without them.
+    Other brackets are text."""
+    token = rf"(?:{BRACKETED}|\^)"
+
+    def label(found: Column) -> Column:
+        inner = F.substring(found, F.lit(2), F.length(found) - 2)
+        return F.when(found == "^", "/").when(is_mark(inner), mark_label(inner)).otherwise(inner)
+
+    def step(at: Column, piece: Column) -> tuple[Column, Column]:
+        col = at + F.length(piece["gap"])
+        return col, F.when(piece["found"].isNotNull(), F.array(F.struct(col.alias("col"), label(piece["found"]).alias("label")))).otherwise(F.array().cast("array<struct<col:int,label:string>>"))
+
+    pieces = F.arrays_zip(F.split(line, token).alias("gap"), F.regexp_extract_all(line, F.lit(f"({token})"), 1).alias("found"))
+    return running(pieces, F.lit(0), step, "int", "struct<col:int,label:string>")["out"]
+
+
+def without_inline(line: Column) -> Column:
+    """The line that inline_tokens counts columns of."""
+    return F.regexp_replace(line, rf"{BRACKETED}|\^", "")
 
 
 def edit_keeping_labels(line: str, edit: Callable[[str], str]) -> str:
@@ -151,16 +167,16 @@ def quality_score(hearts: Column, rating: Column, count: Column) -> Column:
     return F.coalesce(hearts.cast("double"), zero) + F.coalesce(rating * count, zero)
 
 
-def best_links(tabs: DataFrame, index: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Of each (artist, title) the link of the best score (then ratings, favourites, smaller id) under its richest spelling, merged into
-    an index (key, artist) in order of folded names. tabs(artist, title, href, id, favourites, rating, ratings), aliases(alias, target)."""
-    marks = F.length("title") - F.length(norm(F.col("title")))
-    score = quality_score(F.col("favourites"), F.col("rating"), F.col("ratings"))
-    keyed = tabs.withColumn("key", norm(F.col("artist"))).join(small(aliases.select(F.col("alias").alias("key"), "target")), "key", "left").withColumn("key", F.coalesce("target", "key"))
-    best = keyed.groupBy("key", norm(F.col("title")).alias("t")).agg(
-        F.max_by("href", F.struct(score, "ratings", "favourites", -F.col("id"))).alias("href"),
-        F.max_by("title", F.struct(F.regexp_count("title", F.lit(r"[^\x00-\x7f]")), -marks, -F.col("id"))).alias("title"),
-    )
+def best_links(tabs: DataFrame, index: DataFrame, aliases: DataFrame, marks: str = "[ăâîșțĂÂÎȘȚ]") -> DataFrame:
+    """Of each (artist, title) the link of the best score (then ratings, favourites, smaller id) under its spelling with the most marks (smaller id of equals), merged into
+    an index (key, artist). Names compare folded, with gaps between words; figures that are null count as 0. place: by key and folded title.
+    tabs(artist, title, href, id, favourites, rating, ratings), aliases(alias, target)."""
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    score = zero("favourites") + zero("rating") * zero("ratings")
+    keyed = tabs.withColumn("key", norm_spaced(F.col("artist"))).join(small(aliases.select(F.col("alias").alias("key"), "target")), "key", "left").withColumn("key", F.coalesce("target", "key"))
+    best = keyed.groupBy("key", norm_spaced(F.col("title")).alias("t")).agg(
+        F.max_by("href", F.struct(score, zero("ratings"), zero("favourites"), -F.col("id"))).alias("href"), F.max_by("title", F.struct(F.regexp_count("title", F.lit(marks)), -F.col("id"))).alias("title"),
+    )
     merged = merged_index(index.select("key", "artist"), best.select("key").distinct(), "key")
     return number_globally(merged.select("key", "artist", "side").join(best, "key", "left"), ["key", "t"], "place")
 
@@ -169,7 +185,7 @@ def regroup(items: DataFrame, sections: DataFrame, key: str) -> DataFrame:
     """Items in the order of their sections and folded titles, numbered; an item without a section is an error."""
     joined = items.join(small(sections.select(key, "part", "sub")), key, "left")
     checked = joined.withColumn("part", F.coalesce("part", F.raise_error(F.concat(F.lit("no section for "), F.col(key).cast("string"))).cast("string")))
-    return number_globally(checked.withColumn("fold", norm(F.col("title"))), ["part", "sub", "fold", key], "number").drop("fold")
+    return number_globally(checked.withColumn("fold", sort_key(F.col("title"))), ["part", "sub", "fold", key], "number").drop("fold")
 
 
 # -- predicates and tokens of lines -----------------------------------------------------------------------------------------
@@ -294,16 +310,20 @@ def plan_report(items: DataFrame, pairs: DataFrame, components: DataFrame, merge
 NUMERALS = ["I", "II", "III", "IV", "V", "VI"]
 
 
-def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, priority: Column) -> DataFrame:
+def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, priority: Column, first: str, always: object = None) -> DataFrame:
     """Items (id, src, title, part, artist, page) after the merge: those kept, under their group's base title with a numeral where
-    several are left, in the part their group agrees on (`majority`, T8), with the first artist of the group that is not null, the
-    places of what was merged into them (also), and their number by part and folded title. dropped(dropped, kept), components(node, component),
-    priority: rank of a source, lowest first. A seventh variant is an error, as there are six numerals."""
+    several are left, with the places of what was merged into them (also), and their number by part and folded title. dropped(dropped, kept),
+    components(node, component), priority: rank of a source, lowest first.
+
+    T8: a group's part is `always` if a member has it, else that of its first member (by id) of source `first`, else the most frequent one, the earliest of equals. An
+    item of source `first` takes the artist of the first member of another source that has one, over its own; others keep theirs. A
+    seventh variant is an error, as there are six numerals."""
     grouped = items.join(components.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("_rank", priority)
-    place = F.struct("_rank", "title", "id")
-    counts = grouped.filter("component is not null").groupBy("component", "part").agg(F.count("*").alias("n"), F.min(F.struct("_rank", "id")).alias("at"))
-    agreed = counts.groupBy("component").agg(F.max_by("part", F.struct("n", -F.col("at._rank"), -F.col("at.id"))).alias("_part"))
-    artist = grouped.groupBy("component").agg(F.min_by("artist", F.when(F.col("artist").isNotNull(), place)).alias("_artist")).filter("component is not null")
+    members = grouped.filter("component is not null")
+    ahead = F.when(F.max(F.col("part").eqNullSafe(F.lit(always)) if always is not None else F.lit(False)), F.lit(always)).otherwise(F.min_by("part", F.when(F.col("src") == first, F.col("id"))))
+    artist = F.min_by("artist", F.when((F.col("src") != first) & F.col("artist").isNotNull(), F.col("id")))
+    told = members.groupBy("component").agg(ahead.alias("_ahead"), artist.alias("_artist"))
+    agreed = told.join(majority(members, "component", "part", "id"), "component", "left").select("component", F.coalesce("_ahead", "chosen").alias("_part"), "_artist")
     left = grouped.join(dropped.select(F.col("dropped").alias("id")), "id", "left_anti")
     w = Window.partitionBy("component").orderBy("_rank", "title", "id")  # a group of readings of one song
     whole = Window.partitionBy("component")
@@ -312,6 +332,7 @@ def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, pri
     numeral = F.coalesce(F.get(F.array(*map(F.lit, NUMERALS)), F.col("_nth") - 1), F.raise_error(F.lit("more variants than numerals")).cast("string"))
     title = F.when(F.col("component").isNull(), F.col("title")).when(F.col("_n") == 1, base_title(F.col("title"))).otherwise(F.concat(base_title(F.col("_base")), F.lit(" ("), numeral, F.lit(")")))
     also = dropped.join(items.select(F.col("id").alias("dropped"), F.concat_ws(", p. ", "src", F.col("page").cast("string")).alias("at")), "dropped").groupBy(F.col("kept").alias("id")).agg(F.array_join(F.sort_array(F.collect_list("at")), " · ").alias("also"))
-    out = left.withColumn("title", title).join(agreed, "component", "left").join(artist, "component", "left").join(also, "id", "left")
-    out = out.select("id", "src", "title", F.coalesce("_part", "part").alias("part"), F.coalesce("_artist", "artist").alias("artist"), F.coalesce("also", F.lit("")).alias("also"))
+    out = left.withColumn("title", title).join(agreed, "component", "left").join(also, "id", "left")
+    named = F.when(F.col("src") == first, F.coalesce("_artist", "artist")).otherwise(F.col("artist"))
+    out = out.select("id", "src", "title", F.coalesce("_part", "part").alias("part"), named.alias("artist"), F.coalesce("also", F.lit("")).alias("also"))
     return number_globally(out.withColumn("_fold", sort_key(F.col("title"))), ["part", "_fold", "id"], "num").drop("_fold")

@@ -1,4 +1,4 @@
-"""Queries on small hand-written tables: pitch arithmetic, lookups and overlays."""
+"""Pitch arithmetic on the chords that parts are read as; lookups by curated names; overlays."""
 
 from __future__ import annotations
 
@@ -8,42 +8,101 @@ from corpusforge.catalog import query, table
 from corpusforge.functions import pitch
 from corpusforge.operators import indexing, rules
 
-CHORDS = ["C", "Am", "Db", "F#m7", "D/F#", "Bb", "Gsus4", "Ebmaj7", "N.C.", "B/D#", "A6/9", "C/E7", "Am:", "Cb"]
-SHAPES = [("Am", "x02210"), ("C", "x32010"), ("G", "320003"), ("D", "xx0232"), ("E", "022100"), ("F", "133211")]
+#: Names that parts and suppliers are read as: roots, qualities and basses by their keys and sizes, and shapes of six strings.
+ROOTS = ["C", "Db", "D", "Eb", "E", "F", "F#", "G", "Ab", "A", "Bb", "B", "C#", "Cb", "E#"]
+QUALITIES = ["", "m", "7", "m7", "maj7", "sus4", "5", "4", "dim", "aug", "+", "6/9", "7/4", "/4", "dim7", "addG"]
+SHAPES = ["x02210", "x32010", "320003", "xx0232", "022100", "133211", "x24442", "577655"]
 STRINGS = [4, 9, 2, 7, 11, 4]
 _values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" for x in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows)
-_PC = "list_position(['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'], coalesce(map {'Db':'C#','Eb':'D#','Gb':'F#','Ab':'G#','Bb':'A#','Cb':'B','Fb':'E'}[%s], %s)) - 1"
+_PC = "list_position(['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'], coalesce(map {'Db':'C#','Eb':'D#','Gb':'F#','Ab':'G#','Bb':'A#','Cb':'B','Fb':'E','E#':'F','B#':'C'}[%s], %s)) - 1"
 
 
 def _note(x: str) -> str:
     return f"['C','C#','D','D#','E','F','F#','G','G#','A','A#','B'][(({_PC % (x, x)} + n) % 12 + 12) % 12 + 1]"
 
 
-PARTS = "WITH c(chord) AS (VALUES " + _values(CHORDS) + "), r AS (SELECT chord, regexp_extract(chord, '^([A-G][#b]?)(.*)$', 1) AS r, regexp_extract(chord, '^([A-G][#b]?)(.*)$', 2) AS q FROM c), p AS (SELECT *, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 1) AS q0, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 2) AS b, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 3) AS q1 FROM r)"
+def chord(key: str, size: str):
+    """A chord's name from two numbers: root, quality and, for some, a bass."""
+    pick = lambda names, n: F.get(F.array(*map(F.lit, names)), (n % len(names)).cast("int"))
+    k, n = F.col(key), F.col(size)
+    return F.concat(pick(ROOTS, k), pick(QUALITIES, n), F.when(k % 7 == 3, F.concat(F.lit("/"), pick(ROOTS, k + n))).otherwise(""))
 
 
-@query(f"""{PARTS}, s AS (SELECT *, range AS n FROM p, range(13))
-SELECT chord, n::BIGINT AS steps, CASE WHEN n = 0 OR r = '' THEN chord ELSE {_note('r')} || CASE WHEN b = '' THEN q ELSE q0 || '/' || {_note('b')} || q1 END END AS moved FROM s""")
+def _chord(key: str, size: str) -> str:
+    return f"{ROOTS}[{key} % {len(ROOTS)} + 1] || {QUALITIES}[{size} % {len(QUALITIES)} + 1] || CASE WHEN {key} % 7 = 3 THEN '/' || {ROOTS}[({key} + {size}) % {len(ROOTS)} + 1] ELSE '' END"
+
+
+PARTS = f"""WITH c AS (SELECT p_partkey, {_chord("p_partkey", "p_size")} AS chord, (p_partkey // 15 + p_size) % 13 AS n FROM part),
+r AS (SELECT *, regexp_extract(chord, '^([A-G][#b]?)(.*)$', 1) AS r, regexp_extract(chord, '^([A-G][#b]?)(.*)$', 2) AS q FROM c), p AS (SELECT *, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 1) AS q0, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 2) AS b, regexp_extract(q, '^(.*?)/([A-G][#b]?)(.*)$', 3) AS q1 FROM r)"""
+
+
+@query(f"""{PARTS} SELECT p_partkey, chord, n::BIGINT AS steps, CASE WHEN n = 0 OR r = '' THEN chord ELSE {_note('r')} || CASE WHEN b = '' THEN q ELSE q0 || '/' || {_note('b')} || q1 END END AS moved,
+{_PC % ('r', 'r')} AS pitch, split_part(q, '/', 1) AS quality FROM p""")
 def pitch_transpose(spark, sf_dir):
-    rows = spark.createDataFrame([(c,) for c in CHORDS], "chord string").withColumn("steps", F.explode(F.sequence(F.lit(0), F.lit(12))))
-    return rows.select("chord", F.col("steps").cast("long").alias("steps"), pitch.transpose(F.col("chord"), F.col("steps"), F.lit(False)).alias("moved"))
+    """F40, F43, F45 on the chords that parts are read as."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", chord("p_partkey", "p_size").alias("chord"), ((F.floor(F.col("p_partkey") / 15) + F.col("p_size")) % 13).cast("int").alias("steps"))
+    c = F.col("chord")
+    return rows.select("p_partkey", "chord", F.col("steps").cast("long").alias("steps"), pitch.transpose(c, F.col("steps"), F.lit(False)).alias("moved"), pitch.pitch_class(pitch.root(c)).alias("pitch"), pitch.quality(c).alias("quality"))
+
+
+_SHAPED = f"SELECT p_partkey, {SHAPES}[p_partkey % {len(SHAPES)} + 1] AS shape, p_size % 12 AS n FROM part"
+
+
+def shaped(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", F.get(F.array(*map(F.lit, SHAPES)), (F.col("p_partkey") % len(SHAPES)).cast("int")).alias("shape"), (F.col("p_size") % 12).alias("steps"))
 
 
-@query(f"""WITH c(chord, shape) AS (VALUES {_values(SHAPES)}), s AS (SELECT *, range AS n, CASE WHEN range > 6 THEN range - 12 ELSE range END AS k FROM c, range(12)),
-f AS (SELECT chord, shape, n, k, CASE WHEN k >= 0 THEN k - 12 ELSE k + 12 END AS o, list_transform(list_filter(string_split(shape, ''), lambda x: x <> ''), lambda x: CASE WHEN x = 'x' THEN NULL ELSE strpos('0123456789abcdef', x) - 1 END) AS f FROM s),
+@query(f"""WITH s AS (SELECT *, CASE WHEN n > 6 THEN n - 12 ELSE n END AS k FROM ({_SHAPED})),
+f AS (SELECT p_partkey, shape, n, k, CASE WHEN k >= 0 THEN k - 12 ELSE k + 12 END AS o, list_transform(list_filter(string_split(shape, ''), lambda x: x <> ''), lambda x: CASE WHEN x = 'x' THEN NULL ELSE strpos('0123456789abcdef', x) - 1 END) AS f FROM s),
 g AS (SELECT *, list_transform(f, lambda x: x + k) AS a, list_transform(f, lambda x: x + o) AS b FROM f)
-SELECT chord, n::BIGINT AS steps, CASE WHEN list_min(a) >= 0 AND list_max(a) <= 15 THEN array_to_string(list_transform(a, lambda x: coalesce(substr('0123456789abcdef', x + 1, 1), 'x')), '') WHEN list_min(b) >= 0 AND list_max(b) <= 15 THEN array_to_string(list_transform(b, lambda x: coalesce(substr('0123456789abcdef', x + 1, 1), 'x')), '') END AS moved FROM g""")
+SELECT p_partkey, n::BIGINT AS steps, CASE WHEN list_min(a) >= 0 AND list_max(a) <= 15 THEN array_to_string(list_transform(a, lambda x: coalesce(substr('0123456789abcdef', x + 1, 1), 'x')), '') WHEN list_min(b) >= 0 AND list_max(b) <= 15 THEN array_to_string(list_transform(b, lambda x: coalesce(substr('0123456789abcdef', x + 1, 1), 'x')), '') END AS moved FROM g""")
 def shape_shift_hex(spark, sf_dir):
-    rows = spark.createDataFrame(SHAPES, "chord string, shape string").withColumn("steps", F.explode(F.sequence(F.lit(0), F.lit(11))))
-    return rows.select("chord", F.col("steps").cast("long").alias("steps"), pitch.shift_shape(F.col("shape"), F.col("steps")).alias("moved"))
+    return shaped(spark, sf_dir).select("p_partkey", F.col("steps").cast("long").alias("steps"), pitch.shift_shape(F.col("shape"), F.col("steps")).alias("moved"))
 
 
-@query(f"""WITH c(chord, shape) AS (VALUES {_values(SHAPES)}), f AS (SELECT chord, list_filter(string_split(shape, ''), lambda x: x <> '') AS f FROM c),
-t AS (SELECT chord, list_sort(list_distinct(list_filter(list_transform(range(1, 7), lambda i: CASE WHEN f[i] <> 'x' THEN ({STRINGS}[i] + f[i]::INT) % 12 END), lambda x: x IS NOT NULL))) AS t FROM f)
-SELECT chord, array_to_string(t, ',') AS classes, len(t)::BIGINT AS n FROM t""")
+@query(f"""WITH f AS (SELECT p_partkey, list_filter(string_split(shape, ''), lambda x: x <> '') AS f FROM ({_SHAPED})),
+t AS (SELECT p_partkey, list_sort(list_distinct(list_filter(list_transform(range(1, 7), lambda i: CASE WHEN f[i] <> 'x' THEN ({STRINGS}[i] + f[i]::INT) % 12 END), lambda x: x IS NOT NULL))) AS t FROM f)
+SELECT p_partkey, array_to_string(t, ',') AS classes, len(t)::BIGINT AS n, len(list_intersect(t, [0, 4, 9])) = 3 AND len(list_filter(t, lambda x: x NOT IN (0, 4, 7, 9))) = 0 AS fits FROM t""")
 def pitch_set_check(spark, sf_dir):
-    rows = spark.createDataFrame(SHAPES, "chord string, shape string").withColumn("t", pitch.sounded(F.col("shape"), STRINGS))
-    return rows.select("chord", F.array_join(F.transform("t", lambda x: x.cast("string")), ",").alias("classes"), F.size("t").cast("long").alias("n"))
+    """the classes a fingering sounds, and whether they are A, C and E with nothing else but G."""
+    of = lambda *x: F.array(*map(F.lit, x))
+    rows = shaped(spark, sf_dir).withColumn("t", pitch.sounded(F.col("shape"), STRINGS))
+    return rows.select("p_partkey", F.array_join(F.transform("t", lambda x: x.cast("string")), ",").alias("classes"), F.size("t").cast("long").alias("n"), pitch.fits(F.col("shape"), STRINGS, of(0, 4, 7, 9), of(7)).alias("fits"))
+
+
+def _plainer_sql(t: str) -> str:
+    b, at = f"split_part({t}, '/', 1)", lambda x: f"m[{x}]"
+    return rf"""CASE WHEN regexp_matches({b}, '^[A-G]#?5$') THEN {at(f"left({b}, length({b}) - 1)")} WHEN regexp_matches({b}, '^[A-G]#?4$') THEN {at(f"left({b}, length({b}) - 1) || 'sus4'")}
+    WHEN regexp_matches({b}, '^[A-G]#?m?(dim|aug|\+)[0-9]*$') THEN coalesce({at(f"regexp_extract({b}, '^[A-G]#?m?') || 'dim7'")}, {at(f"regexp_extract({b}, '^[A-G]#?m?')")})
+    WHEN {b} LIKE '%+' THEN coalesce({at(f"left({b}, length({b}) - 1) || 'aug'")}, {at(f"left({b}, length({b}) - 1)")}) END"""
+
+
+_ALIASES = "map {" + ", ".join(f"'{a}': '{b}'" for a, b in pitch.SHORTHANDS.items()) + "}"
+_SUS = "m[regexp_extract({0}, '^([A-G]#?)([0-9]*)/4$', 1) || regexp_extract({0}, '^([A-G]#?)([0-9]*)/4$', 2) || 'sus4']"
+
+
+@query(f"""WITH s AS (SELECT {_chord("s_suppkey * 7", "s_suppkey")} AS key, min(s_name) AS value FROM supplier WHERE s_suppkey % 3 <> 1 GROUP BY ALL), t AS (SELECT map_from_entries(list((key, value))) AS m FROM s),
+c AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN '(' || c || ')' WHEN 2 THEN c || ':' ELSE c END AS chord, m FROM (SELECT p_partkey, {_chord("p_partkey", "p_size")} AS c FROM part), t),
+b AS (SELECT *, rtrim(trim(chord, '()'), ':.') AS bare FROM c), n AS (SELECT *, split_part(bare, '/', 1) AS name, regexp_extract(bare, '^[^/]*(/.*)$', 1) AS low FROM b),
+d AS (SELECT *, coalesce({_ALIASES}[name], coalesce({_ALIASES}[regexp_extract(name, '^[A-G][#b]?')], regexp_extract(name, '^[A-G][#b]?')) || regexp_replace(name, '^[A-G][#b]?', '')) || low AS tok FROM n),
+f AS (SELECT *, map {{'C#': 'Db', 'D#': 'Eb', 'F#': 'Gb', 'G#': 'Ab', 'A#': 'Bb'}}[left(tok, 2)] || substr(tok, 3) AS flat FROM d)
+SELECT p_partkey, chord,
+  CASE WHEN m[tok] IS NOT NULL THEN m[tok] WHEN regexp_matches(tok, '^[A-G]#?[0-9]*/4$') THEN {_SUS.format("tok")} ELSE coalesce(m[split_part(tok, '/', 1)], {_plainer_sql("tok")}) END AS guitar,
+  CASE WHEN m[chord] IS NOT NULL THEN m[chord] WHEN regexp_matches(chord, '^[A-G]#?[0-9]*/4$') THEN {_SUS.format("chord")}
+    ELSE coalesce(m[split_part(chord, '/', 1)], CASE WHEN regexp_matches(chord, '^[A-G][#b]?(m|maj|dim|aug)?4$') THEN m[left(chord, length(chord) - 1) || 'sus4'] END, CASE WHEN split_part(chord, '/', 1) LIKE '%dim' THEN m[split_part(chord, '/', 1) || '7'] END) END AS ukulele,
+  coalesce(m[tok], m[split_part(tok, '/', 1)], {_plainer_sql("tok")}, m[flat], m[split_part(flat, '/', 1)], {_plainer_sql("flat")}) AS catalogue
+FROM f""")
+def chord_fallbacks(spark, sf_dir):
+    """J15, J16, J17 (J18): the chords that parts are read as, some decorated, looked up in a table of suppliers by three chains of plainer names."""
+    known = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 <> 1").select((F.col("s_suppkey") * 7).alias("k"), "s_suppkey", "s_name")
+    known = known.groupBy(chord("k", "s_suppkey").alias("key")).agg(F.min("s_name").alias("value"))
+    c, k = chord("p_partkey", "p_size"), F.col("p_partkey") % 5
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.when(k == 1, F.concat(F.lit("("), c, F.lit(")"))).when(k == 2, F.concat(c, F.lit(":"))).otherwise(c).alias("chord"))
+    out = rows
+    for name, keys in (("guitar", pitch.guitar_keys), ("ukulele", pitch.ukulele_keys), ("catalogue", pitch.catalogue_keys)):
+        found = rules.fallback_lookup(rows.select("p_partkey", "chord"), "p_partkey", keys(F.col("chord")), known)
+        out = out.join(found.select("p_partkey", F.col("value").alias(name)), "p_partkey")
+    return out.select("p_partkey", "chord", "guitar", "ukulele", "catalogue")
 
 
 ALIASES = [("first", "nation_0"), ("second", "nation_1"), ("lost", "nation_99")]

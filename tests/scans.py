@@ -1,13 +1,12 @@
-"""Queries that read small typeset books end to end (S4-S7); the oracles state the items, worked out by hand from the rules."""
+"""Small typeset books read end to end (S4-S7); the items are worked out by hand from the rules."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusforge.catalog import query
 from corpusforge.operators import books
 from corpusforge.operators.geometry import GLYPH
-from corpusforge.plans.worked import stated
+from worked import query, stated
 
 
 def typeset(spark, rows: list[tuple]):

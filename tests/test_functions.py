@@ -107,9 +107,12 @@ def test_sounded_and_fits(spark):
     assert not one(spark, pitch.fits(F.lit("x02210"), strings, F.array(*map(F.lit, [9, 1, 4])), F.array(F.lit(4))))
 
 
-def test_lookup_keys_try_both_spellings(spark):
-    keys = one(spark, pitch.lookup_keys(F.lit("Dbmaj7/F")))
-    assert keys[:2] == ["Dbmaj7/F", "Dbmaj7"] and "C#maj7" in keys and "C#" in keys
+def test_chains_of_plainer_names(spark):
+    guitar = lambda c: one(spark, pitch.guitar_keys(F.lit(c)))
+    assert guitar("Bbm7/D:") == ["A#m7/D", "A#m7"] and guitar("CaddG/E.") == ["C/E", "C"] and guitar("G7/4") == ["G7/4", "G7sus4"]
+    assert guitar("D5") == ["D5", "D"] and guitar("D4") == ["D4", "Dsus4"] and guitar("F#mdim") == ["F#mdim", "F#mdim7", "F#m"] and guitar("C7+") == ["C7+", "C7aug", "C7"] and guitar("N.C.") == ["N.C"]
+    assert one(spark, pitch.ukulele_keys(F.lit("Bm4"))) == ["Bm4", "Bmsus4"] and one(spark, pitch.ukulele_keys(F.lit("Bdim/F"))) == ["Bdim/F", "Bdim", "Bdim7"]
+    assert one(spark, pitch.catalogue_keys(F.lit("C#dim/G"))) == ["C#dim/G", "C#dim", "C#dim7", "C#", "Dbdim/G", "Dbdim"]
 
 
 def test_recase():

@@ -15,13 +15,16 @@ def value(spark, column):
 
 
 def test_row_kinds(spark):
-    df = songs.row_kinds(lined(spark, "C  Am\nla la\n\nG D\ne|--0--2--|\nB|--------|\nend"), "doc", "ord")
-    assert [r.kind for r in df.orderBy("ord").collect()] == ["pair", "paired", "blank", "interlude", "tab", "tab", "plain"]
+    text = lined(spark, "C  Am\nla la\n\nG D\ne|--0--2--|\nB|--------|\nend\n[C]la ^lo [x]\nnote").withColumn("fence", F.when(F.col("ord").isin(4, 5), "tab").when(F.col("ord") == 8, "prose"))
+    df = songs.row_kinds(text, "doc", "ord", "fence")
+    assert [r.kind for r in df.orderBy("ord").collect()] == ["pair", "paired", "blank", "interlude", "tab", "tab", "plain", "inline", "prose"]
     assert [(r["first"], r["last"]) for r in songs.runs_of(df, "doc", "ord").collect()] == [(4, 5)]
 
 
 def test_inline(spark):
     assert [(t.col, t.label) for t in value(spark, songs.inline_tokens(F.lit("[Am]wo[C]rd [G]")))] == [(0, "Am"), (2, "C"), (5, "G")]
+    assert [(t.col, t.label) for t in value(spark, songs.inline_tokens(F.lit("a [x] ^b[(G)][No Chord][Riff][riff 2 + x][solo]")))] == [(6, "/"), (7, "(G)"), (7, "N.C."), (7, "riff"), (7, "riff 2 + x"), (7, "solo")]
+    assert value(spark, songs.without_inline(F.lit("a [x] ^b[(G)][NC]"))) == "a [x] b" and value(spark, songs.inline_tokens(F.lit(""))) == []
     assert value(spark, songs.transpose_inline(F.lit("a [Am]b [C/G] [Solo]"), F.lit(2), F.lit(False))) == "a [Bm]b [D/A] [Solo]"
     assert songs.edit_keeping_labels("f[C]oo [D]bar", str.upper) == "F[C]OO [D]BAR"
     with pytest.raises(ValueError):
@@ -49,9 +52,9 @@ def test_case_propagates(spark):
 
 def test_best_links_and_regroup(spark):
     tabs = spark.createDataFrame([("The A", "Étude", "u1", 1, 5, None, None), ("The A", "Etude", "u2", 2, 1, 4.0, 3), ("Bee", "x", "u3", 3, None, None, None)], "artist string, title string, href string, id long, favourites int, rating double, ratings int")
-    index = spark.createDataFrame([("thea", "The A"), ("zed", "Zed")], "key string, artist string")
+    index = spark.createDataFrame([("the a", "The A"), ("zed", "Zed")], "key string, artist string")
     aliases = spark.createDataFrame([("bee", "zed")], "alias string, target string")
-    assert [(r.key, r.href, r.title, r.side, r.place) for r in songs.best_links(tabs, index, aliases).orderBy("place").collect()] == [("thea", "u2", "Étude", "both", 1), ("zed", "u3", "x", "both", 2)]
+    assert [(r.key, r.href, r.title, r.side, r.place) for r in songs.best_links(tabs, index, aliases).orderBy("place").collect()] == [("the a", "u2", "Étude", "both", 1), ("zed", "u3", "x", "both", 2)]
     items = spark.createDataFrame([(1, "b"), (2, "A"), (3, "c")], "k long, title string")
     sections = spark.createDataFrame([(1, "I", "1"), (2, "I", "1"), (3, "I", "0")], "k long, part string, sub string")
     assert [(r.k, r.number) for r in songs.regroup(items, sections, "k").orderBy("number").collect()] == [(3, 1), (2, 2), (1, 3)]
