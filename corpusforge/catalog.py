@@ -44,4 +44,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from corpusforge.plans import curated, derived, inline, linking, ordered, songbook, texts  # noqa: F401  they register themselves
+    from corpusforge.plans import curated, derived, inline, linking, ordered, songbook, texts, typeset  # noqa: F401  they register themselves
