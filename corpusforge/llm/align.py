@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusforge.session import estimated_bytes
+
 from .bpe import SETTLED, FastIds, Vocabulary, read_vocabulary
 from .common import Batches, checkpoint, lean, narrow, strings, tune
 
@@ -31,6 +33,8 @@ from .common import Batches, checkpoint, lean, narrow, strings, tune
 PART_CHARS = 64 << 20
 #: Segments that are tokenised together; alignments that a task remembers; segments whose links are listed together; pairs that are counted together.
 TOGETHER, MEMO_ENTRIES, SLICE, HELD_PAIRS = 2048, 1 << 20, 1 << 16, 1 << 22
+#: Bytes of the input on disk for each task of a shuffle, where the session asks for fewer tasks.
+BUCKET_BYTES = 32 << 20
 #: The fixed pattern of byte entries of piece vocabularies, and their sign for a space.
 BYTE_ENTRY, SPACE = re.compile(r"<0x([0-9A-F]{2})>"), "▁"
 WHITE = " \t\n\v\f\r"
@@ -337,7 +341,7 @@ def composed(texts: DataFrame, dictionaries: DataFrame, buckets: int) -> DataFra
         yield from close()
 
     longs = ", ".join(f"{c} long" for c in FOUR)
-    return rows.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), f"part long, bucket long, id {kind}, {longs}, groups_sha256 string, x binary, y binary, z binary")
+    return rows.repartition(buckets, "key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), f"part long, bucket long, id {kind}, {longs}, groups_sha256 string, x binary, y binary, z binary")
 
 
 def counted(pairs: DataFrame, buckets: int) -> DataFrame:
@@ -403,7 +407,8 @@ def align(documents: DataFrame, byte_vocabulary_path: str, piece_model_path: str
     """
     spark = documents.sparkSession
     tune(spark)
-    shared, buckets = _shared(documents, byte_vocabulary_path, piece_model_path), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared, buckets, known = _shared(documents, byte_vocabulary_path, piece_model_path), int(spark.conf.get("spark.sql.shuffle.partitions")), estimated_bytes(documents)
+    buckets = max(buckets, known // BUCKET_BYTES) if known < 1 << 50 else buckets  # tasks stay as large as they are, whatever the input
     rows = checkpoint(coded(documents, shared, id, text, part_chars, buckets))
     books = aligned(rows.filter("bucket IS NOT NULL").select("part", "bucket", "x", "y"), shared, buckets)
     done = checkpoint(composed(rows.filter("bucket IS NULL").select("part", "id", "x"), books, buckets))
@@ -438,4 +443,4 @@ def align(documents: DataFrame, byte_vocabulary_path: str, piece_model_path: str
             yield out.of(done)
 
     longs = ", ".join(f"{c} long" for c in [*FOUR, "n_best", "count_sum"])
-    return both.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), f"id {kind}, {longs}, groups_sha256 string").withColumnRenamed("id", id)
+    return both.repartition(buckets, "key").sortWithinPartitions("key", "kind").mapInArrow(lean(run), f"id {kind}, {longs}, groups_sha256 string").withColumnRenamed("id", id)
