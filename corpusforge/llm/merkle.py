@@ -1,10 +1,10 @@
 """Document fingerprints as Merkle trees over paragraphs and sections.
 
 A leaf is the hash of a piece of a paragraph (a line, cut after sentences and at content-defined
-words), a section (lines up to and with the blank lines that end it) hashes its leaves, the root
+words, of bounded length), a section (lines up to and with the blank lines that end it) hashes its leaves, the root
 hashes the sections. Roots test equality; where they differ, only sections that differ are
-descended, which locates edits. The fingerprint is the tree written out, its hashes shortened:
-root|section.leaf,leaf,...|section.leaf,...
+descended, which locates edits. The fingerprint is the tree written out, its hashes shortened, a leaf's
+followed by its length: root|section.leaf,leaf,...|section.leaf,...
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,10 @@ LEAST = -(1 << 63)
 LITERAL_BOUNDS = 1024
 #: A line is cut after a sentence, and after a word whose check sum is 0 modulo CUT: an edit moves no cut but those beside it.
 CUT = 16
+#: No leaf is much longer than this, however few words a text repeats; inside such a word, cuts are 1 in RUN_CUT characters.
+LONGEST, RUN_CUT = 96, 64
+#: No text holds a lone surrogate.
+GLUE = "\ud800"
 SENTENCE = re.compile(r"(?<=[.!?]) ")
 BLANKS = re.compile(r"\n(?:[^\S\n]*(?:\n|\Z))+")
 
@@ -36,19 +41,44 @@ def _hash(kind: bytes, data: bytes) -> str:
     return hashlib.sha256(kind + data).hexdigest()
 
 
+@lru_cache(1 << 16)
+def _ends(word: str) -> bool:
+    return zlib.crc32(word.encode("utf-8", "replace")) % CUT == 0
+
+
+def runs(word: str) -> list[str]:
+    """A long word cut behind characters that the eight up to them choose, and at LONGEST characters where these choose none."""
+    out, start = [], 0
+    for k in range(8, len(word)):
+        if k - start >= LONGEST or k - start >= 32 and zlib.crc32(word[k - 8 : k].encode("utf-8", "replace")) % RUN_CUT == 0:
+            out.append(word[start:k])
+            start = k
+    return [*out, word[start:]]
+
+
 def pieces(line: str) -> list[str]:
-    """What a line consists of, nothing lost: sentences, long ones cut at words that their own letters choose."""
+    """What a line consists of, nothing lost: sentences, long ones cut at words that their own letters choose, or where a piece reaches LONGEST characters; words of
+    more than that are cut as well, and what goes on within a word begins with GLUE."""
     out = []
     for sentence in SENTENCE.split(line):
         if len(sentence) < 64:
             out.append(sentence)
             continue
-        at = []
+        at, size = [], 0
         for word in sentence.split(" "):
-            at.append(word)
-            if zlib.crc32(word.encode("utf-8", "replace")) % CUT == 0:
+            if len(word) > LONGEST:
+                first, *rest = runs(word)
+                at.append(first)
+                for run in rest:
+                    out.append(" ".join(at))
+                    at = [GLUE + run]
+                size = LONGEST if size + len(at[-1]) >= LONGEST else len(at[-1])
+            else:
+                at.append(word)
+                size += len(word) + 1
+            if size >= LONGEST or len(word) <= LONGEST and _ends(word):
                 out.append(" ".join(at))
-                at = []
+                at, size = [], 0
         if at:
             out.append(" ".join(at))
     return out
@@ -69,9 +99,9 @@ def fingerprint(text: str | None) -> str:
     """Hashes go up unshortened, and white space between sections with them, so equal roots are equal trees, and these equal texts."""
     branches, above = [], []
     for parts, gap in sections(text):
-        leaves = [_hash(b"p", p.encode("utf-8", "replace")) for p in parts]
+        leaves = [_hash(b"p", p.encode("utf-8", "surrogatepass")) for p in parts]
         above.append(_hash(b"s", ",".join([*leaves, gap]).encode("utf-8", "replace")))
-        branches.append(above[-1][:SECTION_DIGITS] + "." + ",".join(x[:LEAF_DIGITS] for x in leaves))
+        branches.append(above[-1][:SECTION_DIGITS] + "." + ",".join(f"{x[:LEAF_DIGITS]}{len(p):x}" for x, p in zip(leaves, parts)))
     return "|".join([_hash(b"r", "|".join(above).encode()), *branches])
 
 
@@ -80,16 +110,22 @@ def parse(fp: str) -> tuple[str, list[tuple[str, list[str]]]]:
     return root, [(b.split(".")[0], b.split(".")[1].split(",")) for b in branches]
 
 
+def weight(leaf: str) -> int:
+    """Characters of a leaf."""
+    return int(leaf[LEAF_DIGITS:], 16)
+
+
 def likeness(a: str, b: str) -> float:
-    """The share of leaves that both have, of the longer one's; 1 for equal roots. Sections that match are taken whole."""
+    """The share of characters in leaves that both have, of the longer one's; 1 for equal roots. Sections that match are taken whole."""
     if a == b:
         return 1.0
     (_, left), (_, right) = parse(a), parse(b)
-    size = max(sum(len(x) for _, x in left), sum(len(x) for _, x in right))
+    whole = {h: sum(map(weight, x)) for side in (left, right) for h, x in side}
+    size = max(sum(whole[h] for h, _ in side) for side in (left, right))
     if not size:
         return 0.0
-    common, leaves = Counter(h for h, _ in left) & Counter(h for h, _ in right), {h: len(x) for h, x in left}
-    same, rests = sum(n * leaves[h] for h, n in common.items()), []
+    common = Counter(h for h, _ in left) & Counter(h for h, _ in right)
+    same, rests = sum(n * whole[h] for h, n in common.items()), []
     for side in (left, right):
         skip, rest = Counter(common), Counter()
         for h, own in side:
@@ -98,7 +134,7 @@ def likeness(a: str, b: str) -> float:
             else:
                 rest.update(own)
         rests.append(rest)
-    return (same + sum((rests[0] & rests[1]).values())) / size
+    return (same + sum(n * weight(x) for x, n in (rests[0] & rests[1]).items())) / size
 
 
 def edits(a: str, b: str) -> list[tuple[str, int, int]]:

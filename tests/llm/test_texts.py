@@ -297,6 +297,22 @@ def test_one_line_texts_keep_what_is_left():
     assert 0.4 < merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(text[: len(text) * 2 // 3] + "x " * 300)) < 0.9
 
 
+@pytest.mark.parametrize("text", ["Orre " * 6000, "x" * 30_000, "語" * 9000, "ab" * 2000 + " c" * 3000, "Das " * 200])
+def test_leaves_are_bounded_whatever_a_text_repeats(text):
+    parts = merkle.pieces(text)
+    assert max(map(len, parts)) < 2 * merkle.LONGEST + 2
+    whole = "".join(p[1:] if p.startswith(merkle.GLUE) else " " + p for p in parts)[1:]
+    assert whole == text
+    kept = text[: len(text) - len(text) // 3]
+    assert merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(kept + "Ein Satz. " * (len(text) // 30))) > 0.5
+
+
+def test_cuts_within_words_are_told_from_blanks():
+    word = "y" * 500
+    first, second, *_ = merkle.pieces(word)
+    assert second.startswith(merkle.GLUE) and merkle.fingerprint(word) != merkle.fingerprint(first + " " + word[len(first) :])
+
+
 def test_many_rows_without_id_are_many_ranges(spark):
     texts = [f"text number {k} " * 3 for k in range(300)]
     df = spark.createDataFrame([(None if k % 2 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
