@@ -197,16 +197,67 @@ def _pdf(b: bytes, at: int) -> int | None:
     return ends.finals[last] + 5 - at if table >= 0 and ends.tables[table] > at else None
 
 
+def _crc_table(bits: int, polynomial: int) -> list[int]:
+    """Check sums of single bytes, highest bit first."""
+    top, mask, out = 1 << bits - 1, (1 << bits) - 1, []
+    for byte in range(256):
+        c = byte << bits - 8
+        for _ in range(8):
+            c = (c << 1 ^ polynomial if c & top else c << 1) & mask
+        out.append(c)
+    return out
+
+
+CRC8, CRC16 = _crc_table(8, 0x07), _crc_table(16, 0x8005)
+
+
+def _flac_header(b: bytes, x: int) -> tuple[int, int] | None:
+    """(length of a frame's header, its samples), if its check sum is right."""
+    if x + 6 > len(b) or b[x] != 0xFF or b[x + 1] & 0xFE != 0xF8:
+        return None
+    size, rate, lead = b[x + 2] >> 4, b[x + 2] & 15, b[x + 4]
+    number = 1 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length()
+    more = {6: 1, 7: 2}.get(size, 0)
+    end = x + 4 + number + more + {12: 1, 13: 2, 14: 2}.get(rate, 0)
+    if not size or rate == 15 or 0x80 <= lead < 0xC0 or end >= len(b):
+        return None
+    check = 0
+    for byte in b[x:end]:
+        check = CRC8[check ^ byte]
+    if check != b[end]:
+        return None
+    own = int.from_bytes(b[x + 4 + number : x + 4 + number + more], "big") + 1
+    return end + 1 - x, own if more else 192 if size == 1 else 576 << size - 2 if size < 6 else 256 << size - 8
+
+
 def _flac(b: bytes, at: int) -> int | None:
-    x, first = at + 4, True
+    """Up to the end of the last whole frame. A frame ends where its check sum comes out and the next one begins, or, if it holds the last of the
+    samples that the stream announces or nothing follows, where its check sum comes out first."""
+    x, first, total, least = at + 4, True, 0, 0
     while x + 4 <= len(b):
-        kind, size = b[x] & 127, int.from_bytes(b[x + 1 : x + 4], "big")
+        kind, size, last = b[x] & 127, int.from_bytes(b[x + 1 : x + 4], "big"), b[x] & 128
         if first and (kind != 0 or size != 34) or x + 4 + size > len(b):
             return None
-        last, x, first = b[x] & 128, x + 4 + size, False
+        if first:
+            least, total = int.from_bytes(b[x + 8 : x + 11], "big"), int.from_bytes(b[x + 17 : x + 22], "big") & (1 << 36) - 1
+        x, first = x + 4 + size, False
         if last:
-            return len(b) - at
-    return None
+            break
+    else:
+        return None
+    done = 0
+    while (not total or done < total) and (head := _flac_header(b, x)):
+        check, end, done = 0, None, done + head[1]
+        for y in range(x, len(b)):
+            check = (check << 8 & 0xFFFF) ^ CRC16[check >> 8 ^ b[y]]
+            size = y + 1 - x
+            if not check and size >= max(head[0] + 2, least) and (y + 1 == len(b) or total and done >= total or _flac_header(b, y + 1)):
+                end = y + 1
+                break
+        if end is None:
+            break
+        x = end
+    return x - at
 
 
 #: Magic numbers and their formats, fixed values.
@@ -284,27 +335,27 @@ def features(samples: bytes, media: list[tuple[int, int, str]]) -> str:
     return f"{kind};n={len(x)};mean={int(wide.sum()) // len(x)};energy={int((wide * wide).sum())};crossings={int((above[1:] != above[:-1]).sum())};values={int((np.bincount(x, minlength=256) > 0).sum())};embedded={sum(a > 0 for a, *_ in media)}"
 
 
-def store_texts(documents: DataFrame, id: str = "doc_id", text: str = "text", declared: str = "application/octet-stream", keep: bool = True) -> DataFrame:
+def store_texts(documents: DataFrame, id: str = "doc_id", text: str = "text", declared: str | None = None, keep: bool = True) -> DataFrame:
     """Stores whole texts as 8-bit sample files, sniffs them, carves the medium out and reads the samples back.
 
-    Returns id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, type, corrected,
-    and with keep the medium itself. A null text counts as empty, which is stored as one block of zeros. Equal
+    declared names a column of types that the rows claim; a wrong or missing one is corrected to what the bytes are. Returns id, n_bytes, payload_bytes,
+    payload_sha256, tail_crc32, media_bytes, media_sha256, feature, type, corrected, and with keep the medium itself. A null text counts as empty, which is stored as one block of zeros. Equal
     texts give equal media, repeated rows stay. Texts of any length that a batch can hold are stored whole; the format ends at 4 GiB.
     An empty table gives an empty result; other columns are ignored.
     """
     tune(documents.sparkSession)
-    df = narrow(documents, id=id, text=text)
+    df = narrow(documents, id=id, text=text, declared=declared) if declared else narrow(documents, id=id, text=text).withColumn("declared", F.lit(None).cast("string"))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
-            for t in strings(batch, "text"):
+            for t, said in zip(strings(batch, "text"), strings(batch, "declared")):
                 media = to_wav(payload(t))
                 found = sniff(media)
                 start, size, kind = next(x for x in found if x[0] == 0)
                 back = from_wav(media[start : start + size])
                 n = len((t or "").encode("utf-8", "replace"))
-                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), features(back, found), kind, kind != declared, media))
+                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), features(back, found), kind, kind != said, media))
             types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 10, types)]
             n = 10 if keep else 9

@@ -26,7 +26,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.store_texts(documents(spark, sf_dir), keep=False)
+    docs = documents(spark, sf_dir)
+    claim = F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % 3  # a third right, a third wrong, a third without
+    said = docs.select("doc_id", "text", F.when(claim == 0, media.WAV).when(claim == 1, "image/png").alias("declared"))
+    return media.store_texts(said, declared="declared", keep=False)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

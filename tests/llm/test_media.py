@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import random
 import struct
 import time
 import wave
@@ -76,3 +77,32 @@ def test_sniff_media_corrects_types(spark):
     found = {r.media_id: r for r in media.sniff_media(df, declared="declared").collect()}
     assert (found[1].type, found[1].corrected) == ("image/png", True) and found[2].type is None and found[3].embedded == []
     assert [(e.start, e.type) for e in found[4].embedded] == [(2, "image/gif")]
+
+
+def flac_frame(number, body, size_code=8):
+    head = bytes([0xFF, 0xF8, size_code << 4, 0, number])
+    check = 0
+    for byte in head:
+        check = media.CRC8[check ^ byte]
+    frame, check = head + bytes([check]) + body, 0
+    for byte in frame:
+        check = (check << 8 & 0xFFFF) ^ media.CRC16[check >> 8 ^ byte]
+    return frame + check.to_bytes(2, "big")
+
+
+@pytest.mark.parametrize(("total", "behind"), [(768, b""), (768, b"tail \xff\xf8 and more"), (0, b""), (0, b"no frame")])
+def test_flac_streams_end_with_their_last_frame(total, behind):
+    rng = random.Random(total)
+    info = bytes(13) + total.to_bytes(5, "big") + bytes(16)
+    frames = b"".join(flac_frame(k, rng.randbytes(40 + 7 * k)) for k in range(3))
+    stream = b"fLaC" + bytes([0x80, 0, 0, 34]) + info + frames
+    found = [(a, n) for a, n, kind in media.sniff(b"front" + stream + behind) if kind == "audio/flac"]
+    whole = len(stream) if total or not behind else len(stream) - len(flac_frame(2, bytes(54)))  # of unknown length, the last frame can't be told from what follows
+    assert found == [(5, whole)]
+    assert [n for _, n, _ in media.sniff(b"fLaC" + bytes([0x80, 0, 0, 34]) + info + b"xyz")] == [42]
+
+
+def test_declared_types_are_corrected(spark):
+    rows = [(1, "a", media.WAV), (2, "b", "image/png"), (3, "c", None), (4, None, media.WAV)]
+    out = media.store_texts(spark.createDataFrame(rows, "doc_id long, text string, said string"), declared="said").collect()
+    assert {r.doc_id: (r.type, r.corrected) for r in out} == {1: (media.WAV, False), 2: (media.WAV, True), 3: (media.WAV, True), 4: (media.WAV, False)}
