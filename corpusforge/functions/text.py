@@ -103,7 +103,7 @@ def ngrams(w: Column, n: int) -> Column:
 def match_case(word: Column, like: Column) -> Column:
     """the case of `like` (all capitals, initial capital or lower) for `word`."""
     first = F.concat(F.upper(F.substring(word, 1, 1)), F.expr("''"))
-    capital = F.concat(first, F.substring(word, 2, 1 << 20))
+    capital = F.concat(first, F.substring(word, F.lit(2), F.length(word)))
     upper = (like == F.upper(like)) & (like != F.lower(like)) & (F.length(like) > 1)
     return F.when(upper, F.upper(word)).when(F.substring(like, 1, 1) != F.lower(F.substring(like, 1, 1)), capital).otherwise(word)
 

@@ -296,6 +296,22 @@ def greedy_merge(rows: DataFrame, order: str, title: str, content: str, cutoff:
     return ordered.mapInPandas(run, "ord long, slot long, name string").withColumnRenamed("ord", order)
 
 
+def same_readings(pairs: DataFrame, docs: DataFrame, id: str = "doc_id", words: str = "words", chords: str = "chords", above: float = 0.9) -> DataFrame:
+    """Of pairs (a, b) those that read alike: both sequences of chords agree as far as the shorter one goes, at least four, and the texts (words
+    joined by blanks, letter by letter, a's first) have a ratio above `above`. Chords and lengths rule pairs out before a text moves to Python."""
+    ship_package(pairs.sparkSession)
+    told = docs.select(F.col(id).alias("id"), F.array_join(words, " ").alias("t"), F.col(chords).alias("c"))
+    side = lambda c: told.select(F.col("id").alias(c), F.col("t").alias(f"t{c}"), F.col("c").alias(f"c{c}"))
+    na, nb = F.length("ta"), F.length("tb")
+    likely = pairs.join(side("a"), "a").join(side("b"), "b").filter(same_opening(F.col("ca"), F.col("cb"))).filter(2 * F.least(na, nb) > above * (na + nb))
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([aligned_ratio(p, q, above) for p, q in zip(x, y)], dtype="float64")
+
+    return likely.repartition(F.col("a"), F.col("b")).withColumn("ratio", run("ta", "tb")).filter(F.col("ratio") > above).select(*pairs.columns, "ratio")
+
+
 def fold_pairs(pairs: DataFrame, group: str, order: list[str], keep: str, drop: str) -> DataFrame:
     """In order within each group, `drop` goes and `keep` stays, unless either is gone already; what was kept may go later.
 

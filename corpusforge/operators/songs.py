@@ -255,7 +255,7 @@ def rewrite_fenced(rows: DataFrame, partition: str, order: str, kind: str, rewri
     """K8: rewrites the lines inside fences of one kind, but those to skip; adds changed. Doing it twice changes nothing more if the
     rewriting itself doesn't."""
     f = fences(rows, partition, order, F.col("line").rlike("^```"))
-    opener = F.when(F.col("line").rlike("^```"), F.coalesce(F.nullif(F.trim(F.substring("line", 4, 99)), F.lit("")), F.lit("text")))
+    opener = F.when(F.col("line").rlike("^```"), F.coalesce(F.nullif(F.trim(F.expr("substring(line, 4)")), F.lit("")), F.lit("text")))
     f = carry_forward(f, partition, order, F.when(F.col("is_marker"), opener), "_kind")
     fresh = F.when(F.col("inside") & (F.col("_kind") == kind) & ~skip(F.col("line")), rewrite(F.col("line"))).otherwise(F.col("line"))
     return f.withColumn("_old", F.col("line")).withColumn("line", fresh).withColumn("changed", F.col("_old") != F.col("line")).select(*rows.columns, "changed")
@@ -271,21 +271,20 @@ def hold_repeats(line: Column) -> Column:
 
 
 def contents(rows: DataFrame) -> DataFrame:
-    """(page, title, artist, part) of the lines of a table of contents (ord, line): `12. Title (Artist) ..... 34`. In the second part
-    an artist stands on a line of its own above its entries; the later of two entries of one page counts."""
-    entry = r"^\s*\d+\.\s*(.+?)\s*\.{3,}\s*,?\.*\s*(\d+)\s*$"
-    r = rows.withColumn("one", F.lit(1)).withColumn("is_entry", F.rtrim("line").rlike(entry))
-    r = carry_forward(r, "one", "ord", F.when(F.col("line").contains("PARTEA A II-A"), F.lit(2)), "part").withColumn("part", F.coalesce("part", F.lit(1)))
-    head = F.trim("line")
-    is_head = ~F.col("is_entry") & (F.col("part") == 2) & (head != "") & ~head.rlike(r"^\d+$") & ~F.lower(head).contains("pag") & ~head.contains("TRUPE") & (F.length(head) < 40) & ~F.startswith(head, F.lit("PARTEA"))
-    r = carry_forward(r, "one", "ord", F.when(is_head, head), "header").filter("is_entry")
-    body = F.regexp_replace(F.regexp_extract(F.rtrim("line"), entry, 1), r"[\s.,]+$", "")
-    named = body.rlike(r"\(([^()]*)\)?\s*$")
-    title = F.trim(F.regexp_replace(F.when(named, F.regexp_replace(body, r"\([^()]*\)?\s*$", "")).otherwise(body), r"\.{2,}", ""))
-    artist = F.when(named, F.trim(F.regexp_extract(body, r"\(([^()]*)\)?\s*$", 1))).otherwise(F.col("header"))
-    out = r.select(F.regexp_extract(F.rtrim("line"), entry, 2).cast("int").alias("page"), comma_below(title).alias("title"), comma_below(artist).alias("artist"), "part", "ord")
-    last = F.max_by(F.struct("title", "artist", "part"), "ord")
-    return out.groupBy("page").agg(last.alias("e")).select("page", "e.*")
+    """(doc, page, title, artist, part) of the entries of tables of contents (doc, ord, line): `12. Title (Artist) ..... 34`. A line that names the second part
+    opens it; from there on, a short line that is no entry, number or running head names the artist of the entries below. An entry's own artist
+    counts more; the later of two entries of one page counts."""
+    entry, named = r"^\s*\d+\.\s*(.+?)\s*\.{3,}\s*,?\.*\s*(\d+)\s*$", r"\(([^()]*)\)?\s*$"
+    line = F.rtrim("line")
+    r = rows.withColumn("_entry", line.rlike(entry)).withColumn("_short", F.trim("line"))
+    r = carry_forward(r, "doc", "ord", F.when(F.col("line").contains("PARTEA A II-A"), F.lit(2)), "part").withColumn("part", F.coalesce("part", F.lit(1)))
+    running_head = F.col("_short").rlike(r"^\d*$|TRUPE|^PARTEA") | F.lower("_short").contains("pag")
+    r = carry_forward(r, "doc", "ord", F.when((F.col("part") == 2) & ~F.col("_entry") & ~running_head & (F.length("_short") < 40), F.col("_short")), "header").filter("_entry")
+    told = F.regexp_replace(F.regexp_extract(line, entry, 1), r"[\s.,]+$", "")
+    title = F.trim(F.regexp_replace(F.regexp_replace(told, named, ""), r"\.{2,}", ""))
+    artist = F.when(told.rlike(named), F.trim(F.regexp_extract(told, named, 1))).otherwise(F.col("header"))
+    found = r.select("doc", F.regexp_extract(line, entry, 2).cast("int").alias("page"), F.struct(comma_below(title).alias("title"), comma_below(artist).alias("artist"), "part").alias("e"), "ord")
+    return found.groupBy("doc", "page").agg(F.max_by("e", "ord").alias("e")).select("doc", "page", "e.*")
 
 
 def foreign_lines(items: DataFrame, own: str, meta: str = "meta", body: str = "body") -> DataFrame:

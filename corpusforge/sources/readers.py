@@ -19,9 +19,9 @@ def markdown_lines(spark: SparkSession, path: str) -> DataFrame:
 def markdown_songs(rows: DataFrame) -> DataFrame:
     """Items of a book: (doc, start, part, sub, title, meta, artist, body array<struct<kind, line>>), kind being the
     fence's language or note. Part and sub headers carry forward; a metadata line follows the title."""
-    level = lambda n: F.when(F.col("line").rlike(f"^{'#' * n} "), F.substring("line", n + 2, 1 << 20))
+    level = lambda n: F.when(F.col("line").rlike(f"^{'#' * n} "), F.expr(f"substring(line, {n + 2})"))
     f = fences(rows, "doc", "ord", F.col("line").rlike("^```"))
-    f = carry_forward(f, "doc", "ord", F.when(F.col("line").rlike("^```[a-z]"), F.substring("line", 4, 99)), "lang")
+    f = carry_forward(f, "doc", "ord", F.when(F.col("line").rlike("^```[a-z]"), F.expr("substring(line, 4)")), "lang")
     inside = F.col("inside")
     f = carry_forward(f, "doc", "ord", F.when(~inside, level(2)), "part")
     f = carry_forward(f, "doc", "ord", F.when(~inside & F.col("line").rlike("^##?#? "), F.coalesce(level(3), F.lit(""))), "sub")
@@ -37,7 +37,7 @@ def markdown_songs(rows: DataFrame) -> DataFrame:
 
 def link_catalogue(rows: DataFrame) -> DataFrame:
     """(doc, ord, artist, title, href) from link rows under artist headers."""
-    f = carry_forward(rows, "doc", "ord", F.when(F.col("line").rlike("^## "), F.substring("line", 4, 1 << 20)), "artist")
+    f = carry_forward(rows, "doc", "ord", F.when(F.col("line").rlike("^## "), F.expr("substring(line, 4)")), "artist")
     link = r"^[-*] \[(.+?)\]\((\S+?)\)"
     return f.filter(F.col("line").rlike(link)).select("doc", "ord", "artist", F.regexp_extract("line", link, 1).alias("title"), F.regexp_extract("line", link, 2).alias("href"))
 

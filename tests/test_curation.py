@@ -82,3 +82,17 @@ def test_ratio_with_autojunk_is_difflibs_default(letters):
             found = linkage.aligned_ratio(a, b, 0.5, True)
             assert found == exact if exact > 0.5 else found <= 0.5
     assert linkage.aligned_ratio("ab" * 200, "x" + "ab" * 200, autojunk=True) < 0.5 < linkage.aligned_ratio("ab" * 200, "x" + "ab" * 200)
+
+
+def test_same_readings(spark):
+    docs = spark.createDataFrame([(1, ["la", "mul", "ti", "ani"] * 5, list("CGCGA")), (2, ["la", "mul", "ti", "ani"] * 5 + ["x"], list("CGCG")), (3, ["la", "mul", "ti", "ani"] * 5, list("CGCF")), (4, ["alt"] * 9, list("CGCGA")), (5, ["la"], [])], "doc_id long, words array<string>, chords array<string>")
+    pairs = spark.createDataFrame([(a, b) for a in range(1, 6) for b in range(a + 1, 6)], "a long, b long")
+    assert [(r.a, r.b) for r in linkage.same_readings(pairs, docs).collect()] == [(1, 2)]
+
+
+def test_contents_of_several_documents(spark):
+    from corpusforge.operators import songs
+
+    rows = [(d, i, x) for d, t in (("a", " 1. Dor (Ana) ..... 7\nPARTEA A II-A\nCantor\n12\n 2. Cer ........ 9"), ("b", " 1. Zi ..... 7\n 2. Zi de zi, ..... 7")) for i, x in enumerate(t.split("\n"))]
+    found = songs.contents(spark.createDataFrame(rows, "doc string, ord int, line string")).orderBy("doc", "page").collect()
+    assert [tuple(r) for r in found] == [("a", 7, "Dor", "Ana", 1), ("a", 9, "Cer", "Cantor", 2), ("b", 7, "Zi de zi", None, 1)]
