@@ -55,6 +55,16 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
+def held(ids: np.ndarray, codec: pa.Codec) -> bytes:
+    """Compressed ids of two bytes where all fit, else of four; the first byte says which."""
+    width = 2 if ids.max(initial=0) <= 0xFFFF else 4
+    return bytes([width]) + codec.compress(ids.astype(f"<u{width}").tobytes(), asbytes=True)
+
+
+def unheld(raw: bytes, n: int, codec: pa.Codec) -> np.ndarray:
+    return np.frombuffer(codec.decompress(raw[1:], raw[0] * n, asbytes=True), f"<u{raw[0]}").astype("<u4")
+
+
 def encoded(documents: DataFrame, vocabulary_path: str, id: str, text: str, end: int) -> DataFrame:
     """Per document: id, n_tokens, raw (its ids and the end id, compressed); and for each task a row without raw that counts its ids."""
     tune(documents.sparkSession)
@@ -75,7 +85,7 @@ def encoded(documents: DataFrame, vocabulary_path: str, id: str, text: str, end:
                 n[: len(seen)] += seen
                 seen = n
                 sizes.append(len(ids))
-                raws.append(codec.compress(ids, asbytes=True))
+                raws.append(held(ids, codec))
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(raws, pa.binary()), none.cast(schema.field(3).type), none.cast(schema.field(4).type)], schema=schema)
         there = np.nonzero(seen)[0]
@@ -107,14 +117,14 @@ def write_tokens(documents: DataFrame, vocabulary_path: str, folder: str, id: st
 
     def blocks(batches: Batches) -> Batches:
         codec, place, k, first = pa.Codec(CODEC), TaskContext.get().partitionId(), 0, 0
-        ids, sizes, parts, held = [], [], [], 0
+        ids, sizes, parts, full = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            nonlocal k, first, held
-            n = held
+            nonlocal k, first, full
+            n = full
             control, data = pack_ranks(rank_of.value[np.concatenate(parts)])
             out = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((place, k, first, n, list(ids), list(sizes), control, data), schema.types)], schema=schema)
-            k, first, held = k + 1, first + n, 0
+            k, first, full = k + 1, first + n, 0
             for x in (ids, sizes, parts):
                 x.clear()
             return out
@@ -123,9 +133,9 @@ def write_tokens(documents: DataFrame, vocabulary_path: str, folder: str, id: st
             for i, n, packed in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 ids.append(i)
                 sizes.append(n)
-                parts.append(np.frombuffer(codec.decompress(packed, 4 * n, asbytes=True), "<u4"))
-                held += n
-                if held >= block_ids:
+                parts.append(unheld(packed, n, codec))
+                full += n
+                if full >= block_ids:
                     yield close()
         if ids:
             yield close()

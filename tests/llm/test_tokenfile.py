@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -26,6 +27,14 @@ def test_coding(ranks):
     assert tokenfile.unpack_ranks(control, data, len(ranks)).tolist() == ranks
 
 
+@given(st.lists(st.one_of(st.integers(0, 65_535), st.integers(0, 2**32 - 1)), max_size=9))
+@settings(max_examples=100, deadline=None)
+def test_held_ids(ids):
+    codec = pa.Codec("zstd")
+    raw = tokenfile.held(np.array(ids, "<u4"), codec)
+    assert raw[0] == (4 if any(x > 65_535 for x in ids) else 2) and tokenfile.unheld(raw, len(ids), codec).tolist() == ids
+
+
 def test_broken_block():
     control, data = tokenfile.pack_ranks(np.arange(300, dtype="<u4"))
     with pytest.raises(ValueError, match="control bytes"):
