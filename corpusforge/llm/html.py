@@ -271,6 +271,34 @@ def visible(node: Node) -> bool:
     return not (style and re.search(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", style.lower()))
 
 
+#: White space that collapses.
+COLLAPSING = re.compile(r"[^\S\xa0]+")
+ROMAN = [(1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")]
+
+
+def numeral(n: int, kind: str) -> str:
+    """A list item's number as the list's type asks: a, A, i or I; numbers that these can't write, and other types, are decimal."""
+    out, rest = "", n
+    if kind in ("a", "A") and n > 0:
+        while rest:
+            rest, k = divmod(rest - 1, 26)
+            out = chr(97 + k) + out
+    elif kind in ("i", "I") and 0 < n < 4000:
+        for value, sign in ROMAN:
+            out += sign * (rest // value)
+            rest %= value
+    return (out.upper() if kind.isupper() else out) or str(n)
+
+
+def shown_part(node: Node) -> Node:
+    """A closed disclosure shows its first summary only."""
+    if node.tag != "details" or "open" in node.attrs:
+        return node
+    closed = Node("details", node.attrs)
+    closed.children = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+    return closed
+
+
 class Canvas:
     """Lines being laid out: collapses white space, and keeps the widest of the gaps asked for."""
 
@@ -299,15 +327,16 @@ class Canvas:
             self.marker = " " * len(self.marker)
 
     def write(self, text: str) -> None:
-        words = text.split()
+        """White space of HTML collapses; blanks that don't break stay, each as one."""
+        words = [w for w in COLLAPSING.split(text) if w] if "\xa0" in text else text.split()
         if not words:
             self.space = self.space or bool(text)
             return
-        lead = text[0].isspace() or self.space
+        lead = text[0] != "\xa0" and text[0].isspace() or self.space
         fresh = not self.parts
         self.begin()
-        self.parts.append((" " if lead and not fresh else "") + " ".join(words))
-        self.space = text[-1].isspace()
+        self.parts.append((" " if lead and not fresh else "") + " ".join(words).replace("\xa0", " "))
+        self.space = text[-1] != "\xa0" and text[-1].isspace()
 
     def close(self, sign: str) -> None:
         """A sign right behind what is written."""
@@ -406,8 +435,8 @@ def render_table(node: Node) -> list[str]:
 def render(node: Node) -> str:
     canvas = Canvas()
 
-    def walk(node: Node, depth: int, pre: bool, order: list[int] | None) -> None:
-        for child in node.children:
+    def walk(node: Node, depth: int, pre: bool, order: tuple[str, int, list[int]] | None) -> None:
+        for child in shown_part(node).children:
             if isinstance(child, str):
                 canvas.verbatim(child) if pre else canvas.write(child)
                 continue
@@ -438,15 +467,19 @@ def render(node: Node) -> str:
             elif tag in ("ul", "ol", "menu"):
                 canvas.break_line(0 if depth else 1)
                 marker = canvas.marker
-                walk(child, depth + 1, pre, [number(child.attrs.get("start"), 1)] if tag == "ol" else [])
+                back = "reversed" in child.attrs
+                items = sum(isinstance(c, Node) and c.tag == "li" for c in child.children) if back else 1
+                walk(child, depth + 1, pre, (child.attrs.get("type", ""), -1 if back else 1, [number(child.attrs.get("start"), items)]) if tag == "ol" else None)
                 canvas.break_line(0 if depth else 1)
                 canvas.marker = marker
             elif tag == "li":
                 canvas.break_line()
                 sign = "- "
                 if order:
-                    sign = f"{number(child.attrs.get('value'), order[0])}. "
-                    order[0] = number(child.attrs.get("value"), order[0]) + 1
+                    kind, step, following = order
+                    own = number(child.attrs.get("value"), following[0])
+                    sign = f"{numeral(own, kind)}. "
+                    following[0] = own + step
                 before = canvas.marker
                 canvas.marker = "  " * (max(depth, 1) - 1) + sign
                 walk(child, max(depth, 1), pre, None)

@@ -256,6 +256,16 @@ def test_html_shows_the_words_another_parser_finds():
         assert sorted("".join(shown.split())) == sorted("".join(w for w in "".join(re.sub(r"^(?:-|\d+\.)$", "", w) for w in other.found).split()))
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"), ("<ol reversed start=9><li>a<li value=4>b<li>c</ol>", "9. a\n4. b\n3. c"),
+    ("<ol type=a start=26><li>x<li>y</ol>", "z. x\naa. y"), ("<ol type=I><li>x<li value=1994>y<li value=0>z</ol>", "I. x\nMCMXCIV. y\n0. z"), ("<ol type=i><li>x<li>y</ol>", "i. x\nii. y"),
+    ("<details><summary>More</summary><p>hidden</details>after", "More\nafter"), ("<details open><summary>More</summary>shown</details>", "More\nshown"), ("<details>hidden</details>x", "x"),
+    ("a&nbsp;&nbsp;b  c&nbsp;", "a  b c"), ("<p>x &nbsp; y", "x   y"), ("<b>a</b>&nbsp;<i>b</i>", "a b"),
+])
+def test_lists_disclosures_and_fixed_blanks(page, text):
+    assert html.to_text(page) == text
+
+
 def test_html_operator(spark):
     df = spark.createDataFrame([(1, "u", "<p>a", "x"), (2, None, None, "x"), (3, "v", "", "x")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id, r.url, r.text, r.n_chars) for r in html.extract(df).collect() if r.url) == [(1, "u", "a", 1), (3, "v", "", 0)]
