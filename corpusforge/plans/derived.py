@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusforge.catalog import query, table
 from corpusforge.functions import pitch
 from corpusforge.functions import text as T
-from corpusforge.operators import indexing, rules, songs
+from corpusforge.operators import indexing, lines, rules, songs
 from corpusforge.operators.components import cut_lineage
 from corpusforge.plans import linking, songbook
 from corpusforge.plans.curated import TITLE_SQL, items
@@ -81,8 +81,6 @@ def song_rules(spark, sf_dir):
 
     docs = docs.withColumn("line", F.array_join(F.transform("w", signed), " ")).withColumn("runs", pitch.chord_list(F.col("body"), songs.CHORD, songs.BETWEEN))
     marks = F.transform(songs.inline_tokens(F.col("line")), lambda t: F.concat_ws(":", t["col"].cast("string"), t["label"]))
-    from corpusforge.operators import lines
-
     typed = F.array(F.struct(F.lit("tab").alias("kind"), F.lit("[C] e").alias("line")), F.struct(F.lit("text").alias("kind"), F.col("line").alias("line")))
     return docs.select(
         "doc_id", F.sha2(F.array_join(marks, "|"), 256).alias("marks"), F.array_join("runs", " ").alias("chords"), F.array_join(pitch.normalise(F.col("runs"), F.lit(2)), " ").alias("moved"),
