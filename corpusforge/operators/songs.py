@@ -309,14 +309,14 @@ def plan_report(items: DataFrame, pairs: DataFrame, components: DataFrame, merge
 NUMERALS = ["I", "II", "III", "IV", "V", "VI"]
 
 
-def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, priority: Column, first: str, always: object = None) -> DataFrame:
+def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, priority: Column, first: str, always: object = None, beyond: str = "error") -> DataFrame:
     """Items (id, src, title, part, artist, page) after the merge: those kept, under their group's base title with a numeral where
     several are left, with the places of what was merged into them (also), and their number by part and folded title. dropped(dropped, kept),
     components(node, component), priority: rank of a source, lowest first.
 
     T8: a group's part is `always` if a member has it, else that of its first member (by id) of source `first`, else the most frequent one, the earliest of equals. An
-    item of source `first` takes the artist of the first member of another source that has one, over its own; others keep theirs. A
-    seventh variant is an error, as there are six numerals."""
+    item of source `first` takes the artist of the first member of another source that has one, over its own; others keep theirs. There are
+    six numerals: a seventh variant is an error, or with beyond="untitled" an item without a title, behind those that have one."""
     grouped = items.join(components.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("_rank", priority)
     members = grouped.filter("component is not null")
     ahead = F.when(F.max(F.col("part").eqNullSafe(F.lit(always)) if always is not None else F.lit(False)), F.lit(always)).otherwise(F.min_by("part", F.when(F.col("src") == first, F.col("id"))))
@@ -324,14 +324,17 @@ def merged_book(items: DataFrame, components: DataFrame, dropped: DataFrame, pri
     told = members.groupBy("component").agg(ahead.alias("_ahead"), artist.alias("_artist"))
     agreed = told.join(majority(members, "component", "part", "id"), "component", "left").select("component", F.coalesce("_ahead", "chosen").alias("_part"), "_artist")
     left = grouped.join(dropped.select(F.col("dropped").alias("id")), "id", "left_anti")
-    w = Window.partitionBy("component").orderBy("_rank", "title", "id")  # a group of readings of one song
-    whole = Window.partitionBy("component")
+    # A group of readings of one song; items without a group are groups of their own, not one group of most items.
+    group = ["component", F.when(F.col("component").isNull(), F.col("id"))]
+    w, whole = Window.partitionBy(*group).orderBy("_rank", "title", "id"), Window.partitionBy(*group)
     nth = F.when(F.col("component").isNotNull(), F.row_number().over(w))
     left = left.withColumn("_nth", nth).withColumn("_n", F.count("*").over(whole)).withColumn("_base", F.first("title").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    numeral = F.coalesce(F.get(F.array(*map(F.lit, NUMERALS)), F.col("_nth") - 1), F.raise_error(F.lit("more variants than numerals")).cast("string"))
+    spent = F.lit(None).cast("string") if beyond == "untitled" else F.raise_error(F.lit("more variants than numerals")).cast("string")
+    numeral = F.coalesce(F.get(F.array(*map(F.lit, NUMERALS)), F.col("_nth") - 1), spent)
     title = F.when(F.col("component").isNull(), F.col("title")).when(F.col("_n") == 1, base_title(F.col("title"))).otherwise(F.concat(base_title(F.col("_base")), F.lit(" ("), numeral, F.lit(")")))
     also = dropped.join(items.select(F.col("id").alias("dropped"), F.concat_ws(", p. ", "src", F.col("page").cast("string")).alias("at")), "dropped").groupBy(F.col("kept").alias("id")).agg(F.array_join(F.sort_array(F.collect_list("at")), " · ").alias("also"))
     out = left.withColumn("title", title).join(agreed, "component", "left").join(also, "id", "left")
     named = F.when(F.col("src") == first, F.coalesce("_artist", "artist")).otherwise(F.col("artist"))
     out = out.select("id", "src", "title", F.coalesce("_part", "part").alias("part"), named.alias("artist"), F.coalesce("also", F.lit("")).alias("also"))
-    return number_globally(out.withColumn("_fold", sort_key(F.col("title"))), ["part", "_fold", "id"], "num").drop("_fold")
+    out = out.withColumn("_fold", sort_key(F.col("title"))).withColumn("_untitled", F.col("title").isNull())
+    return number_globally(out, ["part", "_untitled", "_fold", "id"], "num").drop("_fold", "_untitled")

@@ -123,7 +123,7 @@ SELECT row_number() OVER (ORDER BY part, regexp_replace({_FOLD.format("title")},
 def merge_build(spark, sf_dir):
     """T10 with T8: the documents as items of three sources, near-duplicates as variants, every second one merged away."""
     rows, members, dropped = merge_parts(spark, sf_dir)
-    return songs.merged_book(rows, members, dropped, F.expr("locate(src, 'abc')"), "a", always=3).select("num", "id", "title", "part", "artist", "also")
+    return songs.merged_book(rows, members, dropped, F.expr("locate(src, 'abc')"), "a", always=3, beyond="untitled").select("num", "id", "title", "part", "artist", "also")
 
 
 @query(f"""WITH RECURSIVE {linking.COMPONENTS}, {_MERGED}, ee AS (SELECT node.doc_id AS b, node.component AS a FROM comp node WHERE node.doc_id <> node.component),
