@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
+from corpusforge.operators.components import cut_lineage
 from corpusforge.session import small
 
 
@@ -36,19 +37,12 @@ def dominant(counts: DataFrame, by: list[str], least: int = 1, num: int = 8, den
     return top.select(*by, F.col("top.form").alias("form"), F.col("top.n").alias("n"), "total").filter((F.col("total") >= least) & (F.col("n") * den >= F.col("total") * num))
 
 
-def restore(targets: DataFrame, corpus: DataFrame, dictionary: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """For each target (id, pos, k, prev, next) the form to write and the outcome; columns named in carry come along.
+#: Outcomes that only neighbours can settle; up to this many keys of theirs are handed to all tasks, as hashes.
+OPEN, PICKED = ("listed", "free"), 1 << 20
 
-    A key with one dictionary form takes it (unique). With several, the one that has at least 0.8 of the corpus's sightings of these
-    forms (dominant). Without any, the form that has 0.8 of all sightings of the key (corpus). Where that doesn't decide, the form that
-    dominates beside the left neighbour, else beside the right one, each from three sightings on (context); if the dictionary has the key,
-    it must have that form. Otherwise nothing is written (ambiguous), nor for a key that corpus and dictionary lack (unknown).
-    A form of another length than the key is not written. dictionary: (k, form).
 
-    All but the contexts is settled once per key. Contexts are counted for the open keys alone, and only their targets look them up.
-    """
-    listed = dictionary.select("k", "form").distinct()
-    counts = priors(corpus)
+def verdicts(counts: DataFrame, listed: DataFrame) -> DataFrame:
+    """(k, outcome, chosen): what corpus counts (k, form, n) and different dictionary forms (k, form) say of each key; the rest is OPEN."""
     forms = listed.groupBy("k").agg(F.count("*").alias("forms"), F.min("form").alias("only"))
     by_dict = dominant(counts.join(listed, ["k", "form"]), ["k"]).select("k", F.col("form").alias("by_dict"))
     by_corpus = counts.select("k").distinct().join(dominant(counts, ["k"]).select("k", F.col("form").alias("by_corpus")), "k", "left")
@@ -60,21 +54,60 @@ def restore(targets: DataFrame, corpus: DataFrame, dictionary: DataFrame, carry:
         .when(F.col("by_corpus").isNotNull(), verdict("corpus", F.col("by_corpus")))
         .otherwise(verdict("free"))
     )
-    verdicts = by_corpus.join(forms.join(by_dict, "k", "left"), "k", "full").select("k", settled.alias("v")).select("k", "v.outcome", F.col("v.form").alias("chosen"))
-    open_ = F.col("outcome").isin("listed", "free")
-    open_corpus = corpus.join(verdicts.filter(open_).select("k"), "k", "left_semi")
-    left = dominant(contexts(open_corpus, "prev"), ["k", "prev"], 3).select("k", "prev", F.col("form").alias("by_left"))
-    right = dominant(contexts(open_corpus, "next"), ["k", "next"], 3).select("k", "next", F.col("form").alias("by_right"))
-
-    rows = targets.join(verdicts, "k", "left").withColumn("outcome", F.coalesce("outcome", F.lit("unknown")))
-    near = rows.filter(open_).drop("chosen").join(left, ["k", "prev"], "left").join(right, ["k", "next"], "left").withColumn("chosen", F.coalesce("by_left", "by_right"))
+    return by_corpus.join(forms.join(by_dict, "k", "left"), "k", "full").select("k", settled.alias("v")).select("k", "v.outcome", F.col("v.form").alias("chosen"))
+
+
+def by_context(rows: DataFrame, corpus: DataFrame, listed: DataFrame) -> DataFrame:
+    """Rows (k, prev, next, outcome) of OPEN keys with the form that dominates beside a neighbour in the corpus's sightings of these keys (chosen), and the outcome after that."""
+    left = dominant(contexts(corpus, "prev"), ["k", "prev"], 3).select("k", "prev", F.col("form").alias("by_left"))
+    right = dominant(contexts(corpus, "next"), ["k", "next"], 3).select("k", "next", F.col("form").alias("by_right"))
+    near = rows.join(left, ["k", "prev"], "left").join(right, ["k", "next"], "left").withColumn("chosen", F.coalesce("by_left", "by_right"))
     near = near.join(listed.select("k", F.col("form").alias("chosen"), F.lit(True).alias("is_listed")), ["k", "chosen"], "left")
     near = near.withColumn("chosen", F.when((F.col("outcome") == "free") | F.col("is_listed"), F.col("chosen")))
-    near = near.withColumn("outcome", F.when(F.col("chosen").isNotNull(), "context").otherwise("ambiguous"))
+    return near.withColumn("outcome", F.when(F.col("chosen").isNotNull(), "context").otherwise("ambiguous"))
+
+
+def written():
+    """The form to write: the chosen one if it is as long as the key, else the key."""
+    return F.when(F.length("chosen") == F.length("k"), F.col("chosen")).otherwise(F.col("k"))
+
+
+def restore(targets: DataFrame, corpus: DataFrame, dictionary: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """For each target (id, pos, k, prev, next) the form to write and the outcome; columns named in carry come along.
+
+    A key with one dictionary form takes it (unique). With several, the one that has at least 0.8 of the corpus's sightings of these
+    forms (dominant). Without any, the form that has 0.8 of all sightings of the key (corpus). Where that doesn't decide, the form that
+    dominates beside the left neighbour, else beside the right one, each from three sightings on (context); if the dictionary has the key,
+    it must have that form. Otherwise nothing is written (ambiguous), nor for a key that corpus and dictionary lack (unknown).
+    A form of another length than the key is not written. dictionary: (k, form).
+
+    All but the contexts is settled once per key. Contexts are counted for the open keys alone, and only their targets look them up.
+    """
+    listed = dictionary.select("k", "form").distinct()
+    told = verdicts(priors(corpus), listed)
+    open_ = F.col("outcome").isin(*OPEN)
+    rows = targets.join(told, "k", "left").withColumn("outcome", F.coalesce("outcome", F.lit("unknown")))
+    near = by_context(rows.filter(open_).drop("chosen"), corpus.join(told.filter(open_).select("k"), "k", "left_semi"), listed)
     kept = ["id", "pos", "k", *(carry or []), "outcome", "chosen"]
     every = rows.filter(~open_).select(kept).unionAll(near.select(kept))
-    same = F.length("chosen") == F.length("k")
-    return every.select("id", "pos", "k", *(carry or []), F.when(same, F.col("chosen")).otherwise(F.col("k")).alias("form"), "outcome")
+    return every.select("id", "pos", "k", *(carry or []), written().alias("form"), "outcome")
+
+
+def restored_counts(corpus: DataFrame, counts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(outcome, n, correct): how restore does on the corpus's own tokens, whose forms are the truth. counts are the corpus's priors.
+
+    Sightings of settled keys are told by the counts; only tokens of OPEN keys are rows, and move."""
+    listed = dictionary.select("k", "form").distinct()
+    told = cut_lineage(verdicts(counts, listed))
+    unsettled, settled = told.filter(F.col("outcome").isin(*OPEN)).select("k", "outcome"), told.filter(~F.col("outcome").isin(*OPEN))
+    tokens = corpus.select("k", "form", "prev", "next")
+    hashes = unsettled.select(F.xxhash64("k").alias("h"))
+    if hashes.limit(PICKED + 1).count() <= PICKED:  # leaves few others, by equal hashes
+        tokens = tokens.withColumn("h", F.xxhash64("k")).join(F.broadcast(hashes), "h", "left_semi").drop("h")
+    seen = cut_lineage(tokens.join(unsettled.hint("merge"), "k"))
+    near = by_context(seen.withColumnRenamed("form", "truth"), seen, listed).select("outcome", F.col("truth"), written().alias("form"), F.lit(1).cast("long").alias("n"))
+    known = counts.withColumnRenamed("form", "truth").join(settled, "k").select("outcome", "truth", written().alias("form"), "n")
+    return known.unionAll(near).groupBy("outcome").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("form") == F.col("truth"), F.col("n"))), F.lit(0)).cast("long").alias("correct"))
 
 
 def rebuild(restored: DataFrame) -> DataFrame:
