@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusforge.catalog import query, table
 from corpusforge.functions.text import let
 from corpusforge.operators import folds, songs
+from corpusforge.session import PART_BYTES, dealt
 
 LABELS = ["C", "Am", "F#", "G7", "Dm", "Bb", "E7", "A", "Em", "B7", "D/F#", "Gsus4"]
 
@@ -199,4 +200,6 @@ SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY place, side) - 1
 def aligned_songs(spark, sf_dir):
     """W16 on every document's song; those with a bracketed symbol stay as they are."""
     rows = F.concat(song(F.col("text")), F.when(F.col("doc_id") % 10 == 0, F.array(F.lit("a [Am]b"))).otherwise(F.array().cast("array<string>")))
-    return songs.align_rows(documents(spark, sf_dir).select("doc_id", F.posexplode(rows).alias("ord", "line")), ["doc_id"], "ord")
+    # Texts are dealt by document, in parts of bounded size, before they become rows: the windows need no other shuffle.
+    docs = dealt(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", PART_BYTES // 2).select("doc_id", "text").filter("text is not null")
+    return songs.align_rows(docs.select("doc_id", F.posexplode(rows).alias("ord", "line")), ["doc_id"], "ord")
